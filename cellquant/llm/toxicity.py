@@ -1,4 +1,4 @@
-"""Toxicity: cumulative-link ordinal regression over sparse word features.
+"""Toxicity: cumulative-link ordinal regression over sparse features, words and word stems.
 
 One weight vector serves all severity grades; ordered thresholds cut its score: P(grade <= k) = sigmoid(t_k - w.x). The
 model is fitted on a bounded sample of labelled rows (``max_rows`` a class); everything else covers all rows.
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cellquant.llm.common import materialize
 
+STEMS = (4, 5)
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -33,11 +34,24 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -40, 40)))
 
 
-def features(text: str | None, words: Container[str]) -> dict[str, float]:
-    """log(1 + count) of each vocabulary word that the whole text holds."""
-    if not text or not words:
+def tokens(text: str | None) -> Iterator[str]:
+    """Lower-cased words, and the stems of longer ones: their first 4 and 5 letters with a star."""
+    for w in _WORDS(text.lower()) if text else ():
+        yield w
+        for n in STEMS:
+            if len(w) > n:
+                yield w[:n] + "*"
+
+
+def features(text: str | None, vocabulary: Container[str]) -> dict[str, float]:
+    """log(1 + count) of each token of the vocabulary that the whole text holds."""
+    if not text or not vocabulary:
         return {}
-    return {w: math.log1p(n) for w, n in Counter(w for w in _WORDS(text.lower()) if w in words).items()}
+    words = _WORDS(text.lower())
+    found = [w for w in words if w in vocabulary]
+    for n in STEMS:
+        found += [s for w in words if len(w) > n and (s := w[:n] + "*") in vocabulary]
+    return {w: math.log1p(n) for w, n in Counter(found).items()}
 
 
 def fit_ordinal(x: np.ndarray, grade: np.ndarray, l2: float = 1e-3, rounds: int = 400, rate: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +94,7 @@ def _vocabulary(sample: DataFrame, max_words: int, least_docs: int, least_chi2:
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                words = list(set(_WORDS((text.as_py() or "").lower())))
+                words = list(set(tokens(text.as_py())))
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([toxic] * len(words), pa.int32())], ["word", "toxic"])
 
     per_class = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -97,13 +111,13 @@ def _vocabulary(sample: DataFrame, max_words: int, least_docs: int, least_chi2:
 
 
 def train_toxicity(
-    documents: DataFrame, labels: DataFrame, *, max_rows: int = 4096, max_words: int = 1000, least_docs: int = 3, least_chi2: float = 12.0, least_log_odds: float = 1.5
+    documents: DataFrame, labels: DataFrame, *, max_rows: int = 4096, max_words: int = 500, least_docs: int = 3, least_chi2: float = 30.0, least_log_odds: float = 1.5
 ) -> OrdinalModel:
     """Fit on at most ``max_rows`` labelled documents a class (``labels``: doc_id, toxic 0/1; a document with several
     labels takes the largest; null labels are passed over).
 
-    Grades: 0 for clean; toxic documents are 1 or 2, cut at the median of how much toxic wording they hold (count of
-    words with positive odds to all words). With no labels of a class nothing is held toxic.
+    Grades: 0 for clean; toxic documents are 1 or 2, cut at the median of how much toxic wording they hold (occurrences
+    of tokens that toxic documents hold more of). With no labels of a class nothing is held toxic.
     """
     sample = _sample(documents, labels, max_rows)
     words = _vocabulary(sample, max_words, least_docs, least_chi2, least_log_odds)
@@ -113,13 +127,12 @@ def train_toxicity(
         for b in batches:
             texts = b.column(1).to_pylist()
             xs = [features(t, index) for t in texts]
-            lengths = [len(_WORDS(t or "")) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(lengths, pa.int64()), pa.array([[index[w] for w in x] for x in xs], pa.list_(pa.int32())), pa.array([list(x.values()) for x in xs], pa.list_(pa.float64()))],
-                ["toxic", "n", "at", "x"],
+                [b.column(0), pa.array([[index[w] for w in x] for x in xs], pa.list_(pa.int32())), pa.array([list(x.values()) for x in xs], pa.list_(pa.float64()))],
+                ["toxic", "at", "x"],
             )
 
-    rows = sample.mapInArrow(vectors, "toxic int, n long, at array<int>, x array<double>").collect()  # at most 2 * max_rows
+    rows = sample.mapInArrow(vectors, "toxic int, at array<int>, x array<double>").collect()  # at most 2 * max_rows
     x = np.zeros((len(rows), len(words)))
     for i, r in enumerate(rows):
         x[i, r["at"]] = r["x"]
@@ -127,8 +140,8 @@ def train_toxicity(
     if not words or not toxic.any():
         return OrdinalModel((), np.zeros(0), np.array([20.0, 21.0]))
     lean = x[toxic == 1].mean(0) > x[toxic == 0].mean(0) if (toxic == 0).any() else np.ones(len(words), bool)
-    share = np.expm1(x[:, lean]).sum(1) / np.maximum([r["n"] for r in rows], 1)
-    grade = toxic * (1 + (share > np.median(share[toxic == 1])))
+    held = np.expm1(x[:, lean]).sum(1)
+    grade = toxic * (1 + (held > np.median(held[toxic == 1])))
     weights, cuts = fit_ordinal(x, grade)
     return OrdinalModel(tuple(words), weights, cuts)
 
