@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cellquant.llm.common import shuffle_partitions
 
-K, HOT, NO_ID = 32, 2000, -(1 << 63)
+K, HOT, NO_ID = 32, 8000, -(1 << 63)
 Batches = Iterator[pa.RecordBatch]
 _TABLE = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64)
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -104,7 +104,7 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
         def out() -> pa.RecordBatch:
             h, ids, place = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
-            order = np.argsort(h, kind="stable")
+            order = np.argsort(h)
             first = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
             count = np.diff(np.append(first, len(h)))
             n = np.zeros(len(h), np.uint32)  # 0: another row of this flush stands for the anchor's count
@@ -136,7 +136,7 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
             h, place, n = (np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in ((1, np.uint64), (3, np.int64), (4, np.uint32)))
             ids = np.concatenate([np.cumsum(np.frombuffer(r[2], np.int64)) for r in held])
             held.clear()
-            order = np.argsort(h, kind="stable")
+            order = np.argsort(h)
             hs = h[order]
             first = np.flatnonzero(np.concatenate(([True], hs[1:] != hs[:-1])))
             total = np.add.reduceat(n[order].astype(np.int64), first)
@@ -183,22 +183,21 @@ class RunLengthIndex:
         for i in range(1, width):
             key <<= bits
             key[: n - i] |= rank[i:] + 1
-        held = {}
-        while True:
-            order = np.argsort(key, kind="stable")
+        while True:  # equal keys may come in any order: only whether neighbours are equal counts
+            order = np.argsort(key)
             ks = key[order]
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(np.concatenate(([0], ks[1:] != ks[:-1])))
-            held[width] = rank
+            if width <= length:
+                part, held = width, rank
             if int(rank.max()) == n - 1:
                 break
             key = rank * (n + 1)
             key[: n - width] += rank[width:] + 1
             width *= 2
-        part = max(w for w in held if w <= length)
         ext = np.zeros(n, np.int64)
-        ext[: max(0, n - (length - part))] = held[part][length - part :]
-        head = held[part][order]
+        ext[: max(0, n - (length - part))] = held[length - part :]
+        head = held[order]
         tail = ext[order]
         self.block = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1]))))
         self.order = order
