@@ -54,20 +54,21 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """For texts laid end to end (``ends``: where each ends): per range of windows with one anchor, the anchor's hash, the
-    text's number, the first window's place in ``data`` and the number of windows. ``data`` is under 2 ** 24 bytes."""
+    text's number, the first window's place in ``data``, the number of windows and the anchor's distance from the first
+    window's start. ``data`` is under 2 ** 24 bytes."""
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return np.zeros(0, np.uint64), none, none, none
+        return np.zeros(0, np.uint64), none, none, none, none
     h = _gram_hashes(data)
     at = _sliding_min((h & ~_LOW) | np.arange(len(h), dtype=np.uint64), length - K + 1) & _LOW  # of each window: its anchor
     doc = np.searchsorted(ends, np.arange(len(at)), side="right")
     ok = np.arange(len(at)) + length <= ends[np.minimum(doc, len(ends) - 1)]
     places = np.flatnonzero(ok)
     if not len(places):
-        return np.zeros(0, np.uint64), none, none, none
+        return np.zeros(0, np.uint64), none, none, none, none
     a, d = at[places], doc[places]
     first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (d[1:] != d[:-1]) | (np.diff(places) != 1))))
-    return h[a[first]], d[first], places[first], np.diff(np.append(first, len(places)))
+    return h[a[first]], d[first], places[first], np.diff(np.append(first, len(places))), a[first].astype(np.int64) - places[first]
 
 
 def _pieces(batches: Batches, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -88,8 +89,17 @@ def _pieces(batches: Batches, length: int) -> Iterator[tuple[np.ndarray, np.ndar
         yield np.concatenate(held), np.cumsum([len(x) for x in held]), np.array(ids), np.array(offs)
 
 
+def _pack(start, windows, off):
+    """A range in one number: its first window's start, how many windows, and where the anchor lies from the start."""
+    return start << 20 | windows << 10 | off
+
+
+def _unpack(place: int) -> tuple[int, int, int]:
+    return place >> 20, place >> 10 & 1023, place & 1023
+
+
 def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int = 1_000_000) -> DataFrame:
-    """(id, h, place, hot) of ranges whose anchor occurs more than once. place: start << 16 | windows.
+    """(id, h, place, hot) of ranges whose anchor occurs more than once. place: see ``_pack``.
 
     In each task an anchor seen before is known to repeat: it only adds to a count, so a hot anchor sends one row a flush.
     """
@@ -118,9 +128,9 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
             return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array([x.tobytes() for x in b], pa.binary()) for b in blobs)], names)
 
         for data, ends, ids, offs in _pieces(batches, length):
-            h, doc, start, windows = anchors(data, ends, length)
+            h, doc, start, windows, off = anchors(data, ends, length)
             begin = np.concatenate(([0], ends[:-1]))
-            held.append((h, ids[doc].astype(np.int64), ((start - begin[doc] + offs[doc]) << 16) | windows))
+            held.append((h, ids[doc].astype(np.int64), _pack(start - begin[doc] + offs[doc], windows, off)))
             size += len(h)
             if size >= flush:
                 yield out()
@@ -175,28 +185,29 @@ class RunLengthIndex:
         text = raw.astype(np.uint16) + 1  # 0 separates; bytes are 1 to 256
         text[self.begin + sizes] = 0
         self.text = text
-        # Prefix doubling. Separators differ from each other, so all suffixes do, before the longest string's length.
-        rank = text.astype(np.int64) + len(strings) - 1
-        rank[self.begin + sizes] = np.arange(len(strings))
-        bits = int(rank.max()).bit_length() + 1
-        key, width = rank.copy(), 63 // bits
+        # Prefix doubling within each string: nothing after its separator counts, and strings that end alike keep their
+        # order, which is a consistent order of all suffixes.
+        left = np.repeat(self.begin + sizes, sizes + 1) - np.arange(n)  # symbols before the separator
+        key, width = text.astype(np.int64), 7
         for i in range(1, width):
-            key <<= bits
-            key[: n - i] |= rank[i:] + 1
-        while True:  # equal keys may come in any order: only whether neighbours are equal counts
-            order = np.argsort(key)
+            key <<= 9
+            key[: n - i] |= np.where(left[: n - i] >= i, text[i:], 0)
+        while True:
+            last = width > sizes.max()
+            order = np.argsort(key, kind="stable" if last else None)
             ks = key[order]
             rank = np.empty(n, np.int64)
             rank[order] = np.cumsum(np.concatenate(([0], ks[1:] != ks[:-1])))
             if width <= length:
                 part, held = width, rank
-            if int(rank.max()) == n - 1:
+            if last:
                 break
             key = rank * (n + 1)
-            key[: n - width] += rank[width:] + 1
+            key[: n - width] += np.where(left[: n - width] >= width, rank[width:] + 1, 0)
             width *= 2
         ext = np.zeros(n, np.int64)
-        ext[: max(0, n - (length - part))] = held[length - part :]
+        if n > length - part:
+            ext[: n - (length - part)] = np.where(left[: n - (length - part)] >= length - part, held[length - part :], 0)
         head = held[order]
         tail = ext[order]
         self.block = np.flatnonzero(np.concatenate(([True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1]))))
@@ -281,21 +292,30 @@ def earlier_windows(strings: list[bytes], ids: np.ndarray, starts: np.ndarray, l
     earliest = np.minimum.reduceat(place[index.order], index.block)
     del index.order  # what is left are the runs, their samples and the blocks
     rows, lens, off = index.matching_statistics(strings)
-    out = []
-    for i, s in enumerate(strings):
-        n = len(s) - length + 1
-        r, m = rows[i, off[i] : off[i] + n], lens[i, off[i] : off[i] + n]
-        out.append((m >= length) & (earliest[index.blocks_of(r)] < (rank[i] << 40) + starts[i] + np.arange(n)))
-    return out
+    windows = np.array([len(s) - length + 1 for s in strings])
+    own = np.repeat(np.arange(len(strings)), windows)
+    j = np.arange(len(own)) - np.repeat(np.cumsum(windows) - windows, windows)
+    r, m = rows[own, off[own] + j], lens[own, off[own] + j]
+    covered = (m >= length) & (earliest[index.blocks_of(r)] < (rank[own] << 40) + starts[own] + j)
+    return np.split(covered, np.cumsum(windows)[:-1])
+
 
+_RANGE = "kind int, key long, r long, id long, th int, start int, n int, off int, body binary"
+_MARK = "id long, th int, start int, stop int"
 
-_RANGE = "kind int, key long, r1 long, r2 long, id long, th long, start int, n int, body binary"
-_MARK = "id long, th long, start int, stop int"
+
+def _marked(h: int, off: int, body: bytes) -> bytes:
+    """A range's bytes with the anchor's hash in place of the anchor, which every window of the range holds. Byte 255 is
+    in no UTF-8 text, so equal windows have their anchors at the same place. Windows are ``_MARKED`` shorter."""
+    return b"%b\xff%b%b" % (body[:off], h.to_bytes(8, "little", signed=True), body[off:])
+
+
+_MARKED = K - 9
 
 
 def _ranges(joined: DataFrame, length: int, flush: int = 20_000_000) -> DataFrame:
     """Rows of ``_RANGE`` from (id, text, list of (h, place, hot)). kind 0: a mark (start, n bytes); 1: a range's first
-    copy of this flush, with its bytes; 2: a window of a hot anchor. th tells rows apart that share an id."""
+    copy of this flush, with its bytes but the anchor's; 2: a window of a hot anchor. th tells rows apart that share an id."""
 
     def run(batches: Batches) -> Batches:
         first: dict[tuple, tuple] = {}
@@ -304,19 +324,19 @@ def _ranges(joined: DataFrame, length: int, flush: int = 20_000_000) -> DataFram
 
         def out() -> Iterator[pa.RecordBatch]:
             windows: dict[tuple, tuple] = {}
-            for (h, hot, r1, r2, *_), (i, th, s, n, body) in first.items():
+            for (h, hot, r, *_), (i, th, s, n, off, body) in first.items():
                 if not hot:
-                    done.append((1, h, r1, r2, i, th, s, n, body))
+                    done.append((1, h, _signed(r & _M), i, th, s, n, off, body[:off] + body[off + K :]))
                     continue
                 for j in range(n):
                     w = xxhash.xxh3_128_intdigest(body[j : j + length])
-                    put(windows, (_signed(w & _M), _signed(w >> 64)), (i, th, s + j, 1, b""))
-            done.extend((2, k[0], k[0], k[1], *v) for k, v in windows.items())
+                    put(windows, (_signed(w & _M), _signed(w >> 64)), (i, th, s + j, 1, 0, b""))
+            done.extend((2, k[0], k[1], *v) for k, v in windows.items())
             first.clear()
             for lo in range(0, len(done), 50_000):
                 cols = list(zip(*done[lo : lo + 50_000], strict=True))
-                kinds = [pa.int32(), *[pa.int64()] * 5, pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["kind", "key", "r1", "r2", "id", "th", "start", "n", "body"])
+                kinds = [pa.int32(), *[pa.int64()] * 3, *[pa.int32()] * 4, pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["kind", "key", "r", "id", "th", "start", "n", "off", "body"])
             done.clear()
 
         def put(seen: dict, key: tuple, new: tuple) -> None:
@@ -329,19 +349,18 @@ def _ranges(joined: DataFrame, length: int, flush: int = 20_000_000) -> DataFram
             else:
                 old, new = sorted((old, new), key=lambda x: (x[0], x[2]))
                 seen[key] = old
-                done.append((0, new[0], 0, 0, new[0], new[1], new[2], new[3] + length - 1, b""))
+                done.append((0, new[0], 0, new[0], new[1], new[2], new[3] + length - 1, 0, b""))
 
         for b in batches:
             for i, text, found in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
                 raw = (text.as_py() or "").encode()
-                th = _signed(xxhash.xxh3_64_intdigest(raw))
+                th = _text_hash(raw)
                 for f in found:
-                    s, n = f["place"] >> 16, f["place"] & 65_535
+                    s, n, off = _unpack(f["place"])
                     body = raw[s : s + n + length - 1]
                     if len(body) < n + length - 1:  # a place of another row with this id
                         continue
-                    r = xxhash.xxh3_128_intdigest(body)
-                    put(first, (f["h"], f["hot"], _signed(r & _M), _signed(r >> 64)), (i, th, s, n, body))
+                    put(first, (f["h"], f["hot"], xxhash.xxh3_128_intdigest(body)), (i, th, s, n, off, body))
                     size += len(body)
                 if size > flush:
                     yield from out()
@@ -358,6 +377,10 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _text_hash(raw: bytes) -> int:
+    return xxhash.xxh32_intdigest(raw) - (1 << 31)
+
+
 def _marks(ranges: DataFrame, length: int, partitions: int, batch: int = 1_000_000) -> DataFrame:
     """Byte intervals to remove, from ranges that arrive together by anchor (kind 1) or window (kind 2)."""
 
@@ -366,34 +389,33 @@ def _marks(ranges: DataFrame, length: int, partitions: int, batch: int = 1_000_0
         size, out, last = 0, [], None
 
         def indexed() -> None:
-            firsts, rest = {}, []
+            rest: list[tuple] = []
             for r in group:  # sorted: of equal ranges the earliest comes first
-                key = (r[1], r[2], r[3])
-                if key in firsts and (firsts[key][4], firsts[key][6]) != (r[4], r[6]):
-                    out.append((r[4], r[5], r[6], r[6] + r[7] + length - 1))
+                p = rest[-1] if rest else None
+                if p and p[1:3] == r[1:3] and p[8] == r[8] and (p[3], p[5]) != (r[3], r[5]):
+                    out.append((r[3], r[4], r[5], r[5] + r[6] + length - 1))
                 else:
-                    firsts.setdefault(key, r)
                     rest.append(r)
             keys = [r[1] for r in rest]
             several = {k for k, k2 in zip(keys, keys[1:], strict=False) if k == k2}
             rest = [r for r in rest if r[1] in several]
             if rest:
-                covered = earlier_windows([r[8] for r in rest], np.array([r[4] for r in rest]), np.array([r[6] for r in rest], np.int64), length)
+                covered = earlier_windows([_marked(r[1], r[7], r[8]) for r in rest], np.array([r[3] for r in rest]), np.array([r[5] for r in rest], np.int64), length - _MARKED)
                 for r, c in zip(rest, covered, strict=True):
                     edge = np.flatnonzero(np.diff(np.concatenate(([False], c, [False])).astype(np.int8)))
-                    out.extend((r[4], r[5], r[6] + a, r[6] + z + length - 1) for a, z in edge.reshape(-1, 2).tolist())
+                    out.extend((r[3], r[4], r[5] + a, r[5] + z + length - 1) for a, z in edge.reshape(-1, 2).tolist())
             group.clear()
 
         def sent() -> pa.RecordBatch:
             cols = list(zip(*out, strict=True)) if out else [[]] * 4
-            got = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.int32(), pa.int32()], strict=True)], ["id", "th", "start", "stop"])
+            got = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int32(), pa.int32(), pa.int32()], strict=True)], ["id", "th", "start", "stop"])
             out.clear()
             return got
 
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if r[0] == 0:
-                    out.append((r[4], r[5], r[6], r[6] + r[7]))
+                    out.append((r[3], r[4], r[5], r[5] + r[6]))
                 elif r[0] == 1:
                     if size > batch and r[1] != group[-1][1]:
                         indexed()
@@ -401,9 +423,9 @@ def _marks(ranges: DataFrame, length: int, partitions: int, batch: int = 1_000_0
                     group.append(r)
                     size += len(r[8])
                 else:
-                    if last and last[2:4] == r[2:4]:
-                        if (last[4], last[6]) != (r[4], r[6]):
-                            out.append((r[4], r[5], r[6], r[6] + length))
+                    if last and last[1:3] == r[1:3]:
+                        if (last[3], last[5]) != (r[3], r[5]):
+                            out.append((r[3], r[4], r[5], r[5] + length))
                     else:
                         last = r
             if len(out) > 100_000:
@@ -412,7 +434,7 @@ def _marks(ranges: DataFrame, length: int, partitions: int, batch: int = 1_000_0
             indexed()
         yield sent()
 
-    sent = ranges.repartition(partitions, "kind", "key").sortWithinPartitions("kind", "key", "r1", "r2", "id", "start")
+    sent = ranges.repartition(partitions, "kind", "key").sortWithinPartitions("kind", "key", "r", "id", "start")
     return sent.mapInArrow(run, _MARK)
 
 
@@ -422,7 +444,7 @@ def remove_repeats(documents: DataFrame, *, length: int = 100) -> DataFrame:
     Each byte covered by a ``length``-byte string that also starts earlier (smaller doc_id, or same document and earlier
     start) is removed, judged on the input. Texts count as UTF-8; null and empty ones have no bytes. A null doc_id comes
     before all others. Rows that share a doc_id are compared with each other by start alone, so that equal copies under
-    one doc_id both stay. ``length`` is over 32.
+    one doc_id both stay. ``length`` is over 32 and under 1000.
     """
     rows = documents.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"), "text")
     parts = shuffle_partitions(documents.sparkSession)
@@ -438,7 +460,7 @@ def remove_repeats(documents: DataFrame, *, length: int = 100) -> DataFrame:
                 raw = (text.as_py() or "").encode()
                 spans: list[list[int]] = []
                 if found:
-                    th = _signed(xxhash.xxh3_64_intdigest(raw))
+                    th = _text_hash(raw)
                     for a, z in sorted((m["start"], m["stop"]) for m in found if m["th"] == th):
                         if spans and a <= spans[-1][1]:
                             spans[-1][1] = max(spans[-1][1], z)

@@ -65,6 +65,22 @@ def test_repeats_with_repeated_ids(spark):
     assert suffix.remove_repeats(_frame(spark, [])).count() == 0
 
 
+def test_anchors_are_the_same_for_equal_windows():
+    """Every window has one anchor, inside it, that its bytes alone determine, in texts laid end to end or in parts."""
+    rng = random.Random(2)
+    texts = [bytes(rng.choices(b"ab c", k=rng.randrange(0, 700))) for _ in range(30)] + [b"a" * 400]
+    texts += [t + t for t in texts]
+    data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+    seen, n = {}, 0
+    for h, d, s, w, off in zip(*(x.tolist() for x in suffix.anchors(data, ends, 100)), strict=True):
+        at = s - (int(ends[d]) - len(texts[d]))
+        assert 0 <= off - (w - 1) and off + suffix.K <= 100
+        for j in range(w):
+            assert seen.setdefault(texts[d][at + j : at + j + 100], (h, off - j)) == (h, off - j)
+            n += 1
+    assert n == sum(max(0, len(t) - 99) for t in texts)
+
+
 def test_index_matches():
     """Matching statistics of strings that are not in the index, against a search by hand."""
     rng = random.Random(5)
