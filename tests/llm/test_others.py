@@ -46,6 +46,16 @@ def test_pieces_round_trip():
             assert pieces.pieces(pieces.MODEL).decode(pieces.encode_text(t, caches)) == t
 
 
+def test_both_agendas_agree():
+    model = pieces.pieces(pieces.MODEL)
+    rng = random.Random(4)
+    for _ in range(300):
+        word = "".join(rng.choice("theionsr é") for _ in range(rng.randrange(1, 30)))
+        for limit in (0, 1 << 61, 1 << 63):
+            chars = [pieces.SPACE if c == " " else c for c in word]
+            assert model._merge_short(list(chars), limit, 9) == model._merge_long(list(chars), limit, 9)
+
+
 def test_pieces_match_the_library_without_dropout(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     texts = [r["text"] for r in spark.read.parquet(f"{plain.SF}/documents.parquet").limit(40).collect()]
