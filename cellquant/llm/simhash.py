@@ -6,10 +6,15 @@ fingerprint goes (one for each two groups) the pair shares at least one: no pair
 shard a vantage-point tree is built over bounded blocks and the triangle bound prunes its branches. Shards above
 ``hot_shard`` rows are dealt again by five of eight groups (56 shards a fingerprint), which leaves 24 free bits, so their
 size has a fixed bound too.
+
+``similar_documents`` takes a similarity of shingle sets instead (0.8 of five-word shingles in the pipeline). Such pairs
+differ in 15 % of a fingerprint's bits, too many for shards that miss none, so it deals 256-bit fingerprints to as many
+shards of random bits as a stated recall needs; the trees and components are the same.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -35,9 +40,15 @@ FIRST_MASKS, SECOND_MASKS = _masks(5, 2), _masks(8, 5)
 
 def fingerprint(text: str | None, shingle_words: int = 3) -> int:
     """Signed 64-bit SimHash: a bit is 1 if set in over half of the shingles' XXH64."""
+    hashes = shingle_hashes(text, shingle_words)
+    return int(majority_bits(hashes).view("<i8")[0]) if len(hashes) else 0
+
+
+def shingle_hashes(text: str | None, shingle_words: int) -> np.ndarray:
+    """XXH64 of every shingle, repeats included; a text of fewer words is one shingle, a wordless one has none."""
     words = ascii_words(text)
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line, n = b" ".join(words), len(words)
     if n <= shingle_words:
         hashes = [xxhash.xxh64_intdigest(line, SEED)]
@@ -46,12 +57,15 @@ def fingerprint(text: str | None, shingle_words: int = 3) -> int:
         starts = np.concatenate(([0], ends[:-1] + 1))
         digest = xxhash.xxh64_intdigest
         hashes = [digest(line[a:b], SEED) for a, b in zip(starts[: n - shingle_words + 1].tolist(), ends[shingle_words - 1 :].tolist(), strict=True)]
-    h = np.array(hashes, np.uint64)
+    return np.array(hashes, np.uint64)
+
+
+def majority_bits(h: np.ndarray) -> np.ndarray:
+    """The 64 bits set in over half of the hashes, as 8 bytes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(h), 65_536):  # bounded however long the text
         ones += np.unpackbits(h[at : at + 65_536].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = np.packbits(ones * 2 > len(h), bitorder="little")
-    return int(bits.view("<i8")[0])
+    return np.packbits(ones * 2 > len(h), bitorder="little")
 
 
 def fingerprints(documents: DataFrame, shingle_words: int = 3) -> DataFrame:
@@ -222,5 +236,155 @@ def near_duplicates(documents: DataFrame, *, shingle_words: int = 3) -> DataFram
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+WIDE = 4  # words of 64 bits in a wide fingerprint
+_SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
+
+
+def wide_fingerprint(text: str | None, shingle_words: int) -> bytes:
+    """256-bit SimHash: four hashes are drawn from each shingle's XXH64. All zero for wordless texts."""
+    h = shingle_hashes(text, shingle_words)
+    if not len(h):
+        return bytes(8 * WIDE)
+    out = b""
+    for factor in _SPREAD:
+        x = (h ^ (h >> np.uint64(31))) * factor
+        out += majority_bits((x ^ (x >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)).tobytes()
+    return out
+
+
+def bits_apart(similarity: float) -> float:
+    """Share of bits in which SimHashes of two equally long texts of that Jaccard similarity differ on average."""
+    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+
+
+def close_links(fps: np.ndarray, radius: int, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """(links, parent): links as rows of two places that join all of ``fps`` (n x words) that belong together.
+
+    Each vantage point is linked to all in its ball at once, so a tight group costs one comparison a row and never all its
+    pairs; by the triangle inequality only what is within twice the radius can meet members of the ball.
+    """
+    parent, out = np.arange(len(fps)), []
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def link(a: int, b: int) -> None:
+        x, y = root(a), root(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((a, b))
+
+    def cross(a: np.ndarray, b: np.ndarray) -> None:
+        for lo in range(0, len(a), block):
+            for at in range(0, len(b), block):
+                p, q = a[lo : lo + block], b[at : at + block]
+                for i, j in zip(*np.nonzero(np.bitwise_count(fps[p][:, None] ^ fps[q][None]).sum(axis=2, dtype=np.int16) <= radius), strict=True):
+                    if parent[p[i]] != parent[q[j]]:
+                        link(int(p[i]), int(q[j]))
+
+    todo = [np.arange(len(fps))]
+    while todo:
+        at = todo.pop()
+        if len(at) <= 256:
+            d = np.bitwise_count(fps[at][:, None] ^ fps[at][None]).sum(axis=2, dtype=np.int16)
+            for i, j in zip(*np.nonzero(np.triu(d <= radius, 1)), strict=True):
+                link(int(at[i]), int(at[j]))
+            continue
+        d = np.bitwise_count(fps[at] ^ fps[at[0]]).sum(axis=1, dtype=np.int16)
+        ball, rest, far = at[d <= radius], at[d > radius], d[d > radius]
+        for i in ball[1:].tolist():
+            link(int(at[0]), i)
+        cross(ball[1:], rest[far <= 2 * radius])
+        if len(rest) <= 256 or len(ball) > len(rest) // 64:
+            todo.append(rest)
+            continue
+        middle = np.median(far)
+        todo += [rest[far <= middle], rest[far > middle]]
+        cross(rest[(far <= middle) & (far > middle - radius)], rest[(far > middle) & (far <= middle + radius)])
+    for i in range(len(parent)):
+        root(i)
+    return np.array(out, np.int64).reshape(-1, 2), np.array([root(i) for i in range(len(parent))], np.int64)
+
+
+def shard_plan(rows: int, similarity: float, recall: float = 0.97, shard_rows: int = 128) -> list[np.ndarray]:
+    """Bits that name the shards of each dealing: so many that shards of unrelated texts hold ``shard_rows`` on average, in
+    so many dealings that a pair of just that similarity shares one with the probability ``recall``."""
+    k = max(4, math.ceil(math.log2(max(1, rows) / shard_rows)))
+    dealings = math.ceil(math.log(1 - recall) / math.log(1 - (1 - bits_apart(similarity)) ** k))
+    rng = np.random.default_rng(SEED)
+    return [np.sort(rng.permutation(64 * WIDE)[:k]) for _ in range(dealings)]
+
+
+def _wide_links(distinct: DataFrame, plan: list[np.ndarray], radius: int, window: int = 50_000) -> DataFrame:
+    """Links (a, b) of wide fingerprints (column fp) within the shards of all dealings. A shard beyond ``window`` rows goes
+    window by window in order of fingerprints, and one member of each component found so far meets the next window."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint8).reshape(-1, 8 * WIDE)
+            bits = np.unpackbits(raw, axis=1, bitorder="little")
+            for t, places in enumerate(plan):
+                key = bits[:, places].astype(np.int64) @ (np.int64(1) << np.arange(len(places)))
+                yield pa.RecordBatch.from_arrays([pa.array((np.int64(t) << 44) + key), b.column(0)], ["shard", "fp"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        carried, last, size = np.zeros((0, WIDE), np.uint64), None, 0
+
+        def out(whole: bool) -> list[tuple[bytes, bytes]]:
+            nonlocal carried, held, size
+            fps = np.concatenate([carried, *held])
+            links, parent = close_links(fps, radius) if len(fps) > 1 else (np.zeros((0, 2), int), np.arange(len(fps)))
+            carried = np.zeros((0, WIDE), np.uint64) if whole else fps[np.unique(parent)]
+            held, size = [], 0
+            return [(fps[a].tobytes(), fps[b].tobytes()) for a, b in links]
+
+        for b in batches:
+            shard = b.column(0).to_numpy()
+            fps = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint64).reshape(-1, WIDE)
+            edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            found = []
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if last is not None and shard[lo] != last:
+                    found += out(True)
+                last = shard[lo]
+                held.append(fps[lo:hi])
+                size += hi - lo
+                if size >= window:
+                    found += out(False)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+        found = out(True)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    dealt = distinct.select("fp").mapInArrow(deal, "shard long, fp binary")
+    return dealt.repartition("shard").sortWithinPartitions("shard", "fp").mapInArrow(run, "a binary, b binary").distinct()
+
+
+def similar_documents(documents: DataFrame, *, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) for every row: component_id is the smallest doc_id reachable over texts whose shingles are
+    that similar, judged by 256-bit SimHashes (the bits in which such texts differ on average, and one deviation more).
+
+    Texts with the same words always belong together; null, empty and wordless ones too. Rows that repeat a doc_id each
+    get a row. An empty table gives an empty result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([wide_fingerprint(t.as_py(), shingle_words) for t in b.column(1)], pa.binary())], ["doc_id", "fp"])
+
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    fps = materialize(documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp binary"), "wide-fingerprints")
+    distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct-fingerprints")
+    p, n = bits_apart(similarity), 64 * WIDE
+    links = _wide_links(distinct, shard_plan(distinct.count(), similarity), round(n * p + math.sqrt(n * p * (1 - p))))
+    roots = connected_components(links)
+    labelled = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root"))
+    ids = labelled.groupBy("root").agg(F.min("first_doc").alias("component_id"))
+    return fps.join(labelled.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "component_id")
+
+
 def hex16(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -45,6 +45,15 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 
 
+def shingles(text, n=5):
+    words = re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
 def components(fps):
     """{doc_id: smallest doc_id reachable} from {doc_id: fingerprint}."""
     parent = {i: i for i in fps}

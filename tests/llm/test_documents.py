@@ -130,6 +130,41 @@ def test_vantage_tree_finds_all_pairs():
     assert found == int((np.bitwise_count(fps[:, None] ^ fps[None]) <= 2).sum())
 
 
+def test_close_links_join_what_belongs_together():
+    """Against all pairs: unrelated rows, a tight group, and a chain whose ends are far apart."""
+    rng = np.random.default_rng(6)
+    fps = rng.integers(0, 2**63, (900, 4), dtype=np.uint64)
+    fps[100:500] = fps[100] ^ np.uint64(1) << rng.integers(0, 64, (400, 4), dtype=np.uint64)
+    for i in range(600, 640):
+        fps[i] = fps[i - 1]
+        fps[i, i % 4] ^= np.uint64((1 << 20) - 1) << np.uint64(i % 40)
+    for radius in (20, 45):
+        links, parent = simhash.close_links(fps, radius)
+        near = np.bitwise_count(fps[:, None] ^ fps[None]).sum(axis=2, dtype=int) <= radius
+        want = np.arange(len(fps))
+        while (now := np.where(near, want[None], len(fps)).min(axis=1)).tolist() != want.tolist():
+            want = now
+        assert (parent == want).all() and all(near[a, b] for a, b in links) and len(links) == len(fps) - len(set(want.tolist()))
+
+
+def test_similar_documents(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(3000)]
+    base = [list(rng.choice(words, 300)) for _ in range(40)]
+    rows = [(i, " ".join(b)) for i, b in enumerate(base)]
+    rows += [(100 + i, " ".join([*b[:150], "changed", *b[151:]])) for i, b in enumerate(base)]  # 0.97
+    rows += [(200 + i, " ".join([*b[:150], *base[i - 1][150:]])) for i, b in enumerate(base)]  # 0.33
+    rows += [(300 + i, " ".join([*base[0][:50], f"only{i}", *base[0][50:]])) for i in range(60)]  # a large group
+    want = {i: i for i, _ in rows} | {100 + i: i for i in range(40)} | {300 + i: 0 for i in range(60)}
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(_frame(spark, rows)).collect()} == want
+    links = simhash._wide_links(spark.createDataFrame([(bytearray(simhash.wide_fingerprint(t, 5)),) for _, t in rows], "fp binary"), simhash.shard_plan(len(rows), 0.8), 44, window=7)
+    roots = {bytes(r["node"]): bytes(r["root"]) for r in simhash.connected_components(links).collect()}
+    assert len({roots[simhash.wide_fingerprint(t, 5)] for i, t in rows if i >= 300 or i == 0}) == 1
+    assert simhash.similar_documents(_frame(spark, [])).count() == 0
+    again = simhash.similar_documents(_frame(spark, [(4, "x"), (4, "x"), (None, "X"), (2, None), (1, " "), (7, "y " * 30_000)]))
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in again.collect()) == [(0, 4), (1, 1), (2, 1), (4, 4), (4, 4), (7, 7)]
+
+
 def test_personal_data(spark):
     rows = _documents(spark) + [(30_000 + i, t) for i, t in enumerate(["call (988) 555-2485 now", "a.b@c", "x@y.z@w.v", "+1" + "(" * 3000, "1-2 3-4", "4111111111111111"])]
     df = _frame(spark, rows)
