@@ -252,9 +252,12 @@ def cell_taxonomy(spark, sf):
     return fragments.category_counts(_assigned(spark, sf))
 
 
+_BAD = """SELECT cell, type, n FROM (SELECT CASE WHEN t.total >= 70 THEN t.bc ELSE 'bad' END AS cell, cast(sum(exon) as bigint) AS exon, cast(sum(intron) as bigint) AS intron, cast(sum(ambiguity) as bigint) AS ambiguity,
+ cast(sum(intergenic) as bigint) AS intergenic, cast(sum(greatest(t.total - mapped, 0)) as bigint) AS unmapped FROM tot t JOIN cells c USING (bc) GROUP BY 1) UNPIVOT (n FOR type IN (exon, intron, ambiguity, intergenic, unmapped))"""
+
+
 @_query(
-    """SELECT cell, type, n FROM (SELECT CASE WHEN t.total >= 70 THEN t.bc ELSE 'bad' END AS cell, cast(sum(exon) as bigint) AS exon, cast(sum(intron) as bigint) AS intron, cast(sum(ambiguity) as bigint) AS ambiguity,
- cast(sum(intergenic) as bigint) AS intergenic, cast(sum(greatest(t.total - mapped, 0)) as bigint) AS unmapped FROM tot t JOIN cells c USING (bc) GROUP BY 1) UNPIVOT (n FOR type IN (exon, intron, ambiguity, intergenic, unmapped))""",
+    _BAD,
     needs=_ALL, ctes=f"{_ASSIGNED}, cells AS ({_CELLS}), tot AS (SELECT bc, count(*) + 3 AS total FROM reads GROUP BY bc)",
 )
 def readspercell_bad_rollup(spark, sf):
@@ -401,6 +404,49 @@ def qc_medians(spark, sf):
     return qc.medians(cell_taxonomy(spark, sf), "exon", "mapped")
 
 
+_SPAN = """spl AS (SELECT *, coalesce(sum(end_pos - start_pos + 1) OVER (PARTITION BY gene_id ORDER BY start_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - start_pos AS before FROM merged),
+tspan AS (SELECT rid, gene_id, min(before + greatest(s, start_pos)) AS lo, max(before + least(e, end_pos)) AS hi FROM block b JOIN spl ON spl.chrom = b.chrom AND b.s <= spl.end_pos AND spl.start_pos <= b.e GROUP BY rid, gene_id),
+sizes AS (SELECT tagged, cast(hi - lo + 1 as bigint) AS size, count(*) AS n FROM assigned a JOIN tspan ON tspan.rid = a.rid AND tspan.gene_id = a.ge[1] WHERE is_uniq AND len(ge) = 1 GROUP BY 1, 2)"""
+
+
+@_query("SELECT rid, gene_id, cast(lo as bigint) AS lo, cast(hi as bigint) AS hi FROM tspan", needs=_ALL, ctes=f"{_ASSIGNED}, {_SPAN}")
+def transcript_spans(spark, sf):
+    return qc.transcript_spans(_blocks(spark, sf), _merged(spark, sf))
+
+
+@_query("SELECT * FROM sizes", needs=_ALL, ctes=f"{_ASSIGNED}, {_SPAN}")
+def insert_size_hist(spark, sf):
+    return qc.insert_sizes(_assigned(spark, sf), transcript_spans(spark, sf))
+
+
+@_query("SELECT tagged, size, n, round(100 * n / sum(n) OVER (PARTITION BY tagged), 6) AS percent FROM sizes WHERE size BETWEEN 40 AND 10000", needs=_ALL, ctes=f"{_ASSIGNED}, {_SPAN}")
+def insert_size_fraction(spark, sf):
+    return qc.insert_size_shares(insert_size_hist(spark, sf), least=40).withColumn("percent", F.round("percent", 6))
+
+
+@_query("SELECT bc, count(*) FILTER (WHERE NOT tagged) AS n_nontagged, count(*) FILTER (WHERE tagged) AS n_umi_tag FROM assigned GROUP BY bc", needs=_ALL, ctes=_ASSIGNED)
+def bcumistats(spark, sf):
+    return qc.read_kinds(_assigned(spark, sf))
+
+
+@_query(
+    "SELECT type, n, round(100 * n / sum(n) OVER (), 6) AS percent FROM (SELECT CASE WHEN cell = 'bad' THEN 'unused' ELSE type END AS type, cast(sum(n) as bigint) AS n FROM rpc GROUP BY 1)",
+    needs=_ALL, ctes=f"{_ASSIGNED}, cells AS ({_CELLS}), tot AS (SELECT bc, count(*) + 3 AS total FROM reads GROUP BY bc), rpc AS ({_BAD})",
+)
+def qc_read_type_pct(spark, sf):
+    return qc.type_shares(readspercell_bad_rollup(spark, sf)).withColumn("percent", F.round("percent", 6))
+
+
+@_query(
+    """SELECT level, bc, layer, count(*) AS n FROM (SELECT bc, layer, row_number() OVER (PARTITION BY bc, layer ORDER BY md5(concat('s42', cast(rid as varchar))), rid) AS turn, count(*) OVER (PARTITION BY bc, layer) AS held, depth
+ FROM layer JOIN (SELECT bc, count(DISTINCT rid) AS depth FROM layer GROUP BY bc) USING (bc)) CROSS JOIN (VALUES ('downsampled_8', 8, 8), ('downsampled_5-12', 5, 12)) v(level, least, most)
+ WHERE depth >= least AND turn <= CASE WHEN depth <= most THEN held ELSE floor(most * held / depth + 0.5) END GROUP BY level, bc, layer""",
+    needs=_ALL, ctes=_ASSIGNED,
+)
+def downsample_levels(spark, sf):
+    return matrices.downsample_levels(_layers(spark, sf), ["8", "5-12"]).groupBy("level", "bc", "layer").agg(F.count(F.lit(1)).alias("n"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gzip
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +78,34 @@ def test_readers(spark, tmp_path):
     assert [tuple(r) for r in readers.read_index_panel(spark, str(tmp_path / "p.csv")).collect()] == [("TTTT", "ACGT")]
 
 
+def test_fastq_lanes(spark, tmp_path):
+    def lane(k, n, short=0):
+        paths = []
+        for f in ("r1", "r2", "i1", "i2"):
+            p = tmp_path / f"{k}{f}.fq.gz"
+            text = "".join(f"@{k}:{i}/1\n{f[0].upper()}{'ACGT' * (i % 3 + 1)}\n+\n{'I' * (4 * (i % 3 + 1) + 1)}\n" for i in range(n - (short if f == "i2" else 0)))
+            p.write_bytes(gzip.compress(text.encode()) if f != "i1" else text.encode())
+            paths.append(str(p))
+        return tuple(paths)
+
+    rows = readers.read_fastq4(spark, [lane("a", 25), (*(f"file://{x}" for x in lane("b", 3)),)], rows=10).orderBy("lane", "n").collect()
+    assert [(r["lane"], r["n"]) for r in rows] == [(0, i) for i in range(25)] + [(1, i) for i in range(3)]
+    assert rows[1].asDict() | {"lane": 0} == {"lane": 0, "n": 1, "read_id": "a:1/1", "r1_seq": "RACGTACGT", "r1_qual": "I" * 9, "r2_seq": "RACGTACGT", "r2_qual": "I" * 9, "i1_seq": "IACGTACGT", "i2_seq": "IACGTACGT"}
+    with pytest.raises(Exception, match="different numbers"):
+        readers.read_fastq4(spark, [lane("c", 5, short=1)]).count()
+
+
+def test_fasta_and_matrix(spark, tmp_path):
+    (tmp_path / "g.fa").write_text(">chr1 first\nACGT\nAC\n>chr2\nACG\n")
+    assert sorted(tuple(r) for r in readers.read_fasta_lengths(spark, str(tmp_path / "g.fa")).collect()) == [("chr1", 6), ("chr2", 3)]
+    assert {r["adapter"] for r in readers.read_adapters(spark, str(tmp_path / "g.fa")).collect()} == {"ACGT", "AC", "ACG"}
+    exons = spark.createDataFrame([("G1", None), ("G2", "N"), ("G2", None)], "gene_id string, gene_name string")
+    assert {tuple(r) for r in readers.gene_names(exons).collect()} == {("G1", "G1"), ("G2", "N")}
+    readers.write_matrix_market(spark.createDataFrame([("g2", "c1", 5), ("g1", "c2", 7), ("g1", "c1", 1)], "gene string, bc string, value long"), str(tmp_path / "mm"))
+    lines = "".join(p.read_text() for p in sorted((tmp_path / "mm" / "matrix").glob("part-*"))).splitlines()
+    assert lines == ["%%MatrixMarket matrix coordinate real general", "2 2 3", "1 1 1", "2 1 5", "1 2 7"]
+
+
 def test_stream(spark, tmp_path):
     src = str(tmp_path / "in")
     spark.createDataFrame([("ACGTACGTAC", "TTTTTGGGGG"), ("ACGTACGTAA", "TTTTTGGGGG"), ("NNNNNNNNNN", "TTTTTGGGGG")], "i1_seq string, i2_seq string").write.parquet(src)
