@@ -8,7 +8,7 @@ shard a vantage-point tree is built over bounded blocks and the triangle bound p
 size has a fixed bound too.
 
 ``similar_documents`` takes a similarity of shingle sets instead (0.8 of five-word shingles in the pipeline). Such pairs
-differ in 15 % of a fingerprint's bits, too many for shards that miss none, so it deals 256-bit fingerprints to as many
+differ in 15 % of a fingerprint's bits, too many for shards that miss none, so it deals 512-bit fingerprints to as many
 shards of random bits as a stated recall needs; the trees and components are the same.
 """
 
@@ -236,12 +236,12 @@ def near_duplicates(documents: DataFrame, *, shingle_words: int = 3) -> DataFram
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-WIDE = 4  # words of 64 bits in a wide fingerprint
-_SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64)
+WIDE = 8  # words of 64 bits in a wide fingerprint
+_SPREAD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, WIDE, dtype=np.uint64) | np.uint64(1)
 
 
 def wide_fingerprint(text: str | None, shingle_words: int) -> bytes:
-    """256-bit SimHash: four hashes are drawn from each shingle's XXH64. All zero for wordless texts."""
+    """512-bit SimHash: eight hashes are drawn from each shingle's XXH64. All zero for wordless texts."""
     h = shingle_hashes(text, shingle_words)
     if not len(h):
         return bytes(8 * WIDE)
@@ -365,7 +365,7 @@ def _wide_links(distinct: DataFrame, plan: list[np.ndarray], radius: int, window
 
 def similar_documents(documents: DataFrame, *, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) for every row: component_id is the smallest doc_id reachable over texts whose shingles are
-    that similar, judged by 256-bit SimHashes (the bits in which such texts differ on average, and one deviation more).
+    that similar, judged by 512-bit SimHashes (the bits in which such texts differ on average, and one deviation more).
 
     Texts with the same words always belong together; null, empty and wordless ones too. Rows that repeat a doc_id each
     get a row. An empty table gives an empty result.

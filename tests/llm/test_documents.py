@@ -157,7 +157,7 @@ def test_similar_documents(spark):
     rows += [(300 + i, " ".join([*base[0][:50], f"only{i}", *base[0][50:]])) for i in range(60)]  # a large group
     want = {i: i for i, _ in rows} | {100 + i: i for i in range(40)} | {300 + i: 0 for i in range(60)}
     assert {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(_frame(spark, rows)).collect()} == want
-    links = simhash._wide_links(spark.createDataFrame([(bytearray(simhash.wide_fingerprint(t, 5)),) for _, t in rows], "fp binary"), simhash.shard_plan(len(rows), 0.8), 44, window=7)
+    links = simhash._wide_links(spark.createDataFrame([(bytearray(simhash.wide_fingerprint(t, 5)),) for _, t in rows], "fp binary"), simhash.shard_plan(len(rows), 0.8), 88, window=7)
     roots = {bytes(r["node"]): bytes(r["root"]) for r in simhash.connected_components(links).collect()}
     assert len({roots[simhash.wide_fingerprint(t, 5)] for i, t in rows if i >= 300 or i == 0}) == 1
     assert simhash.similar_documents(_frame(spark, [])).count() == 0
