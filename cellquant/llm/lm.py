@@ -2,8 +2,10 @@
 
 Training tokens become word and word-pair counts. A pair (or word) of count c has level 1 + floor(log2 c) and is put into
 the filter once for each level up to its own; a reader probes level after level until one is absent, which gives the count
-back to a factor of two. The filter's size follows the number of training tokens up to ``max_bits``; beyond that, the
-lowest levels are not stored, by the bound that at most N / 2^j n-grams have 2^j or more occurrences, so it always fits.
+back to a factor of two. The filter's size follows the number of training tokens without a limit: it is a table of
+segments of a bounded size, and no task or broadcast holds more than one. The n-grams of all texts, distinct within parts
+of the rows, are dealt to the segments with their training counts; a segment's task sets its bits, probes them for each
+part, and the levels go back to the part's rows.
 
 The exact unigram base score is computed beside it: counts of the ``head_words`` most frequent words (a bounded number)
 are broadcast, all other words of a text are joined with their counts.
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellquant.llm.common import ascii_words, materialize, shuffle_partitions
@@ -27,6 +29,8 @@ _START = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _FIRST = np.zeros(1, int)
 HASHES, BITS_A_TOKEN = 3, 6
+#: training tokens for which the filter gets another segment, and n-grams (repeats included) after which a part ends
+SEGMENT_TOKENS, PART_KEYS = 400_000, 2_000_000
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -90,35 +94,52 @@ def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _ngram_blobs(texts: DataFrame, segments: int, flush: int = 2_000_000) -> DataFrame:
-    """(segment, keys, counts): hashed words and pairs with counts, packed by segment of the filter."""
-    shift = np.uint64(64 - segments.bit_length() + 1)
+def _planes(x: np.ndarray) -> bytes:
+    """Byte by byte of all numbers, so that the high zeros compress."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def _numbers(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _ngram_blobs(rows: DataFrame, segments: int) -> DataFrame:
+    """(segment, part, keys, counts) of (row, held_out, text): distinct hashed words and pairs of each part in order, with
+    their training counts (0 if only held-out texts have them), packed by segment of the filter. A part is a run of
+    consecutive rows in one task, named by its first row."""
+    shift, part_keys = np.uint64(64 - segments.bit_length() + 1), PART_KEYS
 
     def run(batches: Batches) -> Batches:
-        ids, held, size = _Ids(), [], 0
+        ids, held, trains, size, first, last = _Ids(), [], [], 0, None, None
 
         def out() -> pa.RecordBatch:
-            keys = np.concatenate(held)
-            keys, n = _merged(keys, np.ones(len(keys), np.uint32))
+            keys, n = _merged(np.concatenate(held), np.repeat(np.array(trains, np.uint32), [len(x) for x in held]))
             cuts = np.searchsorted(keys >> shift, np.arange(segments + 1, dtype=np.uint64)) if segments > 1 else np.array([0, len(keys)])
-            full = [s for s in range(segments) if cuts[s] < cuts[s + 1]]
+            full = np.flatnonzero(np.diff(cuts))
+            steps, n = np.diff(keys, prepend=np.uint64(0)), n.astype(np.uint32)
+            steps[cuts[full]] = keys[cuts[full]]
             held.clear()
-            blobs = [[x[cuts[s] : cuts[s + 1]].tobytes() for s in full] for x in (keys, n.astype(np.uint32))]
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)], ["segment", "keys", "counts"])
+            trains.clear()
+            blobs = [[_planes(x[cuts[s] : cuts[s + 1]]) for s in full.tolist()] for x in (steps, n)]
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([first] * len(full), pa.int64()), *(pa.array(x, pa.binary()) for x in blobs)], ["segment", "part", "keys", "counts"])
 
         for b in batches:
-            for t in b.column(0):
+            for row, held_out, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                if held and (size > part_keys or row != last + 1):
+                    yield out()
+                    size = 0
+                if not held:
+                    first = row
+                last = row
                 words = ascii_words(t.as_py())
                 h = np.fromiter(map(ids.__getitem__, [*words, END]), np.uint64, len(words) + 1)
                 held += [h, _pairs(h, _FIRST)]
+                trains += [not held_out] * 2
                 size += 2 * len(h)
-                if size > flush:
-                    yield out()
-                    size = 0
         if held:
             yield out()
 
-    return texts.mapInArrow(run, "segment int, keys binary, counts binary")
+    return rows.select("row", "held_out", "text").mapInArrow(run, "segment int, part long, keys binary, counts binary")
 
 
 def _places(keys: np.ndarray, level: int, segments: int, bits: int) -> Iterator[np.ndarray]:
@@ -135,17 +156,20 @@ def _places(keys: np.ndarray, level: int, segments: int, bits: int) -> Iterator[
 class LogFrequencyFilter:
     """Read side: ``level(keys)`` probes 1, 2, ... until a level is absent. ``cut`` is the lowest level stored."""
 
-    def __init__(self, data: bytes, segments: int, cut: int):
+    def __init__(self, data: bytes, segments: int, cut: int, alone: bool = False):
+        """With ``alone``, ``data`` is one of the segments, and only keys of that one may be asked for."""
         self.data, self.segments, self.cut = np.frombuffer(data, np.uint8), segments, cut
+        self.bits = len(self.data) * 8 * (segments if alone else 1)
+        self.inside = np.uint64(len(self.data) * 8 - 1 if alone else (1 << 64) - 1)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        bits = len(self.data) * 8
         found = np.zeros(len(keys), np.uint8)
         at, now = np.arange(len(keys)), self.cut
         while len(at):
             k = keys[at]
             hit = np.ones(len(at), bool)
-            for p in _places(k, now, self.segments, bits):
+            for p in _places(k, now, self.segments, self.bits):
+                p &= self.inside
                 hit &= (self.data[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
             at = at[hit]
             found[at] = now
@@ -153,35 +177,43 @@ class LogFrequencyFilter:
         return found
 
 
-def filter_size(tokens: int, max_bits: int) -> tuple[int, int, int]:
-    """(bits, segments, cut) for so many training tokens."""
+def filter_size(tokens: int, max_bits: int | None = None) -> tuple[int, int, int]:
+    """(bits, segments, cut) for so many training tokens. With ``max_bits``, the lowest levels are not stored where all would
+    take more, by the bound that at most N / 2^j n-grams have 2^j or more occurrences; without, none is left out."""
     wanted = max(1 << 16, tokens * BITS_A_TOKEN)
     cut = 1
-    while wanted > max_bits:
+    while max_bits and wanted > max_bits:
         wanted, cut = wanted // 2, cut + 1
-    segments = max(1, min(1 << 16, 1 << max(0, (tokens // 400_000)).bit_length()))
+    segments = 1 << max(0, tokens // SEGMENT_TOKENS).bit_length()
+    if max_bits:
+        segments = min(1 << 16, segments)
     each = max(64, 1 << (wanted // segments).bit_length() - 1)
-    if each * segments * 3 // 2 <= wanted and each * segments * 2 <= max_bits:
+    if each * segments * 3 // 2 <= wanted and (not max_bits or each * segments * 2 <= max_bits):
         each *= 2
     return each * segments, segments, cut
 
 
-def build_filter(training: DataFrame, tokens: int, *, max_bits: int = 1 << 30) -> LogFrequencyFilter:
-    """The filter over words and pairs of ``training`` (text). Each segment's bits are set by one task; the driver only
-    joins them: ``max_bits`` / 8 bytes at most."""
-    bits, segments, cut = filter_size(tokens, max_bits)
+def probe_filter(rows: DataFrame, tokens: int) -> DataFrame:
+    """(part, segment, data): the levels of each part's n-grams in order of their keys, a byte each, and under part -1 the
+    filter's bits. A task sets the bits of one segment whole and then probes them."""
+    bits, segments, cut = filter_size(tokens)
     each = bits // segments
 
     def run(batches: Batches) -> Batches:
-        held: list[tuple[int, bytes, bytes]] = []
+        held: list[tuple[int, int, bytes, bytes]] = []
 
         def out() -> pa.RecordBatch:
-            keys, n = _merged(np.concatenate([np.frombuffer(k, np.uint64) for _, k, _ in held]), np.concatenate([np.frombuffer(c, np.uint32).astype(np.uint64) for _, _, c in held]))
+            asked = [_numbers(k, np.uint64).cumsum(dtype=np.uint64) for _, _, k, _ in held]
+            keys, n = _merged(np.concatenate(asked), np.concatenate([_numbers(c, np.uint32).astype(np.uint64) for _, _, _, c in held]))
             top, data = levels(n), np.zeros(each, bool)
             for level in range(cut, int(top.max()) + 1):
                 for p in _places(keys[top >= level], level, segments, bits):
                     data[p & np.uint64(each - 1)] = True
-            return pa.RecordBatch.from_arrays([pa.array([held[0][0]], pa.int32()), pa.array([np.packbits(data, bitorder="little").tobytes()], pa.binary())], ["segment", "bits"])
+            packed = np.packbits(data, bitorder="little").tobytes()
+            # one segment's bits answer its keys: their high bits are dropped, as its own place among all is
+            found = LogFrequencyFilter(packed, segments, cut, alone=True).level(keys)
+            rows = [(-1, packed), *((part, found[np.searchsorted(keys, k)].tobytes()) for (_, part, _, _), k in zip(held, asked, strict=True))]
+            return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int64()), pa.array([held[0][0]] * len(rows), pa.int32()), pa.array([d for _, d in rows], pa.binary())], ["part", "segment", "data"])
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -192,27 +224,34 @@ def build_filter(training: DataFrame, tokens: int, *, max_bits: int = 1 << 30) -
         if held:
             yield out()
 
-    n = min(segments, max(shuffle_partitions(training.sparkSession), 1))
-    blobs = _ngram_blobs(training, segments).repartition(n, "segment").sortWithinPartitions("segment")
-    parts = dict(blobs.mapInArrow(run, "segment int, bits binary").toLocalIterator())
-    empty = bytes(each // 8)
-    return LogFrequencyFilter(b"".join(bytes(parts.pop(s, empty)) for s in range(segments)), segments, cut)
+    n = min(segments, max(shuffle_partitions(rows.sparkSession), 1))
+    blobs = _ngram_blobs(rows, segments).repartition(n, "segment").sortWithinPartitions("segment")
+    return blobs.mapInArrow(run, "part long, segment int, data binary")
 
 
-def log10_probabilities(h: np.ndarray, starts: np.ndarray, lm: LogFrequencyFilter, tokens: int, distinct: int, mix: float = 0.6) -> np.ndarray:
+def log10_probabilities(word: np.ndarray, pair: np.ndarray, starts: np.ndarray, tokens: int, distinct: int, mix: float = 0.6) -> np.ndarray:
     """log10 P(word | word before) for texts laid end to end: the pair's share of its history, mixed with the word's smoothed share of all tokens.
-    Every count is read from the filter by probes (a level stands for 1.5 times its least count, but 1 for the first)."""
-    unique, back = np.unique(h, return_inverse=True)
+    ``word`` and ``pair`` are levels that the filter gave (a level stands for 1.5 times its least count, but 1 for the first)."""
     value = np.concatenate(([0.0, 1.0], 1.5 * 2.0 ** np.arange(1, 64)))
-    word = value[lm.level(unique)][back]
-    pair = value[lm.level(_pairs(h, starts))]
+    word, pair = value[word], value[pair]
     before = np.concatenate((word[:1], word[:-1]))
     before[starts] = 0  # the start's count is not stored
     share = np.where(before > 0, np.minimum(pair, word) / np.maximum(before, 1), 0)
     return np.log10(mix * np.minimum(share, 1) + (1 - mix) * (word + 0.1) / (tokens + 0.1 * (distinct + 1)))
 
 
-def score_documents(documents: DataFrame, *, folds: int = 10, max_bits: int = 1 << 30, head_words: int = 500_000) -> DataFrame:
+def _with_levels(rows: DataFrame, probed: DataFrame) -> DataFrame:
+    """(part, row, doc_id, held_out, text, segment, data): each part's levels (row -1), then its rows, in one task."""
+    answers = probed.where("part >= 0")
+    ends = F.lead("part").over(Window.partitionBy(F.shiftright("part", 33)).orderBy("part"))  # row ids of one task share their high bits
+    parts = answers.select("part").distinct().select("part", ends.alias("until"))
+    inside = (F.shiftright("row", 33) == F.shiftright("part", 33)) & (F.col("row") >= F.col("part")) & (F.col("row") < F.coalesce("until", F.lit((1 << 63) - 1)))
+    texts = rows.join(F.broadcast(parts), inside).drop("until")
+    both = texts.unionByName(answers.withColumn("row", F.lit(-1).cast("long")), allowMissingColumns=True)
+    return both.select("part", "row", "doc_id", "held_out", "text", "segment", "data").repartition("part").sortWithinPartitions("part", "row", "segment")
+
+
+def score_documents(documents: DataFrame, *, folds: int = 10, head_words: int = 500_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Training rows are those whose crc32(doc_id as text) is no multiple of ``folds``; a row with a null doc_id trains. A
@@ -220,48 +259,81 @@ def score_documents(documents: DataFrame, *, folds: int = 10, max_bits: int = 1
     Repeated rows each train and each get a row; other columns are ignored.
     """
     spark = documents.sparkSession
-    rows = documents.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False)).alias("held_out"), "text")
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False)).alias("held_out"), "text")
+    rows = materialize(rows, "scored-rows")  # the row ids must not change any more
     training = rows.where(~F.col("held_out")).select("text")
     counts = materialize(_counted(training), "word-counts")
     tokens, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count(F.lit(1))).first())
-    lm = build_filter(training, tokens, max_bits=max_bits)
+    held = rows.where("held_out").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    probed = materialize(probe_filter(rows, max(tokens, held // 6)), "filter")  # segments for held-out n-grams too, where few rows train
     head = counts.orderBy(F.desc("n"), "word").limit(head_words)
     table = head.toArrow()
     floor = int(table["n"][-1].as_py()) if table.num_rows == head_words else 0
     words = dict(zip(map(bytes, table["word"].to_pylist()), table["n"].to_pylist(), strict=True))
-    shared = spark.sparkContext.broadcast((lm.data.tobytes(), lm.segments, lm.cut, words))
-    del lm, words, table
+    shared = spark.sparkContext.broadcast(words)
+    del words, table
 
     def run(batches: Batches) -> Batches:
-        data, segments, cut, head = shared.value
-        lm, ids, head = LogFrequencyFilter(data, segments, cut), _Ids(), _Counts(head)
+        ids, head = _Ids(), _Counts(shared.value)
+        now, found, done, hashes = None, [], [], []
+
+        def read(b: pa.RecordBatch) -> None:
+            """Base scores and hashes of some rows, kept until their part ends."""
+            texts = [[*ascii_words(t.as_py()), END] for t in b.column("text")]
+            sizes = np.array([len(t) for t in texts])
+            starts = np.cumsum(sizes) - sizes
+            tok = [w for t in texts for w in t]
+            hashes.append((np.fromiter(map(ids.__getitem__, tok), np.uint64, len(tok)), sizes))
+            c = np.fromiter(map(head.__getitem__, tok), np.int64, len(tok))
+            logs = np.log10(c + 0.1)
+            logs[c == 0] = 0
+            rare = [Counter(tok[i] for i in (s + np.flatnonzero(c[s : s + n] == 0)).tolist()) for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
+            cols = [
+                *(b.column(x) for x in ("row", "doc_id", "held_out")),
+                pa.array(sizes),
+                pa.array(np.add.reduceat((c > 0).astype(np.int64), starts)),
+                pa.array(np.add.reduceat(logs, starts)),
+                pa.array([list(r) for r in rare], pa.list_(pa.binary())),
+                pa.array([list(r.values()) for r in rare], pa.list_(pa.int64())),
+            ]
+            done.append(pa.RecordBatch.from_arrays(cols, ["row", "doc_id", "held_out", "n_tokens", "known", "part", "rare", "times"]))
+
+        def out() -> Batches:
+            """The part's rows with their scores: its n-grams in order are those that were asked for."""
+            h, sizes = (np.concatenate(x) for x in zip(*hashes, strict=True))
+            starts = np.cumsum(sizes) - sizes
+            keys, back = np.unique(np.concatenate((h, _pairs(h, starts))), return_inverse=True)
+            level = np.frombuffer(b"".join(found), np.uint8)
+            assert len(level) == len(keys), "levels of other rows"
+            level = level[back]
+            scores = np.add.reduceat(log10_probabilities(level[: len(h)], level[len(h) :], starts, tokens, distinct), starts)
+            at = 0
+            for b in done:
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores[at : at + b.num_rows])], [*b.schema.names, "score"])
+                at += b.num_rows
+            done.clear()
+            hashes.clear()
+            found.clear()
+
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):  # enough texts for long arrays, few enough for memory
-                b = batch.slice(lo, 500)
-                texts = [[*ascii_words(t.as_py()), END] for t in b.column(2)]
-                sizes = np.array([len(t) for t in texts])
-                starts = np.cumsum(sizes) - sizes
-                tok = [w for t in texts for w in t]
-                h = np.fromiter(map(ids.__getitem__, tok), np.uint64, len(tok))
-                c = np.fromiter(map(head.__getitem__, tok), np.int64, len(tok))
-                logs = np.log10(c + 0.1)
-                logs[c == 0] = 0
-                rare = [Counter(tok[i] for i in (s + np.flatnonzero(c[s : s + n] == 0)).tolist()) for s, n in zip(starts.tolist(), sizes.tolist(), strict=True)]
-                cols = [
-                    b.column(0),
-                    b.column(1),
-                    pa.array(sizes),
-                    pa.array(np.add.reduceat((c > 0).astype(np.int64), starts)),
-                    pa.array(np.add.reduceat(logs, starts)),
-                    pa.array([list(r) for r in rare], pa.list_(pa.binary())),
-                    pa.array([list(r.values()) for r in rare], pa.list_(pa.int64())),
-                    pa.array(np.add.reduceat(log10_probabilities(h, starts, lm, tokens, distinct), starts)),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "held_out", "n_tokens", "known", "part", "rare", "times", "score"])
+            part, row = batch.column("part").to_numpy(), batch.column("row").to_numpy()
+            edges = [0, *(np.flatnonzero((part[1:] != part[:-1]) | ((row[1:] < 0) != (row[:-1] < 0))) + 1).tolist(), len(part)] if len(part) else []
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if part[lo] != now:
+                    if now is not None:
+                        yield from out()
+                    now = part[lo]
+                if row[lo] < 0:
+                    found += batch.column("data").slice(lo, hi - lo).to_pylist()
+                else:
+                    for at in range(lo, hi, 500):  # enough texts for long arrays, few enough for memory
+                        read(batch.slice(at, min(500, hi - at)))
+        if now is not None:
+            yield from out()
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     scored = materialize(
-        rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, known long, part double, rare array<binary>, times array<long>, score double").withColumn("row", F.monotonically_increasing_id()), "scored"
+        _with_levels(rows, probed).mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, part double, rare array<binary>, times array<long>, score double"), "scored"
     )
     tail = counts.where(F.col("n") <= floor)  # the head holds every word above; words of it are never asked for
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row", F.col("r.rare").alias("word"), F.col("r.times").alias("times"))

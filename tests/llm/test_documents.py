@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from cellquant.llm import decontam, lm, pii, queries, simhash, suffix, toxicity
 from tests.llm import plain
@@ -218,6 +220,37 @@ def test_filter_counts():
     assert lm.filter_size(10**13, 1 << 30)[0] <= 1 << 30 and lm.filter_size(10**13, 1 << 30)[2] > 10
 
 
+@pytest.mark.parametrize(("segment_tokens", "part_keys"), [(400_000, 2_000_000), (2000, 500)])
+def test_filter_in_segments(spark, monkeypatch, segment_tokens, part_keys):
+    """Scores are those of one whole filter with all levels, whatever the segments and parts; its size has no limit."""
+    monkeypatch.setattr(lm, "SEGMENT_TOKENS", segment_tokens)
+    monkeypatch.setattr(lm, "PART_KEYS", part_keys)
+    rows = [*_documents(spark), *((70_000 + i, "said once or twice " * (i % 3)) for i in range(50))]
+    hashes, key_counts = {}, {}
+    for i, t in rows:
+        h = np.array([xxhash.xxh64_intdigest(w) for w in [*(t or "").encode().lower().split(), lm.END]], np.uint64)
+        hashes[i] = (h, lm._pairs(h, np.zeros(1, int)))
+        if zlib.crc32(str(i).encode()) % 10:
+            for k in np.concatenate(hashes[i]).tolist():
+                key_counts[k] = key_counts.get(k, 0) + 1
+    got = {r["doc_id"]: r for r in lm.score_documents(_frame(spark, rows)).collect()}
+    tokens = got[1]["train_tokens"]
+    bits, segments, cut = lm.filter_size(tokens)
+    assert cut == 1 and (segments > 8) == (segment_tokens == 2000)
+    keys, data = np.array(list(key_counts), np.uint64), np.zeros(bits, bool)
+    top = lm.levels(np.array(list(key_counts.values())))
+    for level in range(1, int(top.max()) + 1):
+        for p in lm._places(keys[top >= level], level, segments, bits):
+            data[p] = True
+    whole = lm.LogFrequencyFilter(np.packbits(data, bitorder="little").tobytes(), segments, 1)
+    distinct = len({w for i, t in rows if zlib.crc32(str(i).encode()) % 10 for w in [*(t or "").encode().lower().split(), lm.END]})
+    for i, (h, pairs) in hashes.items():
+        want = lm.log10_probabilities(whole.level(h), whole.level(pairs), np.zeros(1, int), tokens, distinct).sum()
+        assert abs(got[i]["score"] - want) < 1e-6 * max(1, abs(want))
+    bits, segments, cut = lm.filter_size(5 * 10**9)
+    assert cut == 1 and bits >= 4 * 5 * 10**9 and bits // segments <= 8 * segment_tokens
+
+
 def test_decontamination(spark):
     docs = _documents(spark)
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{plain.SF}/benchmark.parquet").collect()]
