@@ -5,8 +5,8 @@ prescribes. Each candidate taken from the agenda is skipped if a keyed hash of (
 dropout rate, so a seed always gives the same segmentation and another seed another one; all of them decode to the text.
 
 No merge crosses the start of a word (checked on the vocabulary), so words are encoded one by one and remembered. Words
-of a text take turns among ``variants`` keys, from a place set by the document's text; with more than one, repeated words
-vary too.
+of a text take turns among ``variants`` keys, from a place set by the whole text, so repeated words vary within a text and
+from text to text.
 """
 
 from __future__ import annotations
@@ -94,8 +94,11 @@ class Pieces:
         return piece, np.where(found, self.rank[piece], _NONE)
 
     def encode_words(self, words: list[str], dropout: Dropout) -> list[list[int]]:
-        """Ids of chunks of text. Words of one length form blocks whose agendas advance together, longer ones have a heap."""
-        out: list[list[int]] = [[]] * len(words)
+        return [np.frombuffer(x, np.int32).tolist() for x in self.pack_words(words, dropout)]
+
+    def pack_words(self, words: list[str], dropout: Dropout) -> list[bytes]:
+        """Ids of chunks of text, as bytes. Words of one length form blocks whose agendas advance together, longer ones have a heap."""
+        out = [b""] * len(words)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         order = np.argsort(sizes, kind="stable")
         edges = np.flatnonzero(np.diff(sizes[order])) + 1
@@ -110,13 +113,14 @@ class Pieces:
                 alive = self._merge_block(symbols, dropout) if n <= SHORT else self._merge_long(symbols, dropout)
                 rough = ((symbols < 0) & alive).any(axis=1)
                 ends = np.cumsum(alive.sum(axis=1)).tolist()
-                flat = symbols[alive].tolist()
+                flat = symbols[alive].tobytes()
                 for i, a, b in zip(at, [0, *ends], ends, strict=False):
-                    out[i] = flat[a:b]
+                    out[i] = flat[4 * a : 4 * b]
                 for r in np.flatnonzero(rough).tolist():
                     i = at[r]
                     places = np.flatnonzero(alive[r]).tolist()
-                    out[i] = [x for k, s in zip(places, out[i], strict=True) for x in ([s] if s >= 0 else [self.byte_id[y] for y in words[i][k].encode()])]
+                    ids = [x for k, s in zip(places, np.frombuffer(out[i], np.int32).tolist(), strict=True) for x in ([s] if s >= 0 else [self.byte_id[y] for y in words[i][k].encode()])]
+                    out[i] = np.array(ids, np.int32).tobytes()
         return out
 
     def _merge_block(self, symbols: np.ndarray, dropout: Dropout) -> np.ndarray:
@@ -195,7 +199,7 @@ def pieces(model_file: str) -> Pieces:
 
 
 class _Words(dict):
-    """Word to ids under one key. Two generations are remembered, bounded by their characters, so that frequent words stay."""
+    """Word to ids (as bytes) under one key. Two generations are remembered, bounded by their characters, so that frequent words stay."""
 
     def __init__(self, model: Pieces, dropout: float, key: int, most_chars: int = 2_000_000):
         super().__init__()
@@ -209,7 +213,7 @@ class _Words(dict):
         missing = words.difference(self)
         new = list(missing.difference(self.older))
         self.update((w, self.older[w]) for w in missing.intersection(self.older))
-        self.update(zip(new, self.model.encode_words(new, self.dropout), strict=True))
+        self.update(zip(new, self.model.pack_words(new, self.dropout), strict=True))
         self.chars += sum(map(len, missing))
 
 
@@ -219,27 +223,31 @@ def _caches(model_file: str, dropout: float, seed: int, variants: int) -> list[_
     return [_Words(pieces(model_file), dropout, xxhash.xxh64_intdigest(f"{seed}:{v}")) for v in range(variants)]
 
 
-def encode_texts(texts: list[str], caches: list[_Words]) -> list[list[int]]:
-    """Ids of whole texts: the words of a text take turns among the caches."""
+def pack_texts(texts: list[str], caches: list[_Words]) -> list[bytes]:
+    """Ids of whole texts, as bytes: the words of a text take turns among the caches."""
     by_word, v = caches[0].model.by_word, len(caches)
     words = [_CHUNKS(t) if by_word else [t] if t else [] for t in texts]
-    first = [xxhash.xxh64_intdigest(t[:64]) if v > 1 else 0 for t in texts]
+    first = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) % v if v > 1 else 0 for t in texts]
     for k, cache in enumerate(caches):
         cache.learn(set(chain.from_iterable(w[(k - f) % v :: v] for w, f in zip(words, first, strict=True))))
     out = []
     for w, f in zip(words, first, strict=True):
-        ids = [None] * len(w)
+        ids = [b""] * len(w)
         for i in range(v):
             ids[i::v] = map(caches[(f + i) % v].__getitem__, w[i::v])
-        out.append(list(chain.from_iterable(ids)))
+        out.append(b"".join(ids))
     return out
 
 
+def encode_texts(texts: list[str], caches: list[_Words]) -> list[list[int]]:
+    return [np.frombuffer(x, np.int32).tolist() for x in pack_texts(texts, caches)]
+
+
 def encode_text(text: str, caches: list[_Words]) -> list[int]:
     return encode_texts([text], caches)[0]
 
 
-def encode(documents: DataFrame, *, model_file: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int = 1) -> DataFrame:
+def encode(documents: DataFrame, *, model_file: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int = 2) -> DataFrame:
     """Every row with ids (array of int). Null and empty texts have none. A column named ids is replaced, others stay."""
     kept = [c for c in documents.columns if c != "ids"]
     place = kept.index("text")
@@ -249,8 +257,10 @@ def encode(documents: DataFrame, *, model_file: str = MODEL, dropout: float = 0.
         for b in batches:
             for lo in range(0, b.num_rows, 512):  # bounded lists, however long the texts
                 part = b.slice(lo, 512)
-                ids = encode_texts([t or "" for t in part.column(place).to_pylist()], caches)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], [*kept, "ids"])
+                ids = pack_texts([t or "" for t in part.column(place).to_pylist()], caches)
+                ends = np.cumsum([0, *map(len, ids)]) // 4
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*kept, "ids"])
 
     rows = documents.select(*kept)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)

@@ -98,6 +98,14 @@ def test_pieces_seeds(spark):
     assert pieces.decode(pieces.encode(df.limit(0))).count() == 0
 
 
+def test_pieces_vary(spark):
+    """By default the words of a text take turns among several segmentations, also where texts share a long header."""
+    texts = ["headers of uncommonly interesting documentation " * 3 + f"number {i}" for i in range(12)]
+    rows = pieces.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    assert all(pieces.pieces(pieces.MODEL).decode(r["ids"]) == texts[r["doc_id"]] for r in rows)
+    assert len({tuple(r["ids"][:8]) for r in rows}) > 1, "one header, several segmentations"
+
+
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
