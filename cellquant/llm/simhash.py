@@ -9,7 +9,7 @@ size has a fixed bound too.
 
 ``similar_documents`` takes a similarity of shingle sets instead (0.8 of five-word shingles in the pipeline). Such pairs
 differ in 15 % of a fingerprint's bits, too many for shards that miss none, so it deals 512-bit fingerprints to as many
-shards of random bits as a stated recall needs; the trees and components are the same.
+shards of random bits as a stated recall needs.
 """
 
 from __future__ import annotations
@@ -240,16 +240,21 @@ WIDE = 8  # words of 64 bits in a wide fingerprint
 _SPREAD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, WIDE, dtype=np.uint64) | np.uint64(1)
 
 
+def shingle_set(text: str | None, shingle_words: int) -> np.ndarray:
+    return np.unique(shingle_hashes(text, shingle_words))
+
+
 def wide_fingerprint(text: str | None, shingle_words: int) -> bytes:
-    """512-bit SimHash: eight hashes are drawn from each shingle's XXH64. All zero for wordless texts."""
-    h = shingle_hashes(text, shingle_words)
+    """512-bit SimHash of the set of shingles (eight hashes are drawn from each shingle's XXH64; all zero for wordless
+    texts), then 128 bits that tell sets of one SimHash apart."""
+    h = shingle_set(text, shingle_words)
     if not len(h):
-        return bytes(8 * WIDE)
+        return bytes(8 * WIDE + 16)
     out = b""
     for factor in _SPREAD:
         x = (h ^ (h >> np.uint64(31))) * factor
         out += majority_bits((x ^ (x >> np.uint64(29))) * np.uint64(0xFF51AFD7ED558CCD)).tobytes()
-    return out
+    return out + xxhash.xxh3_128_digest(h.tobytes())
 
 
 def bits_apart(similarity: float) -> float:
@@ -318,49 +323,93 @@ def shard_plan(rows: int, similarity: float, recall: float = 0.97, shard_rows: i
     return [np.sort(rng.permutation(64 * WIDE)[:k]) for _ in range(dealings)]
 
 
+def cross_links(fps: np.ndarray, label: np.ndarray, radius: int, block: int = 1024) -> np.ndarray:
+    """All pairs of places whose fingerprints are within ``radius`` and whose labels differ."""
+    order, out = np.argsort(label, kind="stable"), [np.zeros((0, 2), np.int64)]
+    for lo in range(0, len(fps), block):
+        p = order[lo : lo + block]
+        for at in range(lo, len(fps), block):
+            q = order[at : at + block]
+            if label[p[0]] == label[q[-1]]:
+                continue  # sorted, so all are of one label
+            near = (np.bitwise_count(fps[p][:, None] ^ fps[q][None]).sum(axis=2, dtype=np.int16) <= radius) & (label[p][:, None] != label[q][None])
+            i, j = np.nonzero(np.triu(near, 1) if at == lo else near)
+            out.append(np.column_stack((p[i], q[j])))
+    return np.concatenate(out)
+
+
 def _wide_links(distinct: DataFrame, plan: list[np.ndarray], radius: int, window: int = 50_000) -> DataFrame:
-    """Links (a, b) of wide fingerprints (column fp) within the shards of all dealings. A shard beyond ``window`` rows goes
-    window by window in order of fingerprints, and one member of each component found so far meets the next window."""
+    """Distinct links (a, b) of wide fingerprints (column fp) within the shards of all dealings: enough of them to join what
+    belongs together or, with a column label, all between different labels.
+
+    A shard beyond ``window`` rows is dealt again to windows, and each two of them meet in a task of their own, so that
+    every member meets every other and no task holds more than two windows."""
+    labelled = "label" in distinct.columns
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint8).reshape(-1, 8 * WIDE)
+            raw = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint8).reshape(b.num_rows, -1)[:, : 8 * WIDE]
             bits = np.unpackbits(raw, axis=1, bitorder="little")
             for t, places in enumerate(plan):
                 key = bits[:, places].astype(np.int64) @ (np.int64(1) << np.arange(len(places)))
-                yield pa.RecordBatch.from_arrays([pa.array((np.int64(t) << 44) + key), b.column(0)], ["shard", "fp"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        carried, last, size = np.zeros((0, WIDE), np.uint64), None, 0
-
-        def out(whole: bool) -> list[tuple[bytes, bytes]]:
-            nonlocal carried, held, size
-            fps = np.concatenate([carried, *held])
-            links, parent = close_links(fps, radius) if len(fps) > 1 else (np.zeros((0, 2), int), np.arange(len(fps)))
-            carried = np.zeros((0, WIDE), np.uint64) if whole else fps[np.unique(parent)]
-            held, size = [], 0
-            return [(fps[a].tobytes(), fps[b].tobytes()) for a, b in links]
-
-        for b in batches:
-            shard = b.column(0).to_numpy()
-            fps = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint64).reshape(-1, WIDE)
-            edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
-            found = []
-            for lo, hi in zip(edges, edges[1:], strict=False):
-                if last is not None and shard[lo] != last:
-                    found += out(True)
-                last = shard[lo]
-                held.append(fps[lo:hi])
-                size += hi - lo
-                if size >= window:
-                    found += out(False)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
-        found = out(True)
-        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], ["a", "b"])
-
-    dealt = distinct.select("fp").mapInArrow(deal, "shard long, fp binary")
-    return dealt.repartition("shard").sortWithinPartitions("shard", "fp").mapInArrow(run, "a binary, b binary").distinct()
+                yield pa.RecordBatch.from_arrays([pa.array((np.int64(t) << 44) + key), *b.columns], ["shard", "fp", "label"])
+
+    def linker(most: int | None):
+        """Links of each shard; the rows of one above ``most`` are given back instead, as (a, null, label, shard)."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[tuple[bytes, int]] = []
+            last, hot = None, False
+
+            def rows(found: list[tuple]) -> pa.RecordBatch:
+                kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
+                return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)], ["a", "b", "label", "shard"])
+
+            def out() -> list[tuple]:
+                if hot:
+                    found = [(fp, None, label, last) for fp, label in held]
+                elif len(held) < 2:
+                    found = []
+                else:
+                    keys = [fp for fp, _ in held]
+                    fps = np.ascontiguousarray(np.frombuffer(b"".join(keys), np.uint8).reshape(len(keys), -1)[:, : 8 * WIDE]).view(np.uint64)
+                    links = cross_links(fps, np.array([x for _, x in held], np.int64), radius) if labelled else close_links(fps, radius)[0]
+                    found = [(*sorted((keys[a], keys[b])), None, None) for a, b in links.tolist()]
+                held.clear()
+                return found
+
+            for b in batches:
+                shard = b.column(0).to_numpy()
+                fps, labels = b.column(1).to_pylist(), b.column(2).to_pylist()
+                edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)] if len(shard) else []
+                found = []
+                for lo, hi in zip(edges, edges[1:], strict=False):
+                    if last is not None and shard[lo] != last:
+                        found += out()
+                        hot = False
+                    last = int(shard[lo])
+                    held += zip(fps[lo:hi], labels[lo:hi], strict=True)
+                    if hot or most and len(held) > most:
+                        hot = True
+                        found += out()
+                yield rows(found)
+            yield rows(out())
+
+        return run
+
+    kind = "a binary, b binary, label long, shard long"
+    nodes = distinct.select("fp", F.col("label") if labelled else F.lit(0).cast("long").alias("label"))
+    dealt = nodes.mapInArrow(deal, "shard long, fp binary, label long")
+    first = materialize(dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(linker(window), kind), "shard-links")
+    hot = first.where(F.col("b").isNull()).select("shard", F.col("a").alias("fp"), "label")
+    sizes = hot.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / window).alias("windows"), (F.min("label") < F.max("label")).alias("differ"))
+    if labelled:
+        sizes = sizes.where("differ")
+    mine = hot.join(F.broadcast(sizes), "shard").withColumn("w", F.pmod(F.xxhash64("fp", "shard"), F.col("windows")))
+    met = mine.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1))).where("o <> w")
+    met = met.select(F.xxhash64("shard", F.least("w", "o"), F.greatest("w", "o")).alias("shard"), "fp", "label")
+    again = met.repartition("shard").sortWithinPartitions("shard").mapInArrow(linker(None), kind)
+    return first.where(F.col("b").isNotNull()).unionByName(again).select("a", "b").distinct()
 
 
 def similar_documents(documents: DataFrame, *, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:

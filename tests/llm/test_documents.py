@@ -167,6 +167,35 @@ def test_similar_documents(spark):
     assert sorted((r["doc_id"] or 0, r["component_id"]) for r in again.collect()) == [(0, 4), (1, 1), (2, 1), (4, 4), (4, 4), (7, 7)]
 
 
+def test_large_shards_lose_no_link(spark):
+    """In one shard of many windows: a late row is near only one of a group, whichever windows they are in."""
+    rng = np.random.default_rng(8)
+    hub = rng.integers(0, 256, 80, dtype=np.uint8)
+
+    def flipped(fp, bits):
+        return np.concatenate((np.packbits(np.unpackbits(fp[:64]) ^ np.isin(np.arange(512), bits)), rng.integers(0, 256, 16, dtype=np.uint8)))
+
+    group = [flipped(hub, range(10 * i + 10, 10 * i + 20)) for i in range(40)]
+    late = [flipped(g, range(10 * i + 20, 10 * i + 40)) for i, g in enumerate(group)]  # 20 from its own, 30 or more from the others
+    fps = [bytes(x) for x in [hub, *group, *late]]
+    plan = [np.arange(4) + 508]
+    for labels in (None, [i for i, _ in enumerate(fps)]):
+        df = spark.createDataFrame([(bytearray(x),) for x in fps], "fp binary") if labels is None else spark.createDataFrame([(bytearray(x), y) for x, y in zip(fps, labels, strict=True)], "fp binary, label long")
+        links = {tuple(map(bytes, r)) for r in simhash._wide_links(df, plan, 20, window=5).collect()}
+        near = {tuple(sorted((a, b))) for i, a in enumerate(fps) for b in fps[:i] if sum((x ^ y).bit_count() for x, y in zip(a[:64], b[:64], strict=True)) <= 20}
+        assert links <= near and (labels is None or links == near)
+        roots = plain_roots(fps, links)
+        assert roots == plain_roots(fps, near) and len(set(roots.values())) == 1
+
+
+def plain_roots(nodes, links):
+    root = {x: x for x in nodes}
+    for _ in nodes:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
 def test_personal_data(spark):
     rows = _documents(spark) + [(30_000 + i, t) for i, t in enumerate(["call (988) 555-2485 now", "a.b@c", "x@y.z@w.v", "+1" + "(" * 3000, "1-2 3-4", "4111111111111111"])]
     df = _frame(spark, rows)
