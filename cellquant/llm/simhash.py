@@ -9,7 +9,8 @@ size has a fixed bound too.
 
 ``similar_documents`` takes a similarity of shingle sets instead (0.8 of five-word shingles in the pipeline). Such pairs
 differ in 15 % of a fingerprint's bits, too many for shards that miss none, so it deals 512-bit fingerprints to as many
-shards of random bits as a stated recall needs.
+shards of random bits as a stated recall needs. Fingerprints only propose pairs there: a link is one whose shingle sets
+are that similar, counted exactly.
 """
 
 from __future__ import annotations
@@ -412,9 +413,28 @@ def _wide_links(distinct: DataFrame, plan: list[np.ndarray], radius: int, window
     return first.where(F.col("b").isNotNull()).unionByName(again).select("a", "b").distinct()
 
 
+def _verified(pairs: DataFrame, texts: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) whose shingle sets have that Jaccard similarity; ``texts`` (fp, text) holds all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), shingle_words).view(np.int64) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["fp", "shingles"])
+
+    asked = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
+    sets = materialize(texts.join(asked, "fp", "left_semi").dropDuplicates(["fp"]).select("fp", "text").mapInArrow(run, "fp binary, shingles array<long>"), "shingle-sets")
+    left, right = (sets.select(F.col("fp").alias(k), F.col("shingles").alias(f"of_{k}")) for k in ("a", "b"))
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    return pairs.join(left, "a").join(right, "b").where(both / (F.size("of_a") + F.size("of_b") - both) >= similarity).select("a", "b")
+
+
 def similar_documents(documents: DataFrame, *, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) for every row: component_id is the smallest doc_id reachable over texts whose shingles are
-    that similar, judged by 512-bit SimHashes (the bits in which such texts differ on average, and one deviation more).
+    """(doc_id, component_id) for every row: component_id is the smallest doc_id reachable over texts whose sets of shingles
+    have that Jaccard similarity. Pairs are proposed by 512-bit SimHashes (the bits in which such texts differ on average,
+    and three deviations more) and counted exactly.
+
+    Close pairs are counted first, just enough to join tight groups; then all that are proposed between different groups.
+    So no link is left out that could join two, and a group of copies doesn't need all its pairs.
 
     Texts with the same words always belong together; null, empty and wordless ones too. Rows that repeat a doc_id each
     get a row. An empty table gives an empty result.
@@ -422,17 +442,23 @@ def similar_documents(documents: DataFrame, *, shingle_words: int = 5, similarit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([wide_fingerprint(t.as_py(), shingle_words) for t in b.column(1)], pa.binary())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([wide_fingerprint(t.as_py(), shingle_words) for t in b.column(1)], pa.binary()), b.column(1)], ["doc_id", "fp", "text"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    fps = materialize(documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp binary"), "wide-fingerprints")
+    fps = materialize(documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp binary, text string"), "wide-fingerprints")
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct-fingerprints")
     p, n = bits_apart(similarity), 64 * WIDE
-    links = _wide_links(distinct, shard_plan(distinct.count(), similarity), round(n * p + math.sqrt(n * p * (1 - p))))
-    roots = connected_components(links)
+    plan, deviation = shard_plan(distinct.count(), similarity), math.sqrt(n * p * (1 - p))
+    texts = fps.select("fp", "text")
+    close = materialize(_wide_links(distinct.select("fp"), plan, round(n * p)), "close-pairs")
+    sure = materialize(_verified(close, texts, shingle_words, similarity), "close-links")
+    groups = connected_components(sure)
+    label = distinct.join(groups, distinct.fp == groups.node, "left").select("fp", F.xxhash64(F.coalesce("root", "fp")).alias("label"))
+    wide = materialize(_wide_links(materialize(label, "labels"), plan, round(n * p + 3 * deviation)).join(close, ["a", "b"], "left_anti"), "wide-pairs")
+    roots = connected_components(sure.unionByName(_verified(wide, texts, shingle_words, similarity)))
     labelled = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root"))
     ids = labelled.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    return fps.join(labelled.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "component_id")
+    return fps.select("doc_id", "fp").join(labelled.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "component_id")
 
 
 def hex16(fp: Column) -> Column:

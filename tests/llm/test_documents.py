@@ -167,6 +167,23 @@ def test_similar_documents(spark):
     assert sorted((r["doc_id"] or 0, r["component_id"]) for r in again.collect()) == [(0, 4), (1, 1), (2, 1), (4, 4), (4, 4), (7, 7)]
 
 
+def test_similar_documents_are_counted_exactly(spark):
+    """Pairs from 0.6 to 0.9 and texts with one line repeated often: groups are those of the shingle sets, not more."""
+    rng = np.random.default_rng(5)
+    base = [[f"w{x}" for x in rng.integers(0, 3000, 300)] for _ in range(60)]
+    rows = [(i, " ".join(b)) for i, b in enumerate(base)]
+    rows += [(100 + i, " ".join([*b[: 297 - 2 * i], *(f"n{i}x{j}" for j in range(2 * i + 3))])) for i, b in enumerate(base)]
+    rows += [(200 + i, "this same line comes again and again " * 200 + " ".join(b)) for i, b in enumerate(base[:10])]
+    sets = {i: plain.shingles(t) for i, t in rows}
+    want = {i: i for i, _ in rows} | {100 + i: i for i in range(60) if plain.jaccard(sets[i], sets[100 + i]) >= 0.8}
+    assert 10 < sum(i != c for i, c in want.items()) < 50
+    for i in range(10):
+        if plain.jaccard(sets[i], sets[200 + i]) >= 0.8:
+            want[200 + i] = i
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(_frame(spark, rows)).collect()}
+    assert all(got[i] in (i, want[i]) for i in want) and sum(got[i] != want[i] for i in want) <= 2  # no pair but similar ones; recall as planned
+
+
 def test_large_shards_lose_no_link(spark):
     """In one shard of many windows: a late row is near only one of a group, whichever windows they are in."""
     rng = np.random.default_rng(8)
