@@ -102,22 +102,24 @@ def proximity_matches(documents: DataFrame, benchmark: DataFrame, *, terms: int
     words, in any order; one row for each minimal end.
 
     The posting lists of the rarest terms are merged by a window over (document, item): at each posting the last place of
-    every term is known, and the oldest of them bounds the span. Items with fewer distinct terms use all they have.
+    every term is known, and the oldest of them bounds the span. Items with fewer distinct terms use all they have; terms
+    that no document holds are passed over. Rows that share a doc_id (null too) are searched each by its own text.
     """
     item_terms = benchmark.select("item_id", F.explode(F.array_distinct(words_of("text"))).alias("term"))
     counts = postings(documents, item_terms.select("term").distinct()).groupBy("term").agg(F.count(F.lit(1)).alias("count"))
     by_item = Window.partitionBy("item_id")
     picked = (
-        item_terms.join(counts, "term", "left")
-        .withColumns({"rank": F.row_number().over(by_item.orderBy(F.coalesce("count", F.lit(0)), "term"))})
+        item_terms.join(counts, "term")
+        .withColumns({"rank": F.row_number().over(by_item.orderBy("count", "term"))})
         .where(F.col("rank") <= terms)
         .withColumn("n", F.max("rank").over(by_item))
     )
-    merged = postings(documents, picked.select("term").distinct()).join(picked, "term")
+    rows = documents.select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("doc_id"), "text")
+    merged = postings(rows, picked.select("term").distinct()).join(picked, "term")
     upto = Window.partitionBy("doc_id", "item_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     last = [F.last(F.when(F.col("rank") == r, F.col("pos")), ignorenulls=True).over(upto) for r in range(1, terms + 1)]
     merged = merged.withColumns({f"last_{r}": c for r, c in enumerate(last, 1)})
     lasts = [F.col(f"last_{r}") for r in range(1, terms + 1)]
     full = reduce(lambda a, b: a & b, [(F.col("n") < r) | c.isNotNull() for r, c in enumerate(lasts, 1)])
     start = F.array_min(F.array(*lasts))  # nulls are passed over
-    return merged.where(full).select("doc_id", "item_id", start.cast("long").alias("start"), F.col("pos").cast("long").alias("end")).where(F.col("end") - F.col("start") < within)
+    return merged.where(full).select("doc_id.doc_id", "item_id", start.cast("long").alias("start"), F.col("pos").cast("long").alias("end")).where(F.col("end") - F.col("start") < within)

@@ -319,6 +319,12 @@ def test_proximity(spark):
     assert got == [(1, 1, 0, 4)]
 
 
+def test_proximity_of_absent_terms_and_shared_ids(spark):
+    docs = _frame(spark, [(1, "one two x x three"), (5, "one two"), (5, "three"), (None, "one"), (None, "two three")])
+    bench = spark.createDataFrame([(1, "one two three neverseen")], "item_id long, text string")
+    assert [tuple(r) for r in decontam.proximity_matches(docs, bench, within=6).collect()] == [(1, 1, 0, 4)]
+
+
 def test_toxicity(spark):
     rng = random.Random(6)
     words = [f"w{c}{d}" for c in "abcdefgh" for d in "klmnop"]
