@@ -6,26 +6,29 @@ dropout rate, so a seed always gives the same segmentation and another seed anot
 
 No merge crosses the start of a word (checked on the vocabulary), so words are encoded one by one and remembered. Words
 of a text take turns among ``variants`` keys, from a place set by the whole text, so repeated words vary within a text and
-from text to text.
+from text to text. Cutting a slice of texts into words, telling their distinct ones and laying ids end to end is done on
+whole Arrow buffers; Python meets each distinct word of a slice once. Slices and remembered words are bounded in bytes.
 """
 
 from __future__ import annotations
 
 import functools
 import heapq
-import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-_CHUNKS = re.compile(r" *[^ ]+| +").findall
+#: bytes of text that are encoded together (a longer text by itself)
+SLICE = 4_000_000
+#: bytes that one generation of remembered words may take, all variants together
+REMEMBERED = 24_000_000
 #: words up to this length are merged in blocks
 SHORT = 48
 _NONE = np.int32(2**31 - 1)
@@ -81,17 +84,46 @@ class Pieces:
         #: order of merges: 0 is the best score; equal scores share a rank
         self.rank = np.full(len(ids), _NONE, np.int32)
         self.rank[plain] = np.unique([-sp.get_score(i) for i in plain], return_inverse=True)[1]
-        self.pairs = np.array(sorted(merges), np.int64)
-        self.merged = np.array([merges[k] for k in self.pairs.tolist()], np.int32)
         self.merge_of = merges
+        self.spelling = pa.array(self.bytes_of, pa.binary())
+        #: pairs by hash, to look up many at once; those whose slot is taken go to the next, smaller table
+        self.tables: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+        left = np.array(sorted(merges), np.int64)
+        bits = max(8, len(left).bit_length() + 3)
+        for factor in _FACTORS:
+            slot = self._slots(left, factor, bits)
+            _, first = np.unique(slot, return_index=True)
+            keys, value = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+            keys[slot[first]] = left[first]
+            value[slot[first]] = [merges[k] for k in left[first].tolist()]
+            self.tables.append((factor, bits, keys, value))
+            left, bits = np.delete(left, first), max(8, bits - 3)
+        assert not len(left), "pairs without a slot"
+
+    @staticmethod
+    def _slots(key: np.ndarray, factor: int, bits: int) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(factor | 1) >> np.uint64(64 - bits)).view(np.int64)
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(merged piece, rank) of pairs; the rank of what does not merge is above all others."""
-        key = (left.astype(np.int64) << 32) + right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        found = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
-        piece = np.where(found, self.merged[at], -1)
-        return piece, np.where(found, self.rank[piece], _NONE)
+        key = ((left.astype(np.int64) << 32) + right).ravel()
+        key[((left | right) < 0).ravel()] = -2  # characters without a piece merge with nothing
+        piece = np.full(len(key), -1, np.int32)
+        at, asked = None, key
+        for factor, bits, keys, value in self.tables:
+            slot = self._slots(asked, factor, bits)
+            held = keys[slot]
+            hit = held == asked
+            if at is None:
+                piece[hit] = value[slot[hit]]
+                at = np.flatnonzero(~hit & (held >= 0))
+            else:
+                piece[at[hit]] = value[slot[hit]]
+                at = at[~hit & (held >= 0)]
+            asked = key[at]
+            if not len(at):
+                break
+        return piece.reshape(left.shape), np.where(piece >= 0, self.rank[piece], _NONE).reshape(left.shape)
 
     def encode_words(self, words: list[str], dropout: Dropout) -> list[list[int]]:
         return [np.frombuffer(x, np.int32).tolist() for x in self.pack_words(words, dropout)]
@@ -198,77 +230,138 @@ def pieces(model_file: str) -> Pieces:
     return Pieces(model_file)
 
 
-class _Words(dict):
-    """Word to ids (as bytes) under one key. Two generations are remembered, bounded by their characters, so that frequent words stay."""
-
-    def __init__(self, model: Pieces, dropout: float, key: int, most_chars: int = 2_000_000):
-        super().__init__()
-        self.model, self.dropout, self.most_chars, self.chars, self.older = model, Dropout(dropout, key), most_chars, 0, {}
+class _Words:
+    """Words (as bytes) to ids (as bytes) under ``variants`` keys. Two generations are remembered, so that frequent words
+    stay; each is bounded by what its entries take."""
+
+    def __init__(self, model: Pieces, dropout: float, seed: int, variants: int):
+        self.model, self.keys = model, [Dropout(dropout, xxhash.xxh64_intdigest(f"{seed}:{v}")) for v in range(variants)]
+        self.young: list[dict[bytes, bytes]] = [{} for _ in self.keys]
+        self.old: list[dict[bytes, bytes]] = [{} for _ in self.keys]
+        self.taken = 0
+
+    def ids(self, words: list[bytes], variant: int) -> list[bytes]:
+        young, old = self.young[variant], self.old[variant]
+        out = list(map(young.get, words))
+        missing = [i for i, x in enumerate(out) if x is None]
+        if missing:
+            aged = [old.get(words[i]) for i in missing]
+            new = [i for i, x in zip(missing, aged, strict=True) if x is None]
+            packed = iter(self.model.pack_words([words[i].decode() for i in new], self.keys[variant]))
+            for i, x in zip(missing, aged, strict=True):
+                out[i] = young[words[i]] = x if x is not None else next(packed)
+                self.taken += 190 + len(words[i]) + len(out[i])  # two objects and a place in the dict
+        return out
 
-    def learn(self, words: set[str]) -> None:
-        """Afterwards all of ``words`` are present."""
-        if self.chars > self.most_chars:
-            self.older, self.chars = dict(self), 0
-            self.clear()
-        missing = words.difference(self)
-        new = list(missing.difference(self.older))
-        self.update((w, self.older[w]) for w in missing.intersection(self.older))
-        self.update(zip(new, self.model.pack_words(new, self.dropout), strict=True))
-        self.chars += sum(map(len, missing))
+    def rest(self) -> None:
+        """Between slices: the generation that is full becomes the old one."""
+        if self.taken > REMEMBERED:
+            self.old, self.young, self.taken = self.young, [{} for _ in self.keys], 0
 
 
-@functools.lru_cache(8)
-def _caches(model_file: str, dropout: float, seed: int, variants: int) -> list[_Words]:
+@functools.lru_cache(1)
+def _caches(model_file: str, dropout: float, seed: int, variants: int) -> _Words:
     """Kept by a worker from task to task."""
-    return [_Words(pieces(model_file), dropout, xxhash.xxh64_intdigest(f"{seed}:{v}")) for v in range(variants)]
+    return _Words(pieces(model_file), dropout, seed, variants)
+
+
+def _words(texts: pa.StringArray, by_word: bool) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words (blanks, then what follows up to the next blank) of all texts end to end, and how many each text has."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int32)
+    lo, hi = int(ends[0]), int(ends[-1])
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[lo:hi] if hi > lo else np.zeros(0, np.uint8)
+    ends = ends - lo
+    begins = np.zeros(hi - lo, bool)
+    if by_word and hi > lo:
+        blank = data == 32
+        begins[1:] = blank[1:] & ~blank[:-1]
+    begins[ends[:-1][ends[:-1] < ends[1:]]] = True
+    at = np.flatnonzero(begins)
+    edges = np.append(at, hi - lo).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(data)])
+    return words.dictionary_encode(), np.diff(np.searchsorted(at, ends))
+
+
+def encode_array(texts: pa.StringArray, caches: _Words) -> pa.ListArray:
+    """Ids of whole texts (no nulls): the words of a text take turns among the variants."""
+    v = len(caches.keys)
+    words, sizes = _words(texts, caches.model.by_word)
+    starts = np.cumsum(sizes) - sizes
+    first = np.fromiter((xxhash.xxh64_intdigest(t) % v if v > 1 else 0 for t in texts.cast(pa.binary()).to_pylist()), np.int64, len(texts))
+    turn = (np.arange(len(words)) - np.repeat(starts - first, sizes)) % v
+    n = len(words.dictionary)
+    slot = words.indices.to_numpy().astype(np.int64) + turn * n
+    asked = np.zeros(n * v, bool)
+    asked[slot] = True
+    ids: list[bytes] = []
+    for k in range(v):
+        ids += caches.ids(words.dictionary.filter(pa.array(asked[k * n : (k + 1) * n])).to_pylist(), k)
+    caches.rest()
+    table = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)], dtype=np.int64) // 4, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+    found = table.take(pa.array((np.cumsum(asked) - 1)[slot]))
+    ends = np.concatenate(([0], np.cumsum(found.value_lengths().to_numpy())))[np.concatenate(([0], np.cumsum(sizes)))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found.flatten())
+
+
+def encode_texts(texts: list[str], caches: _Words) -> list[list[int]]:
+    return encode_array(pa.array(texts, pa.string()), caches).to_pylist()
+
+
+def encode_text(text: str, caches: _Words) -> list[int]:
+    return encode_texts([text], caches)[0]
 
 
-def pack_texts(texts: list[str], caches: list[_Words]) -> list[bytes]:
-    """Ids of whole texts, as bytes: the words of a text take turns among the caches."""
-    by_word, v = caches[0].model.by_word, len(caches)
-    words = [_CHUNKS(t) if by_word else [t] if t else [] for t in texts]
-    first = [xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) % v if v > 1 else 0 for t in texts]
-    for k, cache in enumerate(caches):
-        cache.learn(set(chain.from_iterable(w[(k - f) % v :: v] for w, f in zip(words, first, strict=True))))
-    out = []
-    for w, f in zip(words, first, strict=True):
-        ids = [b""] * len(w)
-        for i in range(v):
-            ids[i::v] = map(caches[(f + i) % v].__getitem__, w[i::v])
-        out.append(b"".join(ids))
-    return out
+def decode_array(ids: pa.ListArray, model: Pieces) -> pa.StringArray:
+    """The texts that ids stand for (null: none). Ids whose bytes are no UTF-8 give replacement characters."""
+    ids = ids if ids.null_count == 0 else pa.array([x or [] for x in ids.to_pylist()], pa.list_(pa.int32()))
+    ends = pa.array(np.concatenate(([0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)))), pa.int32())
+    spelled = pc.binary_join(pa.ListArray.from_arrays(ends, model.spelling.take(ids.flatten())), b"")
+    try:
+        return spelled.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([x.decode("utf-8", "replace") for x in spelled.to_pylist()], pa.string())
 
 
-def encode_texts(texts: list[str], caches: list[_Words]) -> list[list[int]]:
-    return [np.frombuffer(x, np.int32).tolist() for x in pack_texts(texts, caches)]
+def _slices(b: pa.RecordBatch, place: int) -> Iterator[tuple[pa.RecordBatch, pa.StringArray]]:
+    """Rows of a batch with their texts (null: empty), about ``SLICE`` bytes at a time."""
+    texts = pc.fill_null(b.column(place), "").cast(pa.string())
+    upto = np.cumsum(pc.binary_length(texts).to_numpy())
+    lo = 0
+    while lo < b.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + SLICE, side="right")))
+        yield b.slice(lo, hi - lo), texts.slice(lo, hi - lo)
+        lo = hi
 
 
-def encode_text(text: str, caches: list[_Words]) -> list[int]:
-    return encode_texts([text], caches)[0]
+def _fields(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
 
+def encode(documents: DataFrame, *, model_file: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int = 4, decoded: bool = False) -> DataFrame:
+    """Every row with ids (array of int) and, if ``decoded``, the text that they decode to, in the same pass.
 
-def encode(documents: DataFrame, *, model_file: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int = 2) -> DataFrame:
-    """Every row with ids (array of int). Null and empty texts have none. A column named ids is replaced, others stay."""
-    kept = [c for c in documents.columns if c != "ids"]
+    Null and empty texts have no ids and decode to the empty text. Equal texts have equal ids, repeated rows stay, an
+    empty table gives an empty result. Columns named ids (or decoded) are replaced, others stay.
+    """
+    made = ["ids", "decoded"] if decoded else ["ids"]
+    kept = [c for c in documents.columns if c not in made]
     place = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         caches = _caches(model_file, dropout, seed, variants)
         for b in batches:
-            for lo in range(0, b.num_rows, 512):  # bounded lists, however long the texts
-                part = b.slice(lo, 512)
-                ids = pack_texts([t or "" for t in part.column(place).to_pylist()], caches)
-                ends = np.cumsum([0, *map(len, ids)]) // 4
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*kept, "ids"])
+            for part, texts in _slices(b, place):
+                ids = encode_array(texts, caches)
+                new = [ids, decode_array(ids, caches.model)] if decoded else [ids]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], [*kept, *made])
 
     rows = documents.select(*kept)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{fields}, ids array<int>")
+    return rows.mapInArrow(run, ", ".join([_fields(rows), "ids array<int>", "decoded string"][: 1 + len(made)]))
 
 
 def decode(encoded: DataFrame, *, model_file: str = MODEL) -> DataFrame:
-    """Every row with decoded, the text that ids stand for. A column named decoded is replaced."""
+    """Every row with decoded, the text that ids stand for; null ids give the empty text, an empty table an empty result.
+    A column named decoded is replaced."""
     kept = [c for c in encoded.columns if c != "decoded"]
     place = kept.index("ids")
 
@@ -277,9 +370,7 @@ def decode(encoded: DataFrame, *, model_file: str = MODEL) -> DataFrame:
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                texts = [model.decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in part.column(place)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*kept, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, decode_array(part.column(place), model)], [*kept, "decoded"])
 
     rows = encoded.select(*kept)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{fields}, decoded string")
+    return rows.mapInArrow(run, f"{_fields(rows)}, decoded string")

@@ -30,7 +30,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    coded = pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), decoded=True)
     text = F.coalesce("text", F.lit(""))
     return coded.select(
         "doc_id",

@@ -130,6 +130,8 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
         for data, ends, ids, offs in _pieces(batches, length):
             h, doc, start, windows, off = anchors(data, ends, length)
             begin = np.concatenate(([0], ends[:-1]))
+            if not len(h):  # nothing here is as long as a window
+                continue
             held.append((h, ids[doc].astype(np.int64), _pack(start - begin[doc] + offs[doc], windows, off)))
             size += len(h)
             if size >= flush:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import sentencepiece
 
 import corpus_pipeline
@@ -95,6 +96,8 @@ def test_pieces_seeds(spark):
     one, same, other = ([r["ids"] for r in pieces.encode(df, seed=s).orderBy("doc_id").collect()] for s in (1, 1, 2))
     assert one == same != other and one[1] == [] and one[0] == one[2]
     assert [r["decoded"] for r in pieces.decode(pieces.encode(df)).orderBy("doc_id").collect()] == [text, "", text]
+    both = pieces.encode(df.withColumnRenamed("ids", "decoded"), decoded=True)
+    assert both.columns == ["doc_id", "text", "ids", "decoded"] and [r["decoded"] for r in both.orderBy("doc_id").collect()] == [text, "", text]
     assert pieces.decode(pieces.encode(df.limit(0))).count() == 0
 
 
@@ -106,6 +109,37 @@ def test_pieces_vary(spark):
     assert len({tuple(r["ids"][:8]) for r in rows}) > 1, "one header, several segmentations"
 
 
+def test_words_have_several_segmentations_in_a_corpus(spark):
+    """Of the longer words that occur often, about half are split in more than one way by four variants at a rate of 0.1."""
+    df = spark.read.parquet(f"{plain.SF}/documents.parquet").select("text")
+    model, seen = pieces.pieces(pieces.MODEL), {}
+    for r in pieces.encode(df).collect():
+        ids, at = r["ids"], 0
+        while at < len(ids):  # a word begins with the blank before it
+            end = at + 1
+            while end < len(ids) and not model.bytes_of[ids[end]].startswith(b" "):
+                end += 1
+            seen.setdefault(model.decode(ids[at:end]), []).append(tuple(ids[at:end]))
+            at = end
+    often = [x for w, x in seen.items() if len(x) >= 20 and len(w) > 6]
+    assert len(often) > 20 and sum(len(set(x)) > 1 for x in often) > 0.4 * len(often)
+
+
+def test_pieces_of_slices(monkeypatch):
+    """Whatever the slices and the generations of remembered words, a text has the same ids."""
+    texts = [*TEXTS, *(f"{t} {k}" for k in range(40) for t in TEXTS)]
+    want = pieces.encode_texts(texts, pieces._Words(pieces.pieces(pieces.MODEL), 0.2, 1, 3))
+    monkeypatch.setattr(pieces, "SLICE", 500)
+    monkeypatch.setattr(pieces, "REMEMBERED", 5000)
+    caches, got = pieces._Words(pieces.pieces(pieces.MODEL), 0.2, 1, 3), []
+    batch = pa.RecordBatch.from_arrays([pa.array(["cut", *texts, None])], ["text"])
+    for _, part in pieces._slices(batch.slice(1), 0):
+        got += pieces.encode_array(part, caches).to_pylist()
+    assert got == [*want, []] and caches.old[0]
+    bad = pa.array([[caches.model.byte_id[0xFF]], None, []], pa.list_(pa.int32()))
+    assert pieces.decode_array(bad, caches.model).to_pylist() == ["\ufffd", "", ""]
+
+
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
