@@ -46,7 +46,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their token ids; each row is decoded again and lossless says that nothing was lost."""
-    coded = pieces.decode(pieces.encode(docs))
+    coded = pieces.encode(docs, decoded=True)
     return coded.withColumn("lossless", F.col("decoded") == F.coalesce("text", F.lit(""))).select(*docs.columns, "ids", "lossless")
 
 
