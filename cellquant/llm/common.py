@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_OWN: dict[str, str] = {}
 
 
 def ascii_lower(c: Column | str) -> Column:
@@ -21,12 +22,23 @@ def ascii_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(len(taken) + 1))) if n.lower() not in taken)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where that is unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``). Only a local session, as in tests, may leave it unset and gets a
+    folder of its own; elsewhere executors would write to disks that the others cannot read, so that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='cellquant-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
+        master, app = spark.sparkContext.master, spark.sparkContext.applicationId
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if app not in _OWN:
+            _OWN[app] = f"file://{tempfile.mkdtemp(prefix='cellquant-')}"
+        found = _OWN[app]
     return found.rstrip("/")
 
 
@@ -38,5 +50,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(written: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote and that nothing reads any more."""
+    jvm, conf = written.sparkSession._jvm, written.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in written.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

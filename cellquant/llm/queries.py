@@ -44,7 +44,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontam.decontamination_digest(decontam.decontaminate(docs, _table(spark, sf_dir, "benchmark")))
+    return decontam.decontamination_digest(decontam.decontamination_report(docs, _table(spark, sf_dir, "benchmark")))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,10 +114,22 @@ m AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.w = bw.w AN
 hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM m) GROUP BY doc_id),
 items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS joined
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id),
+pos AS (SELECT doc_id, unnest(ws) AS term, unnest(generate_series(1, len(ws))) AS p FROM d),
+it AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, unnest(ws) AS term FROM b),
+tc AS (SELECT term, count(*) AS c FROM pos WHERE term IN (SELECT term FROM it) GROUP BY term),
+rk AS (SELECT item, term, row_number() OVER (PARTITION BY item ORDER BY c, term) AS r FROM it JOIN tc USING (term)),
+pk AS (SELECT *, max(r) OVER (PARTITION BY item) AS n FROM rk WHERE r <= 3),
+mg AS (
+  SELECT doc_id, item, p, n, last_value(CASE WHEN r = 1 THEN p END IGNORE NULLS) OVER u AS l1,
+    last_value(CASE WHEN r = 2 THEN p END IGNORE NULLS) OVER u AS l2, last_value(CASE WHEN r = 3 THEN p END IGNORE NULLS) OVER u AS l3
+  FROM pos JOIN pk USING (term) WINDOW u AS (PARTITION BY doc_id, item ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+near AS (
+  SELECT doc_id, count(DISTINCT item) AS n_near FROM mg
+  WHERE l1 IS NOT NULL AND (n < 2 OR l2 IS NOT NULL) AND (n < 3 OR l3 IS NOT NULL) AND p - least(l1, l2, l3) < 20 GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+  sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)"""
 
 
 def oracle_sql() -> dict[str, str]:
