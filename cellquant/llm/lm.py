@@ -229,15 +229,28 @@ def probe_filter(rows: DataFrame, tokens: int) -> DataFrame:
     return blobs.mapInArrow(run, "part long, segment int, data binary")
 
 
-def log10_probabilities(word: np.ndarray, pair: np.ndarray, starts: np.ndarray, tokens: int, distinct: int, mix: float = 0.6) -> np.ndarray:
-    """log10 P(word | word before) for texts laid end to end: the pair's share of its history, mixed with the word's smoothed share of all tokens.
-    ``word`` and ``pair`` are levels that the filter gave (a level stands for 1.5 times its least count, but 1 for the first)."""
-    value = np.concatenate(([0.0, 1.0], 1.5 * 2.0 ** np.arange(1, 64)))
-    word, pair = value[word], value[pair]
+def _level_value(level: int) -> float:
+    """The count that a level stands for: the mean of its counts if they fall with the square, as word counts do."""
+    low = 1 << level - 1
+    n = np.arange(low, min(2 * low, low + 1024), dtype=float)
+    return float((1 / n).sum() / (1 / n**2).sum()) if low <= 1024 else low * 2 * float(np.log(2))
+
+
+VALUE = np.array([0.0, *map(_level_value, range(1, 65))])
+
+
+def log10_probabilities(word: np.ndarray, pair: np.ndarray, starts: np.ndarray, tokens: int, distinct: int, texts: int, mix: float = 0.6) -> np.ndarray:
+    """log10 P(word | word before), a model of order two, for texts laid end to end, from the levels that the filter gave.
+
+    The pair's share of its history is mixed with the word's smoothed share of all tokens; a history that was never seen
+    leaves all to the latter. A text's first word has the start as history, seen once in each of the ``texts`` training rows.
+    So the probabilities after any history sum to one, up to the counts' quantisation."""
+    word, pair = VALUE[word], VALUE[pair]
     before = np.concatenate((word[:1], word[:-1]))
-    before[starts] = 0  # the start's count is not stored
-    share = np.where(before > 0, np.minimum(pair, word) / np.maximum(before, 1), 0)
-    return np.log10(mix * np.minimum(share, 1) + (1 - mix) * (word + 0.1) / (tokens + 0.1 * (distinct + 1)))
+    before[starts] = texts
+    seen = np.where(before > 0, mix, 0)
+    share = np.minimum(np.minimum(pair, word) / np.maximum(before, 1), 1)
+    return np.log10(seen * share + (1 - seen) * (word + 0.1) / (tokens + 0.1 * (distinct + 1)))
 
 
 def _with_levels(rows: DataFrame, probed: DataFrame) -> DataFrame:
@@ -264,6 +277,7 @@ def score_documents(documents: DataFrame, *, folds: int = 10, head_words: int =
     training = rows.where(~F.col("held_out")).select("text")
     counts = materialize(_counted(training), "word-counts")
     tokens, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count(F.lit(1))).first())
+    texts = (counts.where(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0)  # each training row has one end
     held = rows.where("held_out").agg(F.sum(F.octet_length("text"))).first()[0] or 0
     probed = materialize(probe_filter(rows, max(tokens, held // 6)), "filter")  # segments for held-out n-grams too, where few rows train
     head = counts.orderBy(F.desc("n"), "word").limit(head_words)
@@ -306,7 +320,7 @@ def score_documents(documents: DataFrame, *, folds: int = 10, head_words: int =
             level = np.frombuffer(b"".join(found), np.uint8)
             assert len(level) == len(keys), "levels of other rows"
             level = level[back]
-            scores = np.add.reduceat(log10_probabilities(level[: len(h)], level[len(h) :], starts, tokens, distinct), starts)
+            scores = np.add.reduceat(log10_probabilities(level[: len(h)], level[len(h) :], starts, tokens, distinct, texts), starts)
             at = 0
             for b in done:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores[at : at + b.num_rows])], [*b.schema.names, "score"])
