@@ -14,7 +14,7 @@ from cellquant.llm.common import ascii_lower, materialize
 Rule = tuple[str, str, str]
 FEATURES = (
     "url_len", "host_len", "path_len", "depth", "labels", "digit_ratio", "entropy", "params", "hyphens", "has_fragment",
-    "has_query", "is_https", "suffix_log_count", "suffix_block_share", "domain_block_share",
+    "has_query", "is_https", "suffix_log_count", "suffix_block_share", "domain_block_share", "segment_block_share",
 )
 
 
@@ -55,7 +55,8 @@ def _entropy(c: Column) -> Column:
 
 
 def lexical_features(pages: DataFrame) -> DataFrame:
-    """Add the features that one URL gives by itself, and its suffix (last host label) and domain (last two)."""
+    """Add the features that one URL gives by itself, and its suffix (last host label), domain (last two) and the first
+    segment of its path."""
     u, host, path = F.coalesce(F.col("url"), F.lit("")), F.col("host"), F.col("path")
     query = F.regexp_extract(u, r"\?([^#]*)", 1)
     labels = F.split(host, r"\.")
@@ -74,33 +75,51 @@ def lexical_features(pages: DataFrame) -> DataFrame:
         "is_https": F.startswith(u, F.lit("https:")).cast("int"),
     }
     return pages.withColumns({k: v.cast("double") for k, v in as_double.items()}).withColumns(
-        {"suffix": F.element_at(labels, -1), "domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), ".")}
+        {"suffix": F.element_at(labels, -1), "domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), "."), "segment": F.regexp_extract(path, "^/([^/]*)", 1)}
     )
 
 
-def _suffix_stats(rows: DataFrame, key: str, prior_weight: float) -> DataFrame:
-    """Per suffix: how many URLs, and the smoothed share of block among its labelled ones."""
-    n, labelled = F.count(F.lit(1)), F.count("rule_verdict")
-    blocked = F.count_if(F.col("rule_verdict") == "block")
-    return rows.groupBy(key).agg(
-        F.log1p(n.cast("double")).alias(f"{key}_log_count"), ((blocked + prior_weight / 2) / (labelled + prior_weight)).alias(f"{key}_block_share")
-    )
+FOLDS = 5
+
+
+def _suffix_stats(rows: DataFrame, key: str, prior: float, prior_weight: float) -> DataFrame:
+    """Per suffix: how many URLs, and of each fold the smoothed share of block among the labelled URLs of the other folds
+    (under -1: of all), so that no URL's own label is in what the trees learn from. A suffix without labels has the prior."""
+    by_fold = rows.groupBy(key, "fold").agg(F.count(F.lit(1)).alias("n"), F.count("known").alias("labelled"), F.count_if(F.col("known") == "block").alias("blocked"))
+    total = F.struct(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+    each = by_fold.groupBy(key).agg(total.alias("t"), F.collect_list(F.struct("fold", "labelled", "blocked")).alias("folds"))  # at most FOLDS
+
+    def share(blocked: Column, labelled: Column) -> Column:
+        return (blocked + prior * prior_weight) / (labelled + prior_weight)
+
+    shares = F.transform("folds", lambda f: F.struct(f.fold.alias("fold"), share(F.col("t.blocked") - f.blocked, F.col("t.labelled") - f.labelled).alias("share")))
+    whole = F.array(F.struct(F.lit(-1).alias("fold"), share(F.col("t.blocked"), F.col("t.labelled")).alias("share")))
+    return each.select(key, F.log1p(F.col("t.n").cast("double")).alias(f"{key}_log_count"), F.map_from_entries(F.concat(shares, whole)).alias(f"{key}_shares"))
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], *, max_train_rows: int = 20_000, rounds: int = 10, depth: int = 4, prior_weight: float = 20.0) -> DataFrame:
+def judge_urls(
+    pages: DataFrame, rules: list[Rule], *, max_train_rows: int = 20_000, rounds: int = 10, depth: int = 4, prior_weight: float = 20.0, hidden_fold: int | None = None
+) -> DataFrame:
     """page_id, host, path, rule, verdict and p_block of every URL.
 
     URLs that a rule fits are the labelled ones: a bounded sample of them (``max_train_rows``, by hash order) trains
-    boosted trees, whose verdict holds where no rule fits. Suffix statistics cover every row.
+    boosted trees, whose verdict holds where no rule fits. Suffix statistics cover every row; a labelled row takes them
+    from other folds than its own. The labels of a ``hidden_fold`` are not used at all, to measure the trees on them.
 
     Null URLs and those without ``://`` have empty host and path and get the trees' verdict. With labels of one class, or
     none, there is no model: p_block is that class (allow if none). Repeated rows each get a row; page_id may be null or
     repeat; other columns are ignored; an empty table gives an empty result.
     """
     rows = lexical_features(match_rules(pages.select("page_id", "url").withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}), rules))
-    for key in ("suffix", "domain"):
-        rows = rows.join(_suffix_stats(rows, key, prior_weight), key, "left")
-    labelled = rows.where(F.col("rule_verdict").isNotNull()).select(*FEATURES, (F.col("rule_verdict") == "block").cast("double").alias("y"), "url", "page_id")
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int"))
+    rows = rows.withColumn("known", F.when(F.col("fold") != (-1 if hidden_fold is None else hidden_fold), F.col("rule_verdict")))
+    seen = rows.agg(F.count("known").alias("labelled"), F.count_if(F.col("known") == "block").alias("blocked")).first()
+    prior = (seen["blocked"] + 1) / (seen["labelled"] + 2)
+    for key in ("suffix", "domain", "segment"):  # a frequent key's URLs stay on the large side, whose skewed partitions adaptive execution splits
+        own = F.when(F.col("known").isNotNull(), F.col("fold")).otherwise(-1)
+        rows = rows.join(_suffix_stats(rows, key, prior, prior_weight), key, "left")
+        rows = rows.withColumn(f"{key}_block_share", F.coalesce(F.try_element_at(f"{key}_shares", own), F.lit(prior))).drop(f"{key}_shares")
+    labelled = rows.where(F.col("known").isNotNull()).select(*FEATURES, (F.col("known") == "block").cast("double").alias("y"), "url", "page_id")
     sample = materialize(labelled.orderBy(F.xxhash64("url"), "url", "page_id").limit(max_train_rows).select(*FEATURES, "y"), "url-sample")
     classes = sorted(r["y"] for r in sample.select("y").distinct().collect())  # at most two
     if len(classes) == 2:
