@@ -1,13 +1,15 @@
 """Personal data by weak supervision: labelers vote on candidate spans, expectation-maximisation finds how far each can be
-trusted, and a span classifier trained on the estimates decides on spans beyond the base patterns.
+trusted for each kind of data, and a span classifier trained on the estimates decides on spans beyond the base patterns. It
+sees the votes, the span's shape and the word before it (hashed).
 
-Only counts of vote patterns leave the executors: there are at most kinds * 3 ** labelers * shapes of them, whatever the
-number of documents, so EM and the classifier's training are small and cover every document.
+Only counts of patterns leave the executors: there are at most kinds * 3 ** labelers * shapes * (cues + 1) of them, whatever
+the number of documents, so EM and the classifier's training are small and cover every document.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "gazetteer", "context", "shape", "checksum")
-SHAPES = 4
+SHAPES, CUES = 4, 64
 
 _ANY = re.compile(r"[0-9@]|[\[(]at").search
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+").match
@@ -41,6 +43,7 @@ _NEAR = {
     "phone": re.compile(r"tel|phone|call|fax|mobile|whatsapp", re.I).search,
 }
 _AGAINST = re.compile(r"version|order|invoice|isbn|\bid\b|serial|part no|build|section", re.I).search
+_LETTERS = re.compile(r"[^\W\d_]+").findall
 _TLDS = frozenset("com net org edu gov io de fr es uk it nl eu us ca info co".split())
 _ISSUERS = re.compile(r"4|5[1-5]|2[2-7]|3[47]|6(?:011|5)").match
 
@@ -79,8 +82,8 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(text: str | None) -> list[tuple[str, int, int, bool, tuple[int, ...], int]]:
-    """Base spans and wider ones that overlap none of them: (kind, start, end, base, votes, shape)."""
+def candidates(text: str | None) -> list[tuple[str, int, int, bool, tuple[int, ...], int, int]]:
+    """Base spans and wider ones that overlap none of them: (kind, start, end, base, votes, shape, cue)."""
     base = base_spans(text)
     out = [(k, a, b, True, *_votes(text, k, a, b, True)) for k, a, b in base]
     if text and _ANY(text):
@@ -96,8 +99,8 @@ def candidates(text: str | None) -> list[tuple[str, int, int, bool, tuple[int, .
     return out
 
 
-def _votes(text: str, kind: str, a: int, b: int, base: bool) -> tuple[tuple[int, ...], int]:
-    """-1, 0 or 1 from each labeler, and a shape class."""
+def _votes(text: str, kind: str, a: int, b: int, base: bool) -> tuple[tuple[int, ...], int, int]:
+    """-1, 0 or 1 from each labeler, a shape class, and the hash of the last word before (0: none within 40 characters)."""
     s, digits = text[a:b], _digits(text[a:b])
     before = text[max(0, a - 40) : a]
     gazetteer = {
@@ -108,41 +111,49 @@ def _votes(text: str, kind: str, a: int, b: int, base: bool) -> tuple[tuple[int,
     }[kind]()
     context = -1 if _AGAINST(before) else 1 if _NEAR[kind](before) else 0
     apart = not (a and text[a - 1].isalnum()) and not (b < len(text) and text[b].isalnum())
-    checksum = {"card": (1 if luhn(digits) else -1) if digits else 0, "phone": 1 if 9 <= len(digits) <= 15 else -1, "ip": 1 if base else 0, "email": 1 if base else 0}[kind]
-    return (1 if base else 0, gazetteer, context, 1 if apart else -1, checksum), min(SHAPES - 1, len(s) // 10)
+    checksum = {"card": (1 if luhn(digits) else -1) if digits else 0, "phone": 1 if 9 <= len(digits) <= 15 else -1, "ip": 0, "email": 0}[kind]
+    words = _LETTERS(before.lower())
+    cue = zlib.crc32(words[-1].encode()) % CUES + 1 if words else 0
+    return (1 if base else 0, gazetteer, context, 1 if apart else -1, checksum), min(SHAPES - 1, len(s) // 10), cue
+
+
+SIZE = len(KINDS) * (1 + 3 * len(LABELERS)) + SHAPES + CUES + 1
 
 
 @dataclass(frozen=True)
 class PiiModel:
     prior: np.ndarray  # by kind
-    reliability: np.ndarray  # labeler, truth, vote + 1: P(vote | truth)
+    reliability: np.ndarray  # kind, labeler, truth, vote + 1: P(vote | truth)
     weights: np.ndarray
     accept: float = 0.9
 
-    def probability(self, kind: str, votes: tuple[int, ...], shape: int) -> float:
-        return float(1 / (1 + np.exp(-_row(KINDS.index(kind), votes, shape) @ self.weights)))
+    def probability(self, kind: str, votes: tuple[int, ...], shape: int, cue: int = 0) -> float:
+        return float(1 / (1 + np.exp(-self.weights[_features(KINDS.index(kind), votes, shape, cue)].sum())))
 
 
-def _row(kind: int, votes: tuple[int, ...], shape: int) -> np.ndarray:
-    x = np.zeros(len(KINDS) + SHAPES + 3 * len(LABELERS))
-    x[kind] = x[len(KINDS) + shape] = 1
-    for i, v in enumerate(votes):
-        x[len(KINDS) + SHAPES + 3 * i + v + 1] = 1
-    return x
+def _features(kind: int, votes: tuple[int, ...], shape: int, cue: int) -> list[int]:
+    """Which of the classifier's features are 1: the kind, each vote of a labeler on that kind, the shape and the cue."""
+    per_kind = 1 + 3 * len(LABELERS)
+    rest = len(KINDS) * per_kind
+    return [kind * per_kind, *(kind * per_kind + 1 + 3 * i + v + 1 for i, v in enumerate(votes)), rest + shape, rest + SHAPES + cue]
 
 
 def estimate(kind: np.ndarray, votes: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Dawid-Skene EM over counted vote patterns: prior by kind, P(vote | truth) by labeler, P(true) of each pattern.
-    It starts from the mean vote; Laplace counts keep every table positive."""
+    """Dawid-Skene EM over counted vote patterns: prior by kind, P(vote | truth) by kind and labeler, P(true) of each pattern.
+    It starts from the mean vote. An abstention says nothing about its span, only how often the labeler speaks. Each kind's table leans on that of all kinds together as on ten candidates, so that rare
+    kinds have sound ones, and that on Laplace counts."""
     p = np.clip(0.5 + votes.mean(1) / 2, 0.05, 0.95)
+    kinds, labelers = len(KINDS), votes.shape[1]
     for _ in range(rounds):
-        prior = (np.bincount(kind, n * p, len(KINDS)) + 1) / (np.bincount(kind, n, len(KINDS)) + 2)
-        table = np.ones((votes.shape[1], 2, 3))
-        for i in range(votes.shape[1]):
-            for truth, w in enumerate((n * (1 - p), n * p)):
-                table[i, truth] += np.bincount(votes[:, i] + 1, w, 3)
-        table /= table.sum(2, keepdims=True)
-        log = [np.log(q[kind]) + sum(np.log(table[i, truth, votes[:, i] + 1]) for i in range(votes.shape[1])) for truth, q in enumerate((1 - prior, prior))]
+        prior = (np.bincount(kind, n * p, kinds) + 1) / (np.bincount(kind, n, kinds) + 2)
+        table = np.zeros((kinds, labelers, 2, 3))
+        for truth, w in enumerate((n * (1 - p), n * p)):
+            for i in range(labelers):
+                table[:, i, truth] = np.bincount(kind * 3 + votes[:, i] + 1, w, kinds * 3).reshape(kinds, 3)
+        whole = table.sum(0) + 1
+        table += 10 * whole / whole.sum(2, keepdims=True)
+        table /= table.sum(3, keepdims=True)
+        log = [np.log(q[kind]) + sum(np.where(votes[:, i] == 0, 0, np.log(table[kind, i, truth, votes[:, i] + 1])) for i in range(labelers)) for truth, q in enumerate((1 - prior, prior))]
         p = 1 / (1 + np.exp(np.clip(log[0] - log[1], -40, 40)))
     return prior, table, p
 
@@ -150,24 +161,26 @@ def estimate(kind: np.ndarray, votes: np.ndarray, n: np.ndarray, rounds: int = 5
 def _each_candidate(documents: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(KINDS.index(c[0]), *c[4], c[5]) for t in b.column(0) for c in candidates(t.as_py())]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int32()) for c in (zip(*rows, strict=True) if rows else [[]] * (len(LABELERS) + 2))], ["kind", *LABELERS, "size_class"])
+            rows = [(KINDS.index(c[0]), *c[4], *c[5:]) for t in b.column(0) for c in candidates(t.as_py())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int32()) for c in (zip(*rows, strict=True) if rows else [[]] * (len(LABELERS) + 3))], ["kind", *LABELERS, "size_class", "cue"])
 
-    return documents.select("text").mapInArrow(run, ", ".join(f"{c} int" for c in ("kind", *LABELERS, "size_class")))
+    return documents.select("text").mapInArrow(run, ", ".join(f"{c} int" for c in ("kind", *LABELERS, "size_class", "cue")))
 
 
 def train_pii(documents: DataFrame, *, accept: float = 0.9, rounds: int = 300) -> PiiModel:
-    """Votes of all documents, counted by pattern; EM; then a logistic span classifier on the estimates."""
-    counted = _each_candidate(documents).groupBy("kind", *LABELERS, "size_class").agg(F.count(F.lit(1)).alias("n")).collect()
+    """Votes of all documents, counted by pattern; EM; then a logistic span classifier on the estimates. With no candidate at
+    all (no documents, null texts) nothing beyond the base patterns is accepted."""
+    counted = _each_candidate(documents).groupBy("kind", *LABELERS, "size_class", "cue").agg(F.count(F.lit(1)).alias("n")).collect()
     rows = sorted(tuple(r) for r in counted)
-    size = len(KINDS) + SHAPES + 3 * len(LABELERS)
     if not rows:
-        return PiiModel(np.full(len(KINDS), 0.5), np.full((len(LABELERS), 2, 3), 1 / 3), np.zeros(size), accept)
+        return PiiModel(np.full(len(KINDS), 0.5), np.full((len(KINDS), len(LABELERS), 2, 3), 1 / 3), np.zeros(SIZE), accept)
     a = np.array(rows)
     prior, table, p = estimate(a[:, 0], a[:, 1 : 1 + len(LABELERS)], a[:, -1].astype(float))
-    x, n = np.array([_row(r[0], r[1 : 1 + len(LABELERS)], r[-2]) for r in rows]), np.log1p(a[:, -1].astype(float))
-    w = np.zeros(size)
-    for _ in range(rounds):  # Newton-free: a bounded number of damped gradient steps over a few hundred patterns
+    x, n = np.zeros((len(rows), SIZE)), np.log1p(a[:, -1].astype(float))
+    for i, r in enumerate(rows):
+        x[i, _features(r[0], r[1 : 1 + len(LABELERS)], r[-3], r[-2])] = 1
+    w = np.zeros(SIZE)
+    for _ in range(rounds):  # damped gradient steps over a bounded number of patterns
         q = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
         w += 0.5 * (x.T @ (n * (p - q)) / n.sum() - 1e-3 * w)
     return PiiModel(prior, table, w, accept)
@@ -178,7 +191,7 @@ SPAN = "array<struct<kind:string,`start`:int,`end`:int,base:boolean>>"
 
 def spans_of(text: str | None, model: PiiModel) -> list[tuple[str, int, int, bool]]:
     """Base spans, and candidates that the classifier accepts, by start, then kind as listed."""
-    kept = [c[:4] for c in candidates(text) if c[3] or model.probability(c[0], c[4], c[5]) >= model.accept]
+    kept = [c[:4] for c in candidates(text) if c[3] or model.probability(c[0], *c[4:]) >= model.accept]
     return sorted(kept, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
@@ -186,8 +199,8 @@ def find_pii(documents: DataFrame, model: PiiModel) -> DataFrame:
     """Every row with spans (array of kind, start, end, base; code points, end exclusive) and redacted (the text with
     each span, overlapping ones joined, replaced by its kind in brackets).
 
-    A null text counts as empty for spans, and stays null in redacted. Repeated rows stay. Columns named spans or
-    redacted are replaced; all others are kept.
+    A null text counts as empty for spans, and stays null in redacted. Repeated rows stay, an empty table gives an empty
+    result. Columns named spans or redacted are replaced; all others are kept.
     """
     kept = [c for c in documents.columns if c not in ("spans", "redacted")]
     place = kept.index("text")
