@@ -81,15 +81,19 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, l2: float = 1e-3, rounds: int
 
 
 def _sample(documents: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """Up to ``max_rows`` labelled documents of each class, by hash order of doc_id."""
+    """Up to ``max_rows`` labelled documents of each class, by hash order of doc_id, among those that ``documents`` holds. Of
+    rows that share a doc_id the least text counts."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    known = known.join(documents.select("doc_id"), "doc_id", "left_semi")
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     picked = known.where("toxic = 1").orderBy(*order).limit(max_rows).unionByName(known.where("toxic = 0").orderBy(*order).limit(max_rows))
-    return materialize(documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("toxic", "text"), "toxicity-sample")
+    texts = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return materialize(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("toxic", "text"), "toxicity-sample")
 
 
-def _vocabulary(sample: DataFrame, max_words: int, least_docs: int, least_chi2: float, least_log_odds: float) -> list[str]:
-    """Words that tell the classes apart: chi-square and smoothed log odds ratio of document frequencies."""
+def _vocabulary(sample: DataFrame, least_docs: int, least_chi2: float, least_log_odds: float) -> list[str]:
+    """All words that tell the classes apart: chi-square and smoothed log odds ratio of document frequencies. The sample's
+    bound is theirs too."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -106,21 +110,22 @@ def _vocabulary(sample: DataFrame, max_words: int, least_docs: int, least_chi2:
     chi2 = (n1 + n0) * F.pow(F.col("a") * d - F.col("b") * c, 2) / (F.lit(float(n1) * n0) * (F.col("a") + F.col("b")) * (c + d + 1e-9))
     odds = F.log((F.col("a") + 0.5) * (d + 0.5) / ((F.col("b") + 0.5) * (c + 0.5)))
     told = counts.where(F.col("a") + F.col("b") >= least_docs).withColumns({"chi2": chi2, "odds": odds})
-    told = told.where((F.col("chi2") >= least_chi2) & (F.abs("odds") >= least_log_odds)).orderBy(F.desc("chi2"), "word").limit(max_words)
+    told = told.where((F.col("chi2") >= least_chi2) & (F.abs("odds") >= least_log_odds)).orderBy(F.desc("chi2"), "word")
     return [r["word"] for r in told.select("word").collect()]
 
 
 def train_toxicity(
-    documents: DataFrame, labels: DataFrame, *, max_rows: int = 4096, max_words: int = 500, least_docs: int = 3, least_chi2: float = 30.0, least_log_odds: float = 1.5
+    documents: DataFrame, labels: DataFrame, *, max_rows: int = 4096, least_docs: int = 3, least_chi2: float = 30.0, least_log_odds: float = 1.5
 ) -> OrdinalModel:
     """Fit on at most ``max_rows`` labelled documents a class (``labels``: doc_id, toxic 0/1; a document with several
     labels takes the largest; null labels are passed over).
 
     Grades: 0 for clean; toxic documents are 1 or 2, cut at the median of how much toxic wording they hold (occurrences
-    of tokens that toxic documents hold more of). With no labels of a class nothing is held toxic.
+    of tokens that toxic documents hold more of). With no labels of a class, no documents, or labels of none of them,
+    nothing is held toxic.
     """
     sample = _sample(documents, labels, max_rows)
-    words = _vocabulary(sample, max_words, least_docs, least_chi2, least_log_odds)
+    words = _vocabulary(sample, least_docs, least_chi2, least_log_odds)
     index = {w: i for i, w in enumerate(words)}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +138,7 @@ def train_toxicity(
             )
 
     rows = sample.mapInArrow(vectors, "toxic int, at array<int>, x array<double>").collect()  # at most 2 * max_rows
-    x = np.zeros((len(rows), len(words)))
+    x = np.zeros((len(rows), len(words)), np.float32)
     for i, r in enumerate(rows):
         x[i, r["at"]] = r["x"]
     toxic = np.array([r["toxic"] for r in rows], int)
@@ -149,12 +154,13 @@ def train_toxicity(
 def score_toxicity(documents: DataFrame, model: OrdinalModel, *, threshold: float = 0.5) -> DataFrame:
     """Every row with severity (expected grade), grade (most probable), p_toxic and toxic (p_toxic >= ``threshold``).
 
-    A null or empty text has no features. Columns of ``documents`` stay, except those with one of these names.
+    A null or empty text has no features. Repeated rows each get a row, an empty table gives an empty result. Columns of
+    ``documents`` stay, except those with one of these names.
     """
     made = ("severity", "grade", "p_toxic", "toxic")
     kept = [c for c in documents.columns if c not in made]
     rows = documents.select(*kept)
-    shared = documents.sparkSession.sparkContext.broadcast((model, dict(zip(model.words, model.weights.tolist(), strict=True))))  # max_words bounds it
+    shared = documents.sparkSession.sparkContext.broadcast((model, dict(zip(model.words, model.weights.tolist(), strict=True))))  # words of the bounded sample
     place = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
