@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from cellquant.llm.common import shuffle_partitions
 
-K, HOT, NO_ID = 32, 8000, -(1 << 63)
+K, HOT, LEAST = 32, 8000, -(1 << 63)
+#: bytes of text for which the shuffles get another partition, if the session gives fewer
+PART_BYTES = 64_000_000
 Batches = Iterator[pa.RecordBatch]
 _TABLE = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64)
 _B = np.uint64(0x9E3779B97F4A7C15)
@@ -166,7 +168,7 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
         if held:
             yield out()
 
-    sent = texts.mapInArrow(send, kind).repartition(shuffle_partitions(texts.sparkSession), "segment").sortWithinPartitions("segment")
+    sent = texts.mapInArrow(send, kind).repartition(max(1, segments // 4), "segment").sortWithinPartitions("segment")
     return sent.mapInArrow(gather, "id long, h long, place long, hot boolean")
 
 
@@ -444,13 +446,15 @@ def remove_repeats(documents: DataFrame, *, length: int = 100) -> DataFrame:
     """id, kept (binary), n_bytes, n_removed and spans (array of start, stop: maximal removed runs) of every row.
 
     Each byte covered by a ``length``-byte string that also starts earlier (smaller doc_id, or same document and earlier
-    start) is removed, judged on the input. Texts count as UTF-8; null and empty ones have no bytes. A null doc_id comes
-    before all others. Rows that share a doc_id are compared with each other by start alone, so that equal copies under
-    one doc_id both stay. ``length`` is over 32 and under 1000.
+    start) is removed, judged on the input. Texts count as UTF-8; null, empty and shorter ones have nothing removed, and an
+    empty table gives an empty result. A doc_id must be a long or cast to one; a null one stays null and counts as the
+    least long. Rows that share a doc_id are compared with each other by start alone, so that equal copies under one
+    doc_id both stay. Other columns are ignored. ``length`` is over 32 and under 1000.
     """
-    rows = documents.select(F.coalesce("doc_id", F.lit(NO_ID)).cast("long").alias("id"), "text")
-    parts = shuffle_partitions(documents.sparkSession)
-    repeated = _repeated_anchors(rows, length, segments=4 * parts)
+    rows = documents.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("id"), "text")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(shuffle_partitions(documents.sparkSession), -(-size // PART_BYTES))
+    repeated = _repeated_anchors(rows.select("id", "text"), length, segments=4 * parts)
     lists = repeated.groupBy("id").agg(F.collect_list(F.struct("h", "place", "hot")).alias("found"))
     marks = _marks(_ranges(rows.join(lists, "id").select("id", "text", "found"), length), length, parts)
     by_doc = marks.groupBy("id").agg(F.collect_list(F.struct("th", "start", "stop")).alias("marks"))
@@ -470,12 +474,12 @@ def remove_repeats(documents: DataFrame, *, length: int = 100) -> DataFrame:
                             spans.append([a, z])
                 edges = [0, *(x for s in spans for x in s), len(raw)]
                 kept = b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2], strict=True))
-                out.append((None if i == NO_ID else i, kept, len(raw), len(raw) - len(kept), [{"start": a, "stop": z} for a, z in spans]))
+                out.append((i, kept, len(raw), len(raw) - len(kept), [{"start": a, "stop": z} for a, z in spans]))
             kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))
             cols = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "kept", "n_bytes", "n_removed", "spans"])
 
-    return rows.join(by_doc, "id", "left").select("id", "text", "marks").mapInArrow(cut, "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>")
+    return rows.join(by_doc, "id", "left").select(F.col("doc_id").cast("long"), "text", "marks").mapInArrow(cut, "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>")
 
 
 def repeats_digest(cleaned: DataFrame) -> DataFrame:
