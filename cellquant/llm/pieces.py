@@ -337,7 +337,7 @@ def _fields(rows: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
 
-def encode(documents: DataFrame, *, model_file: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int = 4, decoded: bool = False) -> DataFrame:
+def encode(documents: DataFrame, *, model_file: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int = 8, decoded: bool = False) -> DataFrame:
     """Every row with ids (array of int) and, if ``decoded``, the text that they decode to, in the same pass.
 
     Null and empty texts have no ids and decode to the empty text. Equal texts have equal ids, repeated rows stay, an
