@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OWN: dict[str, str] = {}
+#: tables written so far, in order
+_WRITTEN: list[str] = []
 
 
 def ascii_lower(c: Column | str) -> Column:
@@ -28,6 +32,11 @@ def fresh(df: DataFrame, name: str) -> str:
     return next(n for n in (name, *(f"{name}_{i}" for i in range(len(taken) + 1))) if n.lower() not in taken)
 
 
+def with_fields(rows: DataFrame, more: str) -> StructType:
+    """The schema of ``rows``, whatever its names, and ``more`` fields."""
+    return StructType([*rows.schema.fields, *StructType.fromDDL(more).fields])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``). Only a local session, as in tests, may leave it unset and gets a
     folder of its own; elsewhere executors would write to disks that the others cannot read, so that is an error."""
@@ -47,15 +56,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     lost executors."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(written: DataFrame) -> None:
-    """Delete a table that ``materialize`` wrote and that nothing reads any more."""
-    jvm, conf = written.sparkSession._jvm, written.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in written.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+def settle(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``materialize`` what ``make`` returns, then delete the tables that were written on the way to it."""
+    before = len(_WRITTEN)
+    out = materialize(make(), name)
+    spark = out.sparkSession
+    for path in _WRITTEN[before:-1]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    del _WRITTEN[before:-1]
+    return out
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -23,6 +23,8 @@ import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
 
+from cellquant.llm.common import with_fields
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: bytes of text that are encoded together (a longer text by itself)
@@ -333,10 +335,6 @@ def _slices(b: pa.RecordBatch, place: int) -> Iterator[tuple[pa.RecordBatch, pa.
         lo = hi
 
 
-def _fields(rows: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-
-
 def encode(documents: DataFrame, *, model_file: str = MODEL, dropout: float = 0.1, seed: int = 1, variants: int = 8, decoded: bool = False) -> DataFrame:
     """Every row with ids (array of int) and, if ``decoded``, the text that they decode to, in the same pass.
 
@@ -356,7 +354,7 @@ def encode(documents: DataFrame, *, model_file: str = MODEL, dropout: float = 0.
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], [*kept, *made])
 
     rows = documents.select(*kept)
-    return rows.mapInArrow(run, ", ".join([_fields(rows), "ids array<int>", "decoded string"][: 1 + len(made)]))
+    return rows.mapInArrow(run, with_fields(rows, "ids array<int>, decoded string" if decoded else "ids array<int>"))
 
 
 def decode(encoded: DataFrame, *, model_file: str = MODEL) -> DataFrame:
@@ -373,4 +371,4 @@ def decode(encoded: DataFrame, *, model_file: str = MODEL) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, decode_array(part.column(place), model)], [*kept, "decoded"])
 
     rows = encoded.select(*kept)
-    return rows.mapInArrow(run, f"{_fields(rows)}, decoded string")
+    return rows.mapInArrow(run, with_fields(rows, "decoded string"))

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellquant.llm.common import with_fields
+
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("pattern", "gazetteer", "context", "shape", "checksum")
 SHAPES, CUES = 4, 64
@@ -214,8 +216,7 @@ def find_pii(documents: DataFrame, model: PiiModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(spans, kind), pa.array([redact(t, s) for t, s in zip(texts, found, strict=True)], pa.string())], [*kept, "spans", "redacted"])
 
     rows = documents.select(*kept)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{fields}, spans {SPAN}, redacted string")
+    return rows.mapInArrow(run, with_fields(rows, f"spans {SPAN}, redacted string"))
 
 
 def redact(text: str | None, spans: list[tuple[str, int, int, bool]]) -> str | None:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellquant.llm.common import ascii_words, materialize
+from cellquant.llm.common import ascii_words, materialize, settle
 
 MAX_BITS, SEED = 3, 42
 
@@ -164,7 +164,8 @@ def _links_by_shard(rows: DataFrame) -> DataFrame:
     """Links (a, b) in every shard. Shards arrive sorted; several small ones share a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((0, 3), np.int64)
+        held: list[np.ndarray] = []  # batches of the shards that have not ended
+        size = 0
 
         def links(rows: np.ndarray) -> pa.RecordBatch:
             cuts = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
@@ -175,13 +176,18 @@ def _links_by_shard(rows: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
         for b in batches:
-            held = np.concatenate((held, np.column_stack([b.column(i).to_numpy() for i in range(3)])))
-            cut = np.flatnonzero((held[1:, :2] != held[:-1, :2]).any(axis=1))
-            if len(cut) and len(held) > 100_000:
-                yield links(held[: cut[-1] + 1])
-                held = held[cut[-1] + 1 :]
-        if len(held):
-            yield links(held)
+            rows = np.column_stack([b.column(i).to_numpy() for i in range(3)])
+            if size > 100_000 and len(rows):
+                cut = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1))
+                last = cut[-1] + 1 if len(cut) else 0 if (rows[0, :2] != held[-1][-1, :2]).any() else None
+                if last is not None:
+                    yield links(np.concatenate([*held, rows[:last]]))
+                    held, rows, size = [], rows[last:], 0
+            if len(rows):
+                held.append(rows)
+                size += len(rows)
+        if held:
+            yield links(np.concatenate(held))
 
     dealt = rows.select(F.col("mask").cast("long").alias("mask"), "value", "fp").repartition("mask", "value").sortWithinPartitions("mask", "value", "fp")
     return dealt.mapInArrow(run, "a long, b long")
@@ -230,7 +236,7 @@ def near_duplicates(documents: DataFrame, *, shingle_words: int = 3) -> DataFram
     """
     fps = materialize(fingerprints(documents, shingle_words), "fingerprints")
     distinct = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "distinct-fingerprints")
-    roots = connected_components(fingerprint_links(distinct.select("fp")))
+    roots = settle(lambda: connected_components(fingerprint_links(distinct.select("fp"))), "roots")
     labelled = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root"))
     ids = labelled.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     by_fp = labelled.join(ids, "root").select("fp", "component_id")
@@ -450,12 +456,17 @@ def similar_documents(documents: DataFrame, *, shingle_words: int = 5, similarit
     p, n = bits_apart(similarity), 64 * WIDE
     plan, deviation = shard_plan(distinct.count(), similarity), math.sqrt(n * p * (1 - p))
     texts = fps.select("fp", "text")
-    close = materialize(_wide_links(distinct.select("fp"), plan, round(n * p)), "close-pairs")
-    sure = materialize(_verified(close, texts, shingle_words, similarity), "close-links")
-    groups = connected_components(sure)
-    label = distinct.join(groups, distinct.fp == groups.node, "left").select("fp", F.xxhash64(F.coalesce("root", "fp")).alias("label"))
-    wide = materialize(_wide_links(materialize(label, "labels"), plan, round(n * p + 3 * deviation)).join(close, ["a", "b"], "left_anti"), "wide-pairs")
-    roots = connected_components(sure.unionByName(_verified(wide, texts, shingle_words, similarity)))
+
+    def joined() -> DataFrame:
+        close = settle(lambda: _wide_links(distinct.select("fp"), plan, round(n * p)), "close-pairs")
+        sure = settle(lambda: _verified(close, texts, shingle_words, similarity), "close-links")
+        groups = settle(lambda: connected_components(sure), "close-groups")
+        label = distinct.join(groups, distinct.fp == groups.node, "left").select("fp", F.xxhash64(F.coalesce("root", "fp")).alias("label"))
+        wide = settle(lambda: _wide_links(materialize(label, "labels"), plan, round(n * p + 3 * deviation)).join(close, ["a", "b"], "left_anti"), "wide-pairs")
+        more = settle(lambda: _verified(wide, texts, shingle_words, similarity), "wide-links")
+        return connected_components(sure.unionByName(more))
+
+    roots = settle(joined, "roots")
     labelled = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_doc", F.coalesce("root", "fp").alias("root"))
     ids = labelled.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     return fps.select("doc_id", "fp").join(labelled.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "component_id")

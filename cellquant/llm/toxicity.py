@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellquant.llm.common import materialize
+from cellquant.llm.common import materialize, with_fields
 
 STEMS = (4, 5)
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -172,5 +172,4 @@ def score_toxicity(documents: DataFrame, model: OrdinalModel, *, threshold: floa
             new = [pa.array(above.sum(1)), pa.array(each.argmax(1).astype(np.int32)), pa.array(above[:, 0]), pa.array(above[:, 0] >= threshold)]
             yield pa.RecordBatch.from_arrays([*b.columns, *new], [*kept, *made])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{fields}, severity double, grade int, p_toxic double, toxic boolean")
+    return rows.mapInArrow(run, with_fields(rows, "severity double, grade int, p_toxic double, toxic boolean"))

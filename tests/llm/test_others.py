@@ -7,11 +7,12 @@ import random
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cellquant.llm import ann, chat, pieces, queries, urls
+from cellquant.llm import ann, chat, common, pieces, queries, urls
 from tests.llm import plain
 
 
@@ -290,3 +291,50 @@ def test_stages_keep_clean_documents(spark):
     toxic = {r["doc_id"] for r in spark.read.parquet(f"{plain.SF}/labels.parquet").where("toxic = 1").collect()}
     left = {r["doc_id"] for r in kept.collect()}
     assert len(left) > 0.9 * len(text) - len(toxic) and kept.columns == docs.columns
+
+
+CLASHES = ("severity", "grade", "toxic", "words", "spans", "redacted", "ids", "decoded", "lossless", "others", "fp", "th", "hit_id", "stays", "component_id", "Row", "a b")
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Every stage on nulls, empty and long texts, repeated rows, empty tables, and columns with the names that operators make."""
+    spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "a passage of the benchmark that nobody should have in training data at all")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    texts = [(1, None), (2, ""), (3, "one text like no other " * 3), (3, "one text like no other " * 3), (None, "mail a.b@c.org"), (4, "words " * 20_000), (5, "x a passage of the benchmark that nobody should have in training data")]
+    rows = [(i, t, len(t or ""), *(f"{c}{n}" for c in CLASHES)) for n, (i, t) in enumerate(texts)]
+    fields = ", ".join(f"`{c}` string" for c in CLASHES)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, n_chars long, {fields}")
+    stays = {"toxicity": range(7), "near_duplicates": (0, 2, 3, 4, 5, 6), "decontamination": range(6), "personal_data": range(7), "sentencepiece": range(7)}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        path = str(tmp_path / name)
+        out.write.parquet(path)
+        got = spark.read.parquet(path)
+        assert got.columns[: len(docs.columns)] == docs.columns
+        assert got.columns[len(docs.columns) :] == (["ids_0", "lossless_0"] if name == "sentencepiece" else [])
+        found = sorted(int(r["grade"].removeprefix("grade")) for r in got.collect())
+        assert found == list(stays[name]), name
+        for r in got.collect():
+            n = int(r["grade"].removeprefix("grade"))
+            assert [r[c] for c in CLASHES] == [f"{c}{n}" for c in CLASHES] and r["doc_id"] == texts[n][0]
+            if name == "personal_data" and n == 4:
+                assert (r["text"], r["n_chars"]) == ("mail [EMAIL]", 12)
+            else:
+                assert (r["text"], r["n_chars"]) == (texts[n][1], len(texts[n][1] or ""))
+            assert name != "sentencepiece" or (r["lossless_0"] and bool(r["ids_0"]) == bool(texts[n][1]))
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_intermediate_tables_need_a_shared_folder(spark, monkeypatch):
+    class Cluster:
+        class sparkContext:  # noqa: N801
+            master, applicationId = "yarn", "a"
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, other: other)
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        common.shared_dir(Cluster)
+    first = common.materialize(spark.range(3), "first")
+    kept = common.settle(lambda: common.materialize(common.materialize(spark.range(3), "a").where("id > 0"), "b").where("id > 1"), "kept")
+    assert kept.count() == 1 and first.count() == 3 and [p.rsplit("/", 1)[1].split("-")[0] for p in common._WRITTEN[-2:]] == ["first", "kept"]
