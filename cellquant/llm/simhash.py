@@ -330,9 +330,22 @@ def shard_plan(rows: int, similarity: float, recall: float = 0.97, shard_rows: i
     return [np.sort(rng.permutation(64 * WIDE)[:k]) for _ in range(dealings)]
 
 
-def cross_links(fps: np.ndarray, label: np.ndarray, radius: int, block: int = 1024) -> np.ndarray:
-    """All pairs of places whose fingerprints are within ``radius`` and whose labels differ."""
-    order, out = np.argsort(label, kind="stable"), [np.zeros((0, 2), np.int64)]
+def shard_keys(fps: list[bytes], plan: list[np.ndarray]) -> np.ndarray:
+    """rows x dealings: the number of each fingerprint's shard in each dealing."""
+    raw = np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1)[:, : 8 * WIDE]
+    bits = np.unpackbits(raw, axis=1, bitorder="little")
+    return np.column_stack([bits[:, places].astype(np.int64) @ (np.int64(1) << np.arange(len(places))) for places in plan])
+
+
+def _as_words(fps: list[bytes]) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1)[:, : 8 * WIDE]).view(np.uint64)
+
+
+def cross_pairs(keys: list[bytes], label: np.ndarray, plan: list[np.ndarray], radius: int, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of places whose fingerprints are within ``radius``, whose labels differ, and that no dealing of ``plan`` (the
+    earlier ones) brings together, in chunks."""
+    fps = _as_words(keys)
+    order = np.argsort(label, kind="stable")
     for lo in range(0, len(fps), block):
         p = order[lo : lo + block]
         for at in range(lo, len(fps), block):
@@ -341,97 +354,188 @@ def cross_links(fps: np.ndarray, label: np.ndarray, radius: int, block: int = 10
                 continue  # sorted, so all are of one label
             near = (np.bitwise_count(fps[p][:, None] ^ fps[q][None]).sum(axis=2, dtype=np.int16) <= radius) & (label[p][:, None] != label[q][None])
             i, j = np.nonzero(np.triu(near, 1) if at == lo else near)
-            out.append(np.column_stack((p[i], q[j])))
-    return np.concatenate(out)
+            i, j = p[i], q[j]
+            if len(i) and plan:
+                some, back = np.unique(np.concatenate((i, j)), return_inverse=True)
+                shards = shard_keys([keys[x] for x in some.tolist()], plan)[back]
+                first = ~(shards[: len(i)] == shards[len(i) :]).any(axis=1)
+                i, j = i[first], j[first]
+            if len(i):
+                yield i, j
 
 
-def _wide_links(distinct: DataFrame, plan: list[np.ndarray], radius: int, window: int = 50_000) -> DataFrame:
-    """Distinct links (a, b) of wide fingerprints (column fp) within the shards of all dealings: enough of them to join what
-    belongs together or, with a column label, all between different labels.
-
-    A shard beyond ``window`` rows is dealt again to windows, and each two of them meet in a task of their own, so that
-    every member meets every other and no task holds more than two windows."""
-    labelled = "label" in distinct.columns
+def _dealt(nodes: DataFrame, plan: list[np.ndarray]) -> DataFrame:
+    """(unit, dealing, fp, label) of nodes (fp, label): a row for each dealing. A unit is what one task compares."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint8).reshape(b.num_rows, -1)[:, : 8 * WIDE]
-            bits = np.unpackbits(raw, axis=1, bitorder="little")
-            for t, places in enumerate(plan):
-                key = bits[:, places].astype(np.int64) @ (np.int64(1) << np.arange(len(places)))
-                yield pa.RecordBatch.from_arrays([pa.array((np.int64(t) << 44) + key), *b.columns], ["shard", "fp", "label"])
-
-    def linker(most: int | None):
-        """Links of each shard; the rows of one above ``most`` are given back instead, as (a, null, label, shard)."""
+            if not b.num_rows:
+                continue
+            keys = shard_keys(b.column(0).to_pylist(), plan)
+            for t in range(len(plan)):
+                yield pa.RecordBatch.from_arrays([pa.array((np.int64(t) << 44) + keys[:, t]), pa.array(np.full(b.num_rows, t, np.int32)), *b.columns], ["unit", "dealing", "fp", "label"])
+
+    return nodes.mapInArrow(deal, "unit long, dealing int, fp binary, label long")
+
+
+def _by_unit(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select("unit", "dealing", *columns).repartition("unit").sortWithinPartitions("unit")
+
+
+def _units(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[tuple[int, int, list[list], bool]]:
+    """(unit, dealing, its other columns as lists, whether it has more than ``most`` rows) from batches sorted by unit. A unit
+    beyond ``most`` comes in several parts, each of which says so; its first part is known to be one only from the next
+    row on, so it is held back until then."""
+    held: list[list] | None = None
+    last, dealing, hot = None, 0, False
+    for b in batches:
+        unit = b.column(0).to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(unit)) + 1).tolist(), len(unit)] if len(unit) else []
+        columns = [c.to_pylist() for c in b.columns[2:]]
+        for lo, hi in zip(edges, edges[1:], strict=False):
+            if unit[lo] != last:
+                if held and held[0]:
+                    yield last, dealing, held, hot
+                last, dealing, hot, held = int(unit[lo]), b.column(1)[lo].as_py(), False, [[] for _ in columns]
+            for whole, part in zip(held, columns, strict=True):
+                whole += part[lo:hi]
+            if hot or most and len(held[0]) > most:
+                hot = True
+                yield last, dealing, held, True
+                held = [[] for _ in columns]
+    if held and held[0]:
+        yield last, dealing, held, hot
+
+
+def _in_windows(hot: DataFrame, window: int) -> DataFrame:
+    """Rows (unit, dealing, fp, label) of units beyond ``window``: each is dealt to windows, and each two windows of a unit are a
+    unit of their own, so that every member meets every other and no task holds more than two windows."""
+    sizes = hot.groupBy("unit").agg(F.ceil(F.count(F.lit(1)) / window).alias("windows"), (F.min("label") < F.max("label")).alias("differ"))
+    mine = hot.join(F.broadcast(sizes), "unit").withColumn("w", F.pmod(F.xxhash64("fp", "unit"), F.col("windows")))  # a row for each large unit
+    met = mine.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1))).where("o <> w")
+    return met.select(F.xxhash64("unit", F.least("w", "o"), F.greatest("w", "o")).alias("unit"), "dealing", "fp", "label", "differ")
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[tuple[bytes, int]] = []
-            last, hot = None, False
 
-            def rows(found: list[tuple]) -> pa.RecordBatch:
-                kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
-                return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)], ["a", "b", "label", "shard"])
+def _wide_links(distinct: DataFrame, plan: list[np.ndarray], radius: int, window: int = 50_000) -> DataFrame:
+    """Distinct links (a, b) of wide fingerprints (column fp) within the shards of all dealings: enough of them to join what
+    belongs together. Shards beyond ``window`` rows: see ``_in_windows``."""
 
-            def out() -> list[tuple]:
+    def linker(most: int | None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names = ["a", "b", "unit", "dealing"]
+            for unit, dealing, (keys, _), hot in _units(batches, most):
                 if hot:
-                    found = [(fp, None, label, last) for fp, label in held]
-                elif len(held) < 2:
-                    found = []
-                else:
-                    keys = [fp for fp, _ in held]
-                    fps = np.ascontiguousarray(np.frombuffer(b"".join(keys), np.uint8).reshape(len(keys), -1)[:, : 8 * WIDE]).view(np.uint64)
-                    links = cross_links(fps, np.array([x for _, x in held], np.int64), radius) if labelled else close_links(fps, radius)[0]
-                    found = [(*sorted((keys[a], keys[b])), None, None) for a, b in links.tolist()]
-                held.clear()
-                return found
-
-            for b in batches:
-                shard = b.column(0).to_numpy()
-                fps, labels = b.column(1).to_pylist(), b.column(2).to_pylist()
-                edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)] if len(shard) else []
-                found = []
-                for lo, hi in zip(edges, edges[1:], strict=False):
-                    if last is not None and shard[lo] != last:
-                        found += out()
-                        hot = False
-                    last = int(shard[lo])
-                    held += zip(fps[lo:hi], labels[lo:hi], strict=True)
-                    if hot or most and len(held) > most:
-                        hot = True
-                        found += out()
-                yield rows(found)
-            yield rows(out())
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.nulls(len(keys), pa.binary()), pa.array([unit] * len(keys), pa.int64()), pa.array([dealing] * len(keys), pa.int32())], names)
+                elif len(keys) > 1:
+                    links = [sorted((keys[a], keys[b])) for a, b in close_links(_as_words(keys), radius)[0].tolist()]
+                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.binary()), pa.array([x[1] for x in links], pa.binary()), pa.nulls(len(links), pa.int64()), pa.nulls(len(links), pa.int32())], names)
 
         return run
 
-    kind = "a binary, b binary, label long, shard long"
-    nodes = distinct.select("fp", F.col("label") if labelled else F.lit(0).cast("long").alias("label"))
-    dealt = nodes.mapInArrow(deal, "shard long, fp binary, label long")
-    first = materialize(dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(linker(window), kind), "shard-links")
-    hot = first.where(F.col("b").isNull()).select("shard", F.col("a").alias("fp"), "label")
-    sizes = hot.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / window).alias("windows"), (F.min("label") < F.max("label")).alias("differ"))
-    if labelled:
-        sizes = sizes.where("differ")
-    mine = hot.join(F.broadcast(sizes), "shard").withColumn("w", F.pmod(F.xxhash64("fp", "shard"), F.col("windows")))
-    met = mine.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1))).where("o <> w")
-    met = met.select(F.xxhash64("shard", F.least("w", "o"), F.greatest("w", "o")).alias("shard"), "fp", "label")
-    again = met.repartition("shard").sortWithinPartitions("shard").mapInArrow(linker(None), kind)
+    kind = "a binary, b binary, unit long, dealing int"
+    nodes = distinct.select("fp", F.lit(0).cast("long").alias("label"))
+    first = materialize(_by_unit(_dealt(nodes, plan), ["fp", "label"]).mapInArrow(linker(window), kind), "shard-links")
+    hot = first.where(F.col("b").isNull()).select("unit", "dealing", F.col("a").alias("fp"), F.lit(0).cast("long").alias("label"))
+    again = _by_unit(_in_windows(hot, window), ["fp", "label"]).mapInArrow(linker(None), kind)
     return first.where(F.col("b").isNotNull()).unionByName(again).select("a", "b").distinct()
 
 
+def _cross_members(labelled: DataFrame, plan: list[np.ndarray], radius: int, window: int = 8192) -> DataFrame:
+    """(unit, dealing, fp, label) of nodes (fp, label) that are within ``radius`` of one with another label in that unit. Pairs
+    are not written: in a group of texts that are almost similar enough, there are as many as its size squared."""
+
+    def run(batches: Iterator[pa.RecordBatch], most: int | None) -> Iterator[pa.RecordBatch]:
+        for unit, dealing, (fps, labels), hot in _units(batches, most):
+            if len(set(labels)) < 2 and not hot:
+                continue
+            near = np.zeros(len(fps), bool)
+            if not hot:
+                for i, j in cross_pairs(fps, np.array(labels), plan[:dealing], radius):
+                    near[i] = near[j] = True
+            at = range(len(fps)) if hot else np.flatnonzero(near).tolist()
+            cols = [pa.array([unit] * len(at), pa.int64()), pa.array([dealing] * len(at), pa.int32()), pa.array([fps[i] for i in at], pa.binary()), pa.array([labels[i] for i in at], pa.int64()), pa.array([hot] * len(at), pa.bool_())]
+            yield pa.RecordBatch.from_arrays(cols, ["unit", "dealing", "fp", "label", "hot"])
+
+    kind, columns = "unit long, dealing int, fp binary, label long, hot boolean", ["fp", "label"]
+    first = materialize(_by_unit(_dealt(labelled.select("fp", "label"), plan), columns).mapInArrow(lambda b: run(b, window), kind), "shard-members")
+    again = _by_unit(_in_windows(first.where("hot").drop("hot"), window).where("differ"), columns).mapInArrow(lambda b: run(b, None), kind)
+    return first.where("NOT hot").unionByName(again).drop("hot")
+
+
+def exact_links(sets: list[np.ndarray], label: list[int], pairs: Iterator[tuple[np.ndarray, np.ndarray]], similarity: float) -> list[tuple[int, int]]:
+    """Of pairs of places those whose sets are that similar, without such as join what the ones before have joined."""
+    parent: dict[int, int] = {x: x for x in label}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in pairs:
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        for part in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1):
+            if not len(part):
+                continue
+            one, own = int(i[part[0]]), sets[int(i[part[0]])]
+            others = [int(x) for x in j[part] if root(label[int(x)]) != root(label[one])]
+            if not others or not len(own):
+                continue
+            sizes = np.array([len(sets[x]) for x in others])
+            every = np.concatenate([sets[x] for x in others])
+            same = own[np.minimum(np.searchsorted(own, every), len(own) - 1)] == every
+            both = np.add.reduceat(np.append(same, False), np.cumsum(sizes) - sizes, dtype=np.int64) * (sizes > 0)
+            for x in np.flatnonzero(both >= similarity * (sizes + len(own) - both)).tolist():
+                a, b = root(label[one]), root(label[others[x]])
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    out.append((one, others[x]))
+    return out
+
+
+def _cross_links(members: DataFrame, texts: DataFrame, plan: list[np.ndarray], radius: int, shingle_words: int, similarity: float) -> DataFrame:
+    """Links (a, b) between the labels of each unit's members, counted on their shingle sets, which come to the unit once a
+    member; enough of them to join what belongs together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, dealing, (fps, labels, shingles), _ in _units(batches):
+            sets = [np.frombuffer(x, np.uint64) for x in shingles]
+            links = exact_links(sets, labels, cross_pairs(fps, np.array(labels), plan[:dealing], radius), similarity)
+            yield pa.RecordBatch.from_arrays([pa.array([fps[a] for a, _ in links], pa.binary()), pa.array([fps[b] for _, b in links], pa.binary())], ["a", "b"])
+
+    sets = _shingle_sets(members.select("fp").distinct(), texts, shingle_words)
+    return _by_unit(members.join(sets, "fp"), ["fp", "label", "shingles"]).mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _shingle_sets(asked: DataFrame, texts: DataFrame, shingle_words: int) -> DataFrame:
+    """(fp, shingles) of the fingerprints asked for: the sorted hashes, as bytes; ``texts`` (fp, text) holds all of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_set(t.as_py(), shingle_words).tobytes() for t in b.column(1)], pa.binary())], ["fp", "shingles"])
+
+    return texts.join(asked, "fp", "left_semi").dropDuplicates(["fp"]).select("fp", "text").mapInArrow(run, "fp binary, shingles binary")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, shingle_words: int, similarity: float) -> DataFrame:
     """Those of the pairs (a, b) whose shingle sets have that Jaccard similarity; ``texts`` (fp, text) holds all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t.as_py(), shingle_words).view(np.int64) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["fp", "shingles"])
+            good = []
+            for x, y in zip(b.column(2), b.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= similarity * (len(x) + len(y) - both))
+            keep = b.filter(pa.array(good, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([keep.column(0), keep.column(1)], ["a", "b"])
 
     asked = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    sets = materialize(texts.join(asked, "fp", "left_semi").dropDuplicates(["fp"]).select("fp", "text").mapInArrow(run, "fp binary, shingles array<long>"), "shingle-sets")
+    sets = materialize(_shingle_sets(asked, texts, shingle_words), "shingle-sets")
     left, right = (sets.select(F.col("fp").alias(k), F.col("shingles").alias(f"of_{k}")) for k in ("a", "b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    return pairs.join(left, "a").join(right, "b").where(both / (F.size("of_a") + F.size("of_b") - both) >= similarity).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a binary, b binary")
 
 
 def similar_documents(documents: DataFrame, *, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -439,8 +543,8 @@ def similar_documents(documents: DataFrame, *, shingle_words: int = 5, similarit
     have that Jaccard similarity. Pairs are proposed by 512-bit SimHashes (the bits in which such texts differ on average,
     and three deviations more) and counted exactly.
 
-    Close pairs are counted first, just enough to join tight groups; then all that are proposed between different groups.
-    So no link is left out that could join two, and a group of copies doesn't need all its pairs.
+    Close pairs are counted first, just enough to join tight groups; then all that are proposed between different groups,
+    where they meet. So no link is left out that could join two, and no group's pairs are written out.
 
     Texts with the same words always belong together; null, empty and wordless ones too. Rows that repeat a doc_id each
     get a row. An empty table gives an empty result.
@@ -462,8 +566,9 @@ def similar_documents(documents: DataFrame, *, shingle_words: int = 5, similarit
         sure = settle(lambda: _verified(close, texts, shingle_words, similarity), "close-links")
         groups = settle(lambda: connected_components(sure), "close-groups")
         label = distinct.join(groups, distinct.fp == groups.node, "left").select("fp", F.xxhash64(F.coalesce("root", "fp")).alias("label"))
-        wide = settle(lambda: _wide_links(materialize(label, "labels"), plan, round(n * p + 3 * deviation)).join(close, ["a", "b"], "left_anti"), "wide-pairs")
-        more = settle(lambda: _verified(wide, texts, shingle_words, similarity), "wide-links")
+        wide = round(n * p + 3 * deviation)
+        members = settle(lambda: _cross_members(materialize(label, "labels"), plan, wide), "wide-members")
+        more = settle(lambda: _cross_links(members, texts, plan, wide, shingle_words, similarity), "wide-links")
         return connected_components(sure.unionByName(more))
 
     roots = settle(joined, "roots")

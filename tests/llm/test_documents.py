@@ -209,14 +209,38 @@ def test_large_shards_lose_no_link(spark):
     group = [flipped(hub, range(10 * i + 10, 10 * i + 20)) for i in range(40)]
     late = [flipped(g, range(10 * i + 20, 10 * i + 40)) for i, g in enumerate(group)]  # 20 from its own, 30 or more from the others
     fps = [bytes(x) for x in [hub, *group, *late]]
-    plan = [np.arange(4) + 508]
-    for labels in (None, [i for i, _ in enumerate(fps)]):
-        df = spark.createDataFrame([(bytearray(x),) for x in fps], "fp binary") if labels is None else spark.createDataFrame([(bytearray(x), y) for x, y in zip(fps, labels, strict=True)], "fp binary, label long")
-        links = {tuple(map(bytes, r)) for r in simhash._wide_links(df, plan, 20, window=5).collect()}
-        near = {tuple(sorted((a, b))) for i, a in enumerate(fps) for b in fps[:i] if sum((x ^ y).bit_count() for x, y in zip(a[:64], b[:64], strict=True)) <= 20}
-        assert links <= near and (labels is None or links == near)
-        roots = plain_roots(fps, links)
-        assert roots == plain_roots(fps, near) and len(set(roots.values())) == 1
+    plan = [np.arange(4) + 508, np.arange(3) + 505]
+    near = {tuple(sorted((a, b))) for i, a in enumerate(fps) for b in fps[:i] if sum((x ^ y).bit_count() for x, y in zip(a[:64], b[:64], strict=True)) <= 20}
+    links = {tuple(map(bytes, r)) for r in simhash._wide_links(spark.createDataFrame([(bytearray(x),) for x in fps], "fp binary"), plan[:1], 20, window=5).collect()}
+    assert links <= near and plain_roots(fps, links) == plain_roots(fps, near) and len(set(plain_roots(fps, links).values())) == 1
+    label = {x: n // 2 for n, x in enumerate(fps)}
+    df = spark.createDataFrame([(bytearray(x), y) for x, y in label.items()], "fp binary, label long")
+    for window in (5, 8192):
+        units = {}
+        for r in simhash._cross_members(df, plan, 20, window=window).collect():
+            units.setdefault((r["unit"], r["dealing"]), []).append(bytes(r["fp"]))
+        met = {tuple(sorted((a, b))) for u, members in units.items() for i, a in enumerate(members) for b in members[:i]}
+        assert {p for p in near if label[p[0]] != label[p[1]]} <= met and {d for _, d in units} == {0}, "the second dealing brings no new pairs"
+
+
+def test_links_are_counted_where_they_meet():
+    """Pairs of a group that is almost similar enough: exactly those above the bound join, none twice."""
+    rng = np.random.default_rng(4)
+    base = rng.choice(1 << 60, 300, replace=False).astype(np.uint64)
+    sets = []
+    for _ in range(60):
+        own = base.copy()
+        at = rng.choice(300, rng.integers(10, 35), replace=False)
+        own[at] = rng.integers(0, 1 << 60, len(at))
+        sets.append(np.unique(own))
+    sets.append(np.zeros(0, np.uint64))
+    pairs = [(i, j) for i in range(61) for j in range(i)]
+    i, j = (np.array(x) for x in zip(*pairs, strict=True))
+    jaccard = lambda a, b: len(np.intersect1d(a, b)) / max(1, len(np.union1d(a, b)))
+    links = simhash.exact_links(sets, list(range(61)), iter([(i[:900], j[:900]), (i[900:], j[900:])]), 0.75)
+    near = [(a, b) for a, b in pairs if jaccard(sets[a], sets[b]) >= 0.75]
+    assert all(jaccard(sets[a], sets[b]) >= 0.75 for a, b in links) and plain_roots(range(61), links) == plain_roots(range(61), near)
+    assert len(links) == 61 - len(set(plain_roots(range(61), near).values())) and 5 < len(near) < len(pairs) - 5
 
 
 def plain_roots(nodes, links):
