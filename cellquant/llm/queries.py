@@ -79,6 +79,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_suffix_dedup, op2_chat_format, op3_sentencepiece, op4_decontamination, op5_simhash, op6_pii, op7_toxicity, op8_lm_scores, op9_url_filter, op10_nearest)}
 
 
+_REPEATS_SQL = """
+WITH d AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS h FROM documents),
+w AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS k
+  FROM (SELECT doc_id, h, unnest(generate_series(0, length(h) // 2 - 100)) AS i FROM d WHERE length(h) >= 200)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM w) WHERE r > 1),
+runs AS (
+  SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS g
+  FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM later)),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS z FROM runs GROUP BY doc_id, g),
+parts AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS e FROM spans
+  UNION ALL SELECT d.doc_id, coalesce(max(z), 0), any_value(length(h)) // 2 FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS k FROM parts JOIN d USING (doc_id) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS gone FROM spans GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
 _CHAT_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -133,4 +151,4 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN ne
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_format": _CHAT_SQL, "op4_decontamination": _DECONTAM_SQL}
+    return {"op1_suffix_dedup": _REPEATS_SQL, "op2_chat_format": _CHAT_SQL, "op4_decontamination": _DECONTAM_SQL}
