@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellquant.functions.seq import reverse_complement
-
 
 def _substituted(windows: DataFrame, most: int, upto: Column) -> DataFrame:
     """Windows with up to ``most`` substitutions in their first ``upto`` places."""
@@ -63,16 +61,5 @@ def demultiplex(reads: DataFrame, panel: DataFrame, budget: int = 1) -> DataFram
     return out.join(pairs, ["i7_code", "i5_code"], "left").withColumn("outcome", outcome).drop("listed")
 
 
-def orientation_votes(reads: DataFrame, column: str, sphere: DataFrame) -> DataFrame:
-    """One row: windows that decode forward only, reversed only, both ways, or neither."""
-    known = sphere.where("code is not null").select("window")
-    rows = reads.select(F.col(column).alias("w"), reverse_complement(F.col(column)).alias("rc"))
-    f = known.select(F.col("window").alias("w"), F.lit(True).alias("fwd"))
-    r = known.select(F.col("window").alias("rc"), F.lit(True).alias("rev"))
-    both = rows.join(f, "w", "left").join(r, "rc", "left")
-    fwd, rev = F.col("fwd").isNotNull(), F.col("rev").isNotNull()
-    return both.agg(F.count_if(fwd & ~rev).alias("forward"), F.count_if(rev & ~fwd).alias("reverse"), F.count_if(fwd & rev).alias("both"), F.count_if(~fwd & ~rev).alias("neither"))
-
-
 def outcome_counts(demultiplexed: DataFrame) -> DataFrame:
     return demultiplexed.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))

@@ -16,8 +16,10 @@ def blocks(alignments: DataFrame) -> DataFrame:
 
 
 def gene_overlaps(block_rows: DataFrame, exons: DataFrame) -> DataFrame:
-    """(rid, gene_id, strand, olen): bases of a fragment's blocks on a gene's intervals."""
-    return overlap_join(block_rows, exons).groupBy("rid", "gene_id", "strand").agg(F.sum("olen").alias("olen"))
+    """(rid, gene_id, strand, olen): bases of a fragment's blocks on a gene's intervals; additional, if exons tell it of genes
+    that were added to the annotation."""
+    keys = [c for c in ("rid", "gene_id", "strand", "additional") if c in (*exons.columns, "rid")]
+    return overlap_join(block_rows, exons).groupBy(*keys).agg(F.sum("olen").alias("olen"))
 
 
 def mapped_length(block_rows: DataFrame) -> DataFrame:
@@ -25,7 +27,8 @@ def mapped_length(block_rows: DataFrame) -> DataFrame:
 
 
 def resolve(fragments: DataFrame, overlaps: DataFrame, *, stranded: bool = True, multi_overlap: bool = False, fraction: float = 0.0) -> DataFrame:
-    """(rid, genes, ambiguous) of fragments (rid, tagged, frag_strand, is_multi, mapped) that reach a gene.
+    """(rid, genes, ambiguous, user) of fragments (rid, tagged, frag_strand, is_multi, mapped) that reach a gene; user: all of
+    the genes are additional.
 
     Only tagged fragments are held to their strand, and only if ``stranded``. A multimapper takes all its compatible genes.
     Others take the gene of largest overlap, if it is ``fraction`` of the mapped bases; ties are ambiguous unless
@@ -38,19 +41,20 @@ def resolve(fragments: DataFrame, overlaps: DataFrame, *, stranded: bool = True,
     rows = rows.where(enough & (F.col("olen") >= 1))
     best = F.max("olen").over(Window.partitionBy("rid"))
     won = rows.withColumn("best", best).where(F.col("is_multi") | (F.col("olen") == F.col("best")))
-    sets = won.groupBy("rid", "is_multi").agg(F.array_sort(F.collect_set("gene_id")).alias("genes"))
+    user = F.min("additional") if "additional" in overlaps.columns else F.lit(False)
+    sets = won.groupBy("rid", "is_multi").agg(F.array_sort(F.collect_set("gene_id")).alias("genes"), user.alias("user"))
     tie = ~F.col("is_multi") & (F.size("genes") > 1) & F.lit(not multi_overlap)
-    return sets.select("rid", F.when(~tie, F.col("genes")).alias("genes"), tie.alias("ambiguous"))
+    return sets.select("rid", F.when(~tie, F.col("genes")).alias("genes"), tie.alias("ambiguous"), "user")
 
 
 def assign(fragments: DataFrame, exon: DataFrame, intron: DataFrame) -> DataFrame:
-    """Fragments with ge and gi (gene arrays or null) and category, from what ``resolve`` gave for exons and introns."""
-    e = exon.select("rid", F.col("genes").alias("ge"), F.col("ambiguous").alias("ge_tie"))
+    """Fragments with ge and gi (gene arrays or null), user and category, from what ``resolve`` gave for exons and introns."""
+    e = exon.select("rid", F.col("genes").alias("ge"), F.col("ambiguous").alias("ge_tie"), "user")
     i = intron.select("rid", F.col("genes").alias("gi"), F.col("ambiguous").alias("gi_tie"))
     category = (
-        F.when(F.col("ge").isNotNull(), "Exon").when(F.col("ge_tie"), "Ambiguity").when(F.col("gi").isNotNull(), "Intron").when(F.col("gi_tie"), "Ambiguity").otherwise("Intergenic")
+        F.when(F.col("ge").isNotNull() & F.col("user"), "User").when(F.col("ge").isNotNull(), "Exon").when(F.col("ge_tie"), "Ambiguity").when(F.col("gi").isNotNull(), "Intron").when(F.col("gi_tie"), "Ambiguity").otherwise("Intergenic")
     )
-    return fragments.join(e, "rid", "left").join(i, "rid", "left").withColumn("category", category).drop("ge_tie", "gi_tie")
+    return fragments.join(e, "rid", "left").join(i, "rid", "left").withColumn("category", category).withColumn("user", F.coalesce("user", F.lit(False))).drop("ge_tie", "gi_tie")
 
 
 def layers(assigned: DataFrame) -> DataFrame:
@@ -61,5 +65,5 @@ def layers(assigned: DataFrame) -> DataFrame:
 
 def category_counts(assigned: DataFrame) -> DataFrame:
     """One row per cell: how many fragments of each category."""
-    names = ("Exon", "Intron", "Ambiguity", "Intergenic")
+    names = ("Exon", "Intron", "Ambiguity", "Intergenic", "User")
     return assigned.groupBy("bc").agg(*(F.count_if(F.col("category") == n).alias(n.lower()) for n in names), F.count(F.lit(1)).alias("mapped"))

@@ -44,17 +44,30 @@ def introns(exons: DataFrame, least: int = 10, most: int = 100_000) -> DataFrame
     return held.where(inside & (width > least) & (width < most)).select("chrom", "gene_id", F.col("a_start").alias("start_pos"), F.col("a_end").alias("end_pos"))
 
 
+#: intervals of an annotation that are broadcast; a gene's many reads then never meet in one task
+BROADCAST_ROWS = 1_000_000
+
+
+def annotated(rows: DataFrame, annotation: DataFrame, keys: list[str], salts: int = 16) -> DataFrame:
+    """Join with an annotation on ``keys``: up to ``BROADCAST_ROWS`` of it are broadcast; beyond, the rows of a key are dealt to
+    ``salts`` tasks, each with that key's annotation."""
+    if annotation.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(annotation), keys)
+    salted = annotation.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")).join(salted, [*keys, "salt"]).drop("salt")
+
+
 def overlap_join(a: DataFrame, b: DataFrame, bin_width: int = 4096) -> DataFrame:
     """Pairs of intervals of one contig that share a base, with ``olen``; a's and b's ends become a_start, a_end, b_start
-    and b_end. Both sides are dealt to fixed bins and joined by (chrom, bin); a pair counts in the first bin it shares,
-    so none comes twice, and no contig is ever joined whole."""
+    and b_end; b is the annotation. Both sides are dealt to fixed bins and joined by (chrom, bin); a pair counts in the
+    first bin it shares, so none comes twice, and no contig is ever joined whole."""
 
     def dealt(df: DataFrame, side: str) -> DataFrame:
         df = df.withColumnsRenamed({"start_pos": f"{side}_start", "end_pos": f"{side}_end"})
         lo, hi = (F.floor(F.col(f"{side}_{e}") / bin_width) for e in ("start", "end"))
         return df.withColumns({f"{side}_first": lo, "bin": F.explode(F.sequence(lo, hi))})
 
-    pairs = dealt(a, "a").join(dealt(b, "b"), ["chrom", "bin"])
+    pairs = annotated(dealt(a, "a"), dealt(b, "b"), ["chrom", "bin"])
     shared = (F.col("bin") == F.greatest("a_first", "b_first")) & (F.col("a_start") <= F.col("b_end")) & (F.col("b_start") <= F.col("a_end"))
     olen = F.least("a_end", "b_end") - F.greatest("a_start", "b_start") + 1
     return pairs.where(shared).withColumn("olen", olen).drop("bin", "a_first", "b_first")

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellquant.functions import seq
-from cellquant.operators import barcode, fragments, intervals, matrices, qc, umi
-from cellquant.plans.views import SQL, TAG, view
+from cellquant.functions import seq, trimming
+from cellquant.operators import barcode, counts, filtering, fragments, intervals, mates, matrices, panel, qc, sampling, umi
+from cellquant.plans.views import ADAPTERS, SQL, TAG, view
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -121,13 +121,126 @@ def per_barcode_counts(spark, sf):
     return kept.groupBy(F.concat("i7_code", "i5_code").alias("bc")).agg(F.count_if("tagged").alias("tagged"), F.count_if(~F.col("tagged")).alias("internal"))
 
 
+def _codes(spark, sf, column):
+    return view(spark, sf, "index_panel").select(F.col(column).alias("code")).distinct()
+
+
 @_query(
     """SELECT count(*) FILTER (WHERE f AND NOT r) AS forward, count(*) FILTER (WHERE r AND NOT f) AS reverse, count(*) FILTER (WHERE f AND r) AS both, count(*) FILTER (WHERE NOT f AND NOT r) AS neither
- FROM (SELECT i1_seq IN (SELECT w FROM sphere WHERE k = 7 AND code IS NOT NULL) AS f, reverse(translate(i1_seq,'ACGT','TGCA')) IN (SELECT w FROM sphere WHERE k = 7 AND code IS NOT NULL) AS r FROM reads)""",
-    needs="index_panel reads", ctes=_SPHERE,
+ FROM (SELECT i1_seq IN (SELECT i7_index FROM index_panel) AS f, reverse(translate(i1_seq,'ACGT','TGCA')) IN (SELECT i7_index FROM index_panel) AS r FROM reads ORDER BY rid LIMIT 50000)""",
+    needs="index_panel reads",
 )
 def orientation_vote(spark, sf):
-    return barcode.orientation_votes(view(spark, sf, "reads"), "i1_seq", index_sphere(spark, sf))
+    return panel.orientation_votes(panel.first_windows(view(spark, sf, "reads"), "i1_seq", "rid"), "i1_seq", _codes(spark, sf, "i7_index"))
+
+
+_DIST = """code AS (SELECT DISTINCT 'i7' AS k, i7_index AS c FROM index_panel UNION SELECT DISTINCT 'i5', i5_index FROM index_panel),
+dist AS (SELECT a.k AS index, a.c AS a, b.c AS b, cast(least(list_min([levenshtein(substr(a.c, 1, i), b.c) FOR i IN generate_series(0, 10)]), list_min([levenshtein(a.c, substr(b.c, 1, i)) FOR i IN generate_series(0, 10)])) AS integer) AS d
+ FROM code a JOIN code b ON a.k = b.k AND a.c < b.c)"""
+
+
+@_query("SELECT * FROM dist", needs="index_panel", ctes=_DIST)
+def panel_distances(spark, sf):
+    i7, i5 = (panel.code_distances(_codes(spark, sf, f"{k}_index")).withColumn("index", F.lit(k)) for k in ("i7", "i5"))
+    return i7.unionByName(i5)
+
+
+@_query(
+    "SELECT code.k AS index, count(DISTINCT c) AS codes, min(d) AS min_distance, cast(floor((min(d) - 1) / 2) as integer) AS safe_radius, (SELECT count(*) FROM dist x WHERE x.index = code.k AND d <= 4) AS collisions FROM code JOIN dist ON dist.index = code.k GROUP BY code.k",
+    needs="index_panel", ctes=_DIST,
+)
+def panel_radius(spark, sf):
+    i7, i5 = (panel.panel_report(_codes(spark, sf, f"{k}_index"), 2).withColumn("index", F.lit(k)) for k in ("i7", "i5"))
+    return i7.unionByName(i5)
+
+
+# --- the decision on each read
+
+def _clip_sql(n: str, adapter: str) -> str:
+    m = len(adapter)
+    return f"""cast(coalesce(list_min(list_filter(generate_series(0, {n} - 5), lambda i:
+    10 * list_sum([(substr(r2_seq, i + j, 1) <> substr('{adapter}', j, 1))::int FOR j IN generate_series(1, least({m}, {n} - i))]) <= least({m}, {n} - i))), {n}) as integer)"""
+
+
+def _phred(column: str) -> str:
+    return f"[greatest(ascii(c) - 33, 0) FOR c IN string_split({column}, '')]"
+
+
+_TRIM = f"""t1 AS (SELECT *, {_clip_sql("length(r2_seq)", ADAPTERS[0])} AS n1 FROM reads), t2 AS (SELECT *, {_clip_sql("n1", ADAPTERS[1])} AS n2 FROM t1),
+tq AS (SELECT rid, n2, {_phred("r2_qual")} AS q FROM t2), tg AS (SELECT rid, q, list_filter(generate_series(0, n2 - 1), lambda i: q[i + 1] >= 20) AS good FROM tq),
+te AS (SELECT rid, q, coalesce(list_min(good), 0) AS s, coalesce(list_max(good) + 1, 0) AS e FROM tg),
+tw AS (SELECT rid, s, e, list_min(list_filter(generate_series(s, e - 4), lambda i: list_sum(q[i + 1 : i + 4]) < 80)) AS bad FROM te),
+trim AS (SELECT rid, cast(s as integer) AS s, cast(coalesce(bad, e) as integer) AS e FROM tw)"""
+
+
+def _low_sql(text: str, phred: int) -> str:
+    return f"len(list_filter({_phred(text)}, lambda x: x < {phred}))"
+
+
+_DECIDED = f"""{_DEMUX}, {_TRIM}, flt AS (SELECT d.rid, d.i7_code || d.i5_code AS cell, d.outcome = 'corrected' AS corrected, has_tag, CASE WHEN has_tag THEN substr(r1_seq, 12, 8) ELSE '' END AS umi, concat('run:', cast(d.rid as varchar)) AS qname,
+ length(substr(r1_seq, CASE WHEN has_tag THEN 23 ELSE 1 END)) AS n1, substr(r2_seq, s + 1, e - s) AS r2_cdna,
+ CASE WHEN e - s < 20 THEN 'dropped_short_r2' WHEN d.outcome = 'dropped_ambiguous' THEN 'dropped_no_barcode_ambiguous' WHEN d.outcome = 'dropped_absent' THEN 'dropped_no_barcode_absent'
+  WHEN d.outcome = 'dropped_uncorrectable' THEN 'dropped_no_barcode_uncorrectable' WHEN {_low_sql("concat(i1_qual, i2_qual)", 20)} > 3 THEN 'dropped_bc_quality'
+  WHEN has_tag AND length(r1_seq) < 22 THEN 'dropped_short_r2' WHEN has_tag AND {_low_sql("substr(r1_qual, 12, 8)", 20)} > 3 THEN 'dropped_umi_quality' ELSE 'passed' END AS outcome,
+ NOT (e - s < 20) AND d.outcome IN ('exact', 'corrected') AND NOT ({_low_sql("concat(i1_qual, i2_qual)", 20)} > 3) AS past
+ FROM (SELECT *, length(r1_seq) >= 11 AND hamming(rpad(substr(r1_seq, 1, 11), 11, '-'), '{TAG}') <= 2 AS has_tag FROM demux) d JOIN trim USING (rid))"""
+_STATS = """st AS (SELECT count(*) AS total, count(*) FILTER (WHERE outcome = 'passed') AS passed, count(*) FILTER (WHERE outcome = 'passed' AND has_tag) AS tagged, count(*) FILTER (WHERE outcome = 'passed' AND NOT has_tag) AS internal,
+ count(*) FILTER (WHERE outcome = 'dropped_short_r2') AS dropped_short_r2, count(*) FILTER (WHERE outcome = 'dropped_no_barcode_absent') AS dropped_no_barcode_absent,
+ count(*) FILTER (WHERE outcome = 'dropped_no_barcode_uncorrectable') AS dropped_no_barcode_uncorrectable, count(*) FILTER (WHERE outcome = 'dropped_no_barcode_ambiguous') AS dropped_no_barcode_ambiguous,
+ count(*) FILTER (WHERE outcome = 'dropped_bc_quality') AS dropped_bc_quality, count(*) FILTER (WHERE outcome = 'dropped_umi_quality') AS dropped_umi_quality,
+ count(*) FILTER (WHERE past AND NOT corrected) AS bc_exact, count(*) FILTER (WHERE past AND corrected) AS bc_corrected FROM flt)"""
+_METRICS = ", ".join(filtering.METRICS)
+_RANKED = f"rank AS (SELECT metric AS reason, n FROM st UNPIVOT (n FOR metric IN ({', '.join(m for m in filtering.METRICS if m.startswith('dropped'))})) WHERE n > 0)"
+
+
+def _filtered(spark, sf):
+    return filtering.filter_reads(view(spark, sf, "reads"), view(spark, sf, "index_panel"), filtering.ReadLayout(adapters=ADAPTERS))
+
+
+@_query("SELECT * FROM trim", needs="reads", ctes=_TRIM)
+def trim_second_mate(spark, sf):
+    w = trimming.trim_span(F.col("r2_seq"), F.col("r2_qual"), ADAPTERS)
+    return view(spark, sf, "reads").select("rid", w.alias("w")).select("rid", F.col("w.start").alias("s"), F.col("w.end").alias("e"))
+
+
+@_query("SELECT rid, qname, cell, corrected, has_tag, umi, n1, r2_cdna, outcome FROM flt", needs="index_panel reads", ctes=_DECIDED)
+def filter_decisions(spark, sf):
+    return _filtered(spark, sf).select("rid", "qname", "cell", "corrected", "has_tag", "umi", F.length("r1_cdna").cast("long").alias("n1"), "r2_cdna", "outcome")
+
+
+@_query(
+    f"SELECT metric, cast(n as varchar) AS value FROM st UNPIVOT (n FOR metric IN ({_METRICS})) UNION ALL SELECT 'i7_orient', 'Forward' UNION ALL SELECT 'i5_orient', 'Forward' UNION ALL SELECT 'passed_pct', printf('%.4f', 100.0 * passed / total) FROM st",
+    needs="index_panel reads", ctes=f"{_DECIDED}, {_STATS}",
+)
+def filter_stats(spark, sf):
+    return filtering.filter_statistics(filtering.filter_counts(_filtered(spark, sf))).drop("place")
+
+
+@_query("SELECT cast(row_number() OVER (ORDER BY n DESC, reason) as integer) AS place, reason, n FROM rank", needs="index_panel reads", ctes=f"{_DECIDED}, {_STATS}, {_RANKED}")
+def drop_ranking(spark, sf):
+    return filtering.drop_ranking(filtering.filter_counts(_filtered(spark, sf)))
+
+
+@_query(
+    """SELECT category, cast(level as integer) AS level, n, round(100.0 * n / total, 6) AS pct_total, round(100.0 * n / of, 6) AS pct_parent FROM (
+ SELECT 'total' AS category, 0 AS level, total AS n, total, NULL AS of FROM st UNION ALL SELECT 'passed', 1, passed, total, total FROM st UNION ALL SELECT 'tagged', 2, tagged, total, passed FROM st
+ UNION ALL SELECT 'internal', 2, internal, total, passed FROM st UNION ALL SELECT 'dropped', 1, total - passed, total, total FROM st UNION ALL SELECT reason, 2, n, total, total - passed FROM rank, st)""",
+    needs="index_panel reads", ctes=f"{_DECIDED}, {_STATS}, {_RANKED}",
+)
+def read_categories(spark, sf):
+    found = filtering.read_table(filtering.filter_counts(_filtered(spark, sf)))
+    return found.withColumns({c: F.round(c, 6) for c in ("pct_total", "pct_parent")})
+
+
+@_query("SELECT cell, count(*) FILTER (WHERE has_tag) AS tagged, count(*) FILTER (WHERE NOT has_tag) AS internal, count(*) AS total FROM flt WHERE outcome = 'passed' GROUP BY cell", needs="index_panel reads", ctes=_DECIDED)
+def filter_per_cell(spark, sf):
+    return filtering.per_cell_totals(_filtered(spark, sf))
+
+
+@_query("SELECT qname, r2_cdna FROM (SELECT qname, r2_cdna, md5(concat('s1', qname)) AS h FROM flt WHERE outcome = 'passed' ORDER BY h, qname LIMIT 1000)", needs="index_panel reads", ctes=_DECIDED)
+def qc_read_sample(spark, sf):
+    """The sample of reads that the quality report looks at, of a stated size by its nature."""
+    return sampling.sample_rows(_filtered(spark, sf).where("outcome = 'passed'").select("qname", "r2_cdna"), 1000, "qname")
 
 
 # --- annotation
@@ -193,11 +306,11 @@ _BLOCKS = """block AS (SELECT rid, chrom, pos AS s, pos + CASE rid % 4 WHEN 0 TH
 mapped AS (SELECT rid, cast(sum(e - s + 1) as bigint) AS mapped FROM block GROUP BY rid)"""
 _OV = "SELECT rid, x.gene_id, x.strand, cast(sum(least(e, x.end_pos) - greatest(s, x.start_pos) + 1) as bigint) AS olen FROM block b JOIN {t} x ON x.chrom = b.chrom AND b.s <= x.end_pos AND x.start_pos <= b.e GROUP BY rid, x.gene_id, x.strand"
 _RESOLVE = """SELECT rid, CASE WHEN is_multi OR count(*) = 1 THEN list(gene_id ORDER BY gene_id) END AS genes, NOT is_multi AND count(*) > 1 AS tie FROM (
- SELECT a.rid, a.is_multi, o.gene_id, o.olen, max(o.olen) OVER (PARTITION BY a.rid) AS best FROM alignments a JOIN mapped USING (rid) JOIN ({ov}) o USING (rid)
+ SELECT a.rid, a.is_multi, o.gene_id, o.olen, max(o.olen) OVER (PARTITION BY a.rid) AS best FROM {fr} a JOIN mapped USING (rid) JOIN ({ov}) o USING (rid)
  WHERE (NOT a.tagged OR o.strand = a.frag_strand) AND (a.is_multi OR o.olen >= mapped * 0.25)) WHERE is_multi OR olen = best GROUP BY rid, is_multi"""
 _ASSIGNED = (
     f"{_BLOCKS}, {_MERGED}, {_INTRONS}, ix AS (SELECT n.*, g.strand FROM introns n JOIN (SELECT DISTINCT gene_id, strand FROM exons) g USING (gene_id)), "
-    f"ge AS ({_RESOLVE.format(ov=_OV.format(t='merged'))}), gi AS ({_RESOLVE.format(ov=_OV.format(t='ix'))}), "
+    f"ge AS ({_RESOLVE.format(fr='alignments', ov=_OV.format(t='merged'))}), gi AS ({_RESOLVE.format(fr='alignments', ov=_OV.format(t='ix'))}), "
     "assigned AS (SELECT a.rid, r.bc, r.umi, a.tagged, NOT a.is_multi AS is_uniq, ge.genes AS ge, gi.genes AS gi, "
     "CASE WHEN ge.genes IS NOT NULL THEN 'Exon' WHEN ge.tie THEN 'Ambiguity' WHEN gi.genes IS NOT NULL THEN 'Intron' WHEN gi.tie THEN 'Ambiguity' ELSE 'Intergenic' END AS category "
     "FROM alignments a JOIN reads r USING (rid) LEFT JOIN ge USING (rid) LEFT JOIN gi USING (rid)), "
@@ -244,7 +357,7 @@ def fragment_taxonomy(spark, sf):
     return _assigned(spark, sf).select("rid", "bc", "category")
 
 
-_CELLS = "SELECT bc, count(*) FILTER (WHERE category = 'Exon') AS exon, count(*) FILTER (WHERE category = 'Intron') AS intron, count(*) FILTER (WHERE category = 'Ambiguity') AS ambiguity, count(*) FILTER (WHERE category = 'Intergenic') AS intergenic, count(*) AS mapped FROM assigned GROUP BY bc"
+_CELLS = "SELECT bc, count(*) FILTER (WHERE category = 'Exon') AS exon, count(*) FILTER (WHERE category = 'Intron') AS intron, count(*) FILTER (WHERE category = 'Ambiguity') AS ambiguity, count(*) FILTER (WHERE category = 'Intergenic') AS intergenic, count(*) FILTER (WHERE category = 'User') AS user, count(*) AS mapped FROM assigned GROUP BY bc"
 
 
 @_query(_CELLS, needs=_ALL, ctes=_ASSIGNED)
@@ -253,7 +366,7 @@ def cell_taxonomy(spark, sf):
 
 
 _BAD = """SELECT cell, type, n FROM (SELECT CASE WHEN t.total >= 70 THEN t.bc ELSE 'bad' END AS cell, cast(sum(exon) as bigint) AS exon, cast(sum(intron) as bigint) AS intron, cast(sum(ambiguity) as bigint) AS ambiguity,
- cast(sum(intergenic) as bigint) AS intergenic, cast(sum(greatest(t.total - mapped, 0)) as bigint) AS unmapped FROM tot t JOIN cells c USING (bc) GROUP BY 1) UNPIVOT (n FOR type IN (exon, intron, ambiguity, intergenic, unmapped))"""
+ cast(sum(intergenic) as bigint) AS intergenic, cast(sum(greatest(t.total - mapped, 0)) as bigint) AS unmapped, cast(sum(c.user) as bigint) AS user FROM tot t JOIN cells c USING (bc) GROUP BY 1) UNPIVOT (n FOR type IN (exon, intron, ambiguity, intergenic, unmapped, user))"""
 
 
 @_query(
@@ -437,14 +550,166 @@ def qc_read_type_pct(spark, sf):
     return qc.type_shares(readspercell_bad_rollup(spark, sf)).withColumn("percent", F.round("percent", 6))
 
 
+_LEVELS = "8,5-12"
+_DRAW = "len(list_filter(generate_series(1, {most}), lambda i: cast(concat('0x', substr(md5(concat('s42:{t}:', bc, ':', layer, '#', cast(i as varchar))), 1, 8)) as bigint) / 4294967296.0 < held / depth))"
+
+
+def _levels_sql(levels: str) -> str:
+    """CTEs that add the downsampled levels to ``layer0``, each layer named with its level."""
+    parts = []
+    for t, least, most in counts.parse_levels(levels):
+        draw = _DRAW.format(most=most, t=t)
+        parts.append(f"SELECT rid, bc, umi, tagged, is_uniq, genes, concat(layer, '|downsampled_{t}') AS layer FROM ranked WHERE depth >= {least} AND turn <= CASE WHEN depth <= {most} THEN held ELSE least({draw}, held) END")
+    return f"""dep AS (SELECT bc, count(*) AS depth FROM assigned GROUP BY bc),
+ranked AS (SELECT l.*, depth, count(*) OVER (PARTITION BY bc, layer) AS held, row_number() OVER (PARTITION BY bc, layer ORDER BY md5(concat('s42', cast(rid as varchar))), rid) AS turn FROM layer0 l JOIN dep USING (bc)),
+layer AS (SELECT rid, bc, umi, tagged, is_uniq, genes, concat(layer, '|all') AS layer FROM layer0 UNION ALL {" UNION ALL ".join(parts)})"""
+
+
 @_query(
-    """SELECT level, bc, layer, count(*) AS n FROM (SELECT bc, layer, row_number() OVER (PARTITION BY bc, layer ORDER BY md5(concat('s42', cast(rid as varchar))), rid) AS turn, count(*) OVER (PARTITION BY bc, layer) AS held, depth
- FROM layer JOIN (SELECT bc, count(DISTINCT rid) AS depth FROM layer GROUP BY bc) USING (bc)) CROSS JOIN (VALUES ('downsampled_8', 8, 8), ('downsampled_5-12', 5, 12)) v(level, least, most)
- WHERE depth >= least AND turn <= CASE WHEN depth <= most THEN held ELSE floor(most * held / depth + 0.5) END GROUP BY level, bc, layer""",
-    needs=_ALL, ctes=_ASSIGNED,
+    "SELECT split_part(layer, '|', 2) AS level, bc, split_part(layer, '|', 1) AS layer, count(*) AS n FROM layer WHERE NOT contains(layer, '|all') GROUP BY 1, 2, 3",
+    needs=_ALL, ctes=f"{_ASSIGNED.replace('layer AS (SELECT *', 'layer0 AS (SELECT *')}, {_levels_sql(_LEVELS)}",
 )
 def downsample_levels(spark, sf):
-    return matrices.downsample_levels(_layers(spark, sf), ["8", "5-12"]).groupBy("level", "bc", "layer").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.layer_rows(_assigned(spark, sf), counts.parse_levels(_LEVELS))
+    return rows.where("level <> 'all'").groupBy("level", "bc", "layer").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- mates, spike-ins, and all counts
+
+_FOLD = """cnt AS (SELECT *, nh > 1 AS is_multi, concat(qname, CASE WHEN nh > 1 THEN '*' ELSE '' END) AS rid, (flag & 64) <> 0 AS one, (flag & 16) <> 0 AS rev,
+ concat(chrom, chr(1), lpad(cast(pos as varchar), 12, '0'), lpad(cast(flag as varchar), 5, '0')) AS place FROM records WHERE (flag & 2048) = 0),
+folded AS (SELECT rid, qname, is_multi, min_by(bc, place) AS bc, min_by(ub, place) AS ub, max_by(rev, place) FILTER (WHERE one) AS r1_rev, max_by(rev, place) FILTER (WHERE NOT one) AS r2_rev, count(*) AS n_records FROM cnt GROUP BY rid, qname, is_multi),
+fr AS (SELECT *, ub <> '' AS tagged, CASE WHEN coalesce(r1_rev, NOT r2_rev, false) THEN '-' ELSE '+' END AS frag_strand FROM folded)"""
+_MATE_BLOCKS = """block AS (SELECT rid, chrom, pos AS s, pos + CASE cigar WHEN '40M60N10M' THEN 39 WHEN '5S45M' THEN 44 WHEN '20M2D30M' THEN 19 ELSE 49 END AS e FROM cnt
+ UNION ALL SELECT rid, chrom, pos + CASE cigar WHEN '40M60N10M' THEN 100 ELSE 22 END, pos + CASE cigar WHEN '40M60N10M' THEN 109 ELSE 51 END FROM cnt WHERE cigar IN ('40M60N10M', '20M2D30M')),
+mapped AS (SELECT rid, cast(sum(e - s + 1) as bigint) AS mapped FROM block GROUP BY rid)"""
+_ANNOTATION = f"gexons AS ({SQL['exons']}), exons AS (SELECT gene_id, chrom, strand, start_pos, end_pos FROM gexons UNION ALL SELECT contig, contig, '+', 1, length FROM spikes)"
+_MATES = (
+    f"{_ANNOTATION}, {_FOLD}, {_MATE_BLOCKS}, {_MERGED}, {_INTRONS.replace('FROM exons', 'FROM gexons')}, ix AS (SELECT n.*, g.strand FROM introns n JOIN (SELECT DISTINCT gene_id, strand FROM gexons) g USING (gene_id)), "
+    f"ge AS ({_RESOLVE.format(fr='fr', ov=_OV.format(t='merged'))}), gi AS ({_RESOLVE.format(fr='fr', ov=_OV.format(t='ix'))}), "
+    "assigned AS (SELECT a.rid, a.bc, a.ub AS umi, a.tagged, NOT a.is_multi AS is_uniq, r1_rev, r2_rev, ge.genes AS ge, gi.genes AS gi, coalesce(len(list_filter(ge.genes, lambda g: NOT starts_with(g, 'ERCC'))) = 0, false) AS user, "
+    "CASE WHEN ge.genes IS NOT NULL AND len(list_filter(ge.genes, lambda g: NOT starts_with(g, 'ERCC'))) = 0 THEN 'User' WHEN ge.genes IS NOT NULL THEN 'Exon' WHEN ge.tie THEN 'Ambiguity' WHEN gi.genes IS NOT NULL THEN 'Intron' WHEN gi.tie THEN 'Ambiguity' ELSE 'Intergenic' END AS category "
+    "FROM fr a LEFT JOIN ge USING (rid) LEFT JOIN gi USING (rid))"
+)
+_MATE_LAYER = (
+    "layer0 AS (SELECT *, 'exon' AS layer, ge AS genes FROM assigned WHERE ge IS NOT NULL UNION ALL SELECT *, 'intron', gi FROM assigned WHERE ge IS NULL AND gi IS NOT NULL "
+    "UNION ALL SELECT *, 'inex', coalesce(ge, gi) FROM assigned WHERE coalesce(ge, gi) IS NOT NULL)"
+)
+
+
+def _annotation(spark, sf):
+    """Exons and, as one more gene each, the spike-in contigs."""
+    spikes = view(spark, sf, "spikes").select(F.col("contig").alias("gene_id"), F.col("contig").alias("chrom"), F.lit("+").alias("strand"), F.lit(1).cast("long").alias("start_pos"), F.col("length").cast("long").alias("end_pos"), F.lit(True).alias("additional"))
+    return view(spark, sf, "exons").withColumn("additional", F.lit(False)).unionByName(spikes)
+
+
+def _mate_assigned(spark, sf):
+    records, annotation = view(spark, sf, "records"), _annotation(spark, sf)
+    blocks = mates.record_blocks(records)
+    frags = mates.fold(records).join(fragments.mapped_length(blocks), "rid")
+    merged = intervals.merge(annotation, "gene_id", "chrom", "strand", "additional")
+    gaps = intervals.introns(annotation).join(annotation.select("gene_id", "strand").distinct(), "gene_id")
+    exon, intron = (fragments.resolve(frags, fragments.gene_overlaps(blocks, x), fraction=0.25) for x in (merged, gaps))
+    found = fragments.assign(frags, exon, intron).withColumnRenamed("ub", "umi").withColumn("is_uniq", ~F.col("is_multi"))
+    return found, blocks, merged
+
+
+@_query("SELECT rid, qname, is_multi, bc, ub, r1_rev, r2_rev, n_records, tagged, frag_strand FROM fr", needs="records", ctes=_FOLD)
+def fragment_fold(spark, sf):
+    return mates.fold(view(spark, sf, "records"))
+
+
+@_query("SELECT *, gene_id LIKE 'ERCC%' AS additional FROM exons", needs="spikes", ctes=_ANNOTATION)
+def final_annotation(spark, sf):
+    return _annotation(spark, sf)
+
+
+@_query("SELECT rid, bc, array_to_string(ge, ',') AS ge, array_to_string(gi, ',') AS gi, category FROM assigned", needs="records spikes", ctes=_MATES)
+def mate_taxonomy(spark, sf):
+    return _mate_assigned(spark, sf)[0].select("rid", "bc", F.array_join("ge", ",").alias("ge"), F.array_join("gi", ",").alias("gi"), "category")
+
+
+@_query(
+    "SELECT r.qname, r.flag, r.chrom, r.pos, coalesce(array_to_string(a.ge, ','), '') AS \"GE\", coalesce(array_to_string(a.gi, ','), '') AS \"GI\" FROM records r LEFT JOIN assigned a ON (r.flag & 2048) = 0 AND a.rid = concat(r.qname, CASE WHEN r.nh > 1 THEN '*' ELSE '' END)",
+    needs="records spikes", ctes=_MATES,
+)
+def tagged_records(spark, sf):
+    return mates.tagged_records(view(spark, sf, "records"), _mate_assigned(spark, sf)[0]).select("qname", "flag", "chrom", "pos", "GE", "GI")
+
+
+@_query(
+    f"SELECT cell, type, n FROM ({_BAD})", needs="records spikes reads",
+    ctes=f"{_MATES}, cells AS ({_CELLS}), tot AS (SELECT bc, count(*) AS total FROM reads GROUP BY bc)",
+)
+def mate_reads_per_cell(spark, sf):
+    totals = view(spark, sf, "reads").groupBy("bc").agg(F.count(F.lit(1)).alias("total"))
+    return qc.reads_per_cell(fragments.category_counts(_mate_assigned(spark, sf)[0]), totals, 70)
+
+
+_MATE_SPAN = """spl AS (SELECT *, coalesce(sum(end_pos - start_pos + 1) OVER (PARTITION BY gene_id ORDER BY start_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - start_pos AS before FROM merged),
+tspan AS (SELECT rid, gene_id, min(before + greatest(s, start_pos)) AS lo, max(before + least(e, end_pos)) AS hi FROM block b JOIN spl ON spl.chrom = b.chrom AND b.s <= spl.end_pos AND spl.start_pos <= b.e GROUP BY rid, gene_id)"""
+
+
+@_query(
+    "SELECT a.user, a.tagged, cast(hi - lo + 1 as bigint) AS size, count(*) AS n FROM assigned a JOIN tspan ON tspan.rid = a.rid AND tspan.gene_id = a.ge[1] WHERE r1_rev IS NOT NULL AND r2_rev IS NOT NULL AND len(ge) = 1 GROUP BY 1, 2, 3",
+    needs="records spikes", ctes=f"{_MATES}, {_MATE_SPAN}",
+)
+def mate_insert_sizes(spark, sf):
+    found, blocks, merged = _mate_assigned(spark, sf)
+    return qc.mate_insert_sizes(found, qc.transcript_spans(blocks, merged.drop("additional", "strand")))
+
+
+_MATE_BODY = """pl AS (SELECT *, coalesce(sum(end_pos - start_pos + 1) OVER (PARTITION BY gene_id ORDER BY start_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(end_pos - start_pos + 1) OVER (PARTITION BY gene_id) AS length FROM merged),
+own AS (SELECT rid, user, tagged, unnest(ge) AS gene_id FROM assigned),
+hit AS (SELECT user, tagged, pl.gene_id, strand, length, before + greatest(s, start_pos) - start_pos AS lo, before + least(e, end_pos) - start_pos AS hi FROM block b JOIN own USING (rid) JOIN pl ON pl.gene_id = own.gene_id AND pl.chrom = b.chrom AND b.s <= pl.end_pos AND pl.start_pos <= b.e),
+base AS (SELECT user, tagged, gene_id, length, strand, unnest(generate_series(cast(lo as bigint), cast(hi as bigint))) AS p FROM hit),
+body AS (SELECT user, tagged, gene_id, cast(CASE WHEN strand = '+' THEN p ELSE length - 1 - p END * 100 // length as bigint) AS percentile, count(*) AS n FROM base GROUP BY 1, 2, 3, 4)"""
+
+
+@_query(
+    "SELECT user, tagged, percentile, round(sum(share) / any_value(genes), 6) AS coverage FROM (SELECT user, tagged, percentile, n / max(n) OVER (PARTITION BY user, tagged, gene_id) AS share FROM body) JOIN (SELECT user, tagged, count(DISTINCT gene_id) AS genes FROM body GROUP BY 1, 2) USING (user, tagged) GROUP BY 1, 2, 3",
+    needs="records spikes", ctes=f"{_MATES}, {_MATE_BODY}",
+)
+def mate_gene_body(spark, sf):
+    found, blocks, merged = _mate_assigned(spark, sf)
+    own = found.select("rid", "user", "tagged", F.explode("ge").alias("gene_id"))
+    body = qc.gene_body(blocks, merged.drop("additional"), assigned=own, keys=("user", "tagged"))
+    return qc.mean_profile(body, "user", "tagged").withColumn("coverage", F.round("coverage", 6))
+
+
+_COUNT_LEVELS, _LEAST_READS = "20,5-15", 40
+_COUNTED = f"""{_MATES}, tot AS (SELECT bc, count(*) AS total FROM reads GROUP BY bc), ak AS (SELECT assigned.* FROM assigned JOIN tot USING (bc) WHERE total >= {_LEAST_READS}), {_MATE_LAYER.replace("FROM assigned", "FROM ak")},
+{_levels_sql(_COUNT_LEVELS).replace("FROM assigned", "FROM ak")}, {_UMI}, {_NET},
+fam AS (SELECT 'umicount' AS quant, layer, bc, genes FROM mol UNION ALL SELECT 'readcount', layer, bc, genes FROM layer UNION ALL SELECT 'readcount_internal', layer, bc, genes FROM layer WHERE NOT tagged),
+cs AS (SELECT quant, layer, bc, genes, cast(count(*) as double) AS c FROM fam GROUP BY quant, layer, bc, genes),
+x AS (SELECT quant, layer, bc, genes, c, len(genes) AS k, unnest(genes) AS gene FROM cs),
+wt AS (SELECT quant, layer, bc, gene, sum(CASE WHEN k = 1 THEN c ELSE 0 END) AS geu, sum(CASE WHEN k > 1 THEN c / k ELSE 0 END) AS guni FROM x GROUP BY ALL),
+sh AS (SELECT x.quant, x.layer, x.bc, x.genes, x.c, x.gene, geu + guni AS w, sum(geu + guni) OVER (PARTITION BY x.quant, x.layer, x.bc, x.genes) AS t FROM x JOIN wt USING (quant, layer, bc, gene) WHERE k > 1),
+len AS (SELECT gene_id AS gene, sum(end_pos - start_pos + 1) AS length FROM merged GROUP BY gene_id),
+sgl AS (SELECT quant, layer, bc, genes[1] AS gene, c AS value FROM cs WHERE len(genes) = 1),
+allc AS (SELECT * FROM sgl UNION ALL SELECT concat(quant, '_mult_rescue'), layer, bc, gene, sum(c * w / t) FROM sh WHERE quant <> 'readcount' GROUP BY quant, layer, bc, gene
+ UNION ALL SELECT 'rpkm', layer, bc, gene, value / (sum(value) OVER (PARTITION BY bc) * 1e-6) / (length / 1000.0) FROM sgl JOIN len USING (gene) WHERE quant = 'readcount_internal' AND layer = 'exon|all')"""
+_LONG = "SELECT quant, split_part(layer, '|', 1) AS feature, split_part(layer, '|', 2) AS level, gene, bc AS cell, round(value, 6) AS value FROM allc"
+
+
+def _counts_long(spark, sf):
+    found, _, merged = _mate_assigned(spark, sf)
+    totals = view(spark, sf, "reads").groupBy("bc").agg(F.count(F.lit(1)).alias("total"))
+    lengths = merged.groupBy(F.col("gene_id").alias("gene")).agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("length"))
+    return counts.counts_long(found, totals, lengths, least_reads=_LEAST_READS, mode="rescue", levels=_COUNT_LEVELS)
+
+
+@_query(_LONG, needs="records spikes reads", ctes=_COUNTED, recursive=True)
+def counts_long(spark, sf):
+    return _counts_long(spark, sf).withColumn("value", F.round("value", 6))
+
+
+@_query(
+    f"SELECT concat(replace(quant, '_mult_rescue', ''), '_UniqueAndMult-rescue') AS quant, feature, level, gene, cell, round(sum(v), 5) AS value FROM ({_LONG.replace('round(value, 6) AS value', 'value AS v')}) WHERE quant NOT IN ('readcount', 'rpkm') GROUP BY 1, 2, 3, 4, 5",
+    needs="records spikes reads", ctes=_COUNTED, recursive=True,
+)
+def unique_and_mult(spark, sf):
+    return counts.unique_and_mult(_counts_long(spark, sf), "rescue").withColumn("value", F.round("value", 5))
 
 
 def queries() -> dict[str, Query]:

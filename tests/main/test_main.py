@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cellquant.functions import seq
 from cellquant.operators import matrices, umi
 from cellquant.plans import queries
-from cellquant.sources import readers
+from cellquant.sources import readers, sinks
 from cellquant.streaming.filtering import stream_outcomes
 
 SF = "/root/testdata/sf0.001"
@@ -28,6 +28,7 @@ def test_query_equals_sql(spark, name, tmp_path):
     for t in ("lineitem", "nation", "part"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     db.execute(f"CREATE TABLE want AS {queries.oracle_sql()[name]}")
+    assert db.execute("SELECT count(*) FROM want").fetchone()[0] > 0, "an empty result proves nothing"
     cols = ", ".join(f'"{c}"' for c in sorted(spark.read.parquet(out).columns))
     for a, b in (("want", f"'{out}/*.parquet'"), (f"'{out}/*.parquet'", "want")):
         assert db.execute(f"SELECT {cols} FROM {a} EXCEPT ALL SELECT {cols} FROM {b} LIMIT 3").fetchall() == []
@@ -90,9 +91,17 @@ def test_fastq_lanes(spark, tmp_path):
 
     rows = readers.read_fastq4(spark, [lane("a", 25), (*(f"file://{x}" for x in lane("b", 3)),)], rows=10).orderBy("lane", "n").collect()
     assert [(r["lane"], r["n"]) for r in rows] == [(0, i) for i in range(25)] + [(1, i) for i in range(3)]
-    assert rows[1].asDict() | {"lane": 0} == {"lane": 0, "n": 1, "read_id": "a:1/1", "r1_seq": "RACGTACGT", "r1_qual": "I" * 9, "r2_seq": "RACGTACGT", "r2_qual": "I" * 9, "i1_seq": "IACGTACGT", "i2_seq": "IACGTACGT"}
+    assert rows[1].asDict() | {"lane": 0} == {"lane": 0, "n": 1, "read_id": "a:1/1", "r1_seq": "RACGTACGT", "r1_qual": "I" * 9, "r2_seq": "RACGTACGT", "r2_qual": "I" * 9, "i1_seq": "IACGTACGT", "i1_qual": "I" * 9, "i2_seq": "IACGTACGT", "i2_qual": "I" * 9}
     with pytest.raises(Exception, match="different numbers"):
         readers.read_fastq4(spark, [lane("c", 5, short=1)]).count()
+    for text, fails in (("@a\nAC\n+\nII\n\n", False), ("@a\nAC\n+\nII\n\n@b\nAC\n+\nII\n", True), ("@a\nAC\n+\nI\n", True), ("", False)):
+        (tmp_path / "blank.fq").write_text(text)
+        found = readers.read_fastq4(spark, [(str(tmp_path / "blank.fq"),) * 4])
+        if fails:
+            with pytest.raises(Exception, match="blank line|not a FASTQ"):
+                found.count()
+        else:
+            assert found.count() == bool(text)
 
 
 def test_fasta_and_matrix(spark, tmp_path):
@@ -101,7 +110,11 @@ def test_fasta_and_matrix(spark, tmp_path):
     assert {r["adapter"] for r in readers.read_adapters(spark, str(tmp_path / "g.fa")).collect()} == {"ACGT", "AC", "ACG"}
     exons = spark.createDataFrame([("G1", None), ("G2", "N"), ("G2", None)], "gene_id string, gene_name string")
     assert {tuple(r) for r in readers.gene_names(exons).collect()} == {("G1", "G1"), ("G2", "N")}
-    readers.write_matrix_market(spark.createDataFrame([("g2", "c1", 5), ("g1", "c2", 7), ("g1", "c1", 1)], "gene string, bc string, value long"), str(tmp_path / "mm"))
+    lines = spark.createDataFrame([("G2", None, 5), ("G2", "Z", 3), ("G2", "A", 4), ("G1", None, 1), ("G1", "late", 2)], "gene_id string, gene_name string, line long")
+    assert {tuple(r) for r in readers.gene_names(lines).collect()} == {("G1", "G1"), ("G2", "Z")}
+    (tmp_path / "odd.fa").write_bytes(b">chr1 a > b\r\nAC\r\nGT\r\n>empty\r\n>chr2\r\nA\r\n")
+    assert sorted(tuple(r) for r in readers.read_fasta_lengths(spark, str(tmp_path / "odd.fa")).collect()) == [("chr1", 4), ("chr2", 1), ("empty", 0)]
+    sinks.write_matrix_market(spark.createDataFrame([("g2", "c1", 5), ("g1", "c2", 7), ("g1", "c1", 1)], "gene string, bc string, value long"), str(tmp_path / "mm"))
     lines = "".join(p.read_text() for p in sorted((tmp_path / "mm" / "matrix").glob("part-*"))).splitlines()
     assert lines == ["%%MatrixMarket matrix coordinate real general", "2 2 3", "1 1 1", "2 1 5", "1 2 7"]
 
