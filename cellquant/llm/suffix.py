@@ -456,7 +456,8 @@ def remove_repeats(documents: DataFrame, *, length: int = 100) -> DataFrame:
     parts = max(shuffle_partitions(documents.sparkSession), -(-size // PART_BYTES))
     repeated = _repeated_anchors(rows.select("id", "text"), length, segments=4 * parts)
     lists = repeated.groupBy("id").agg(F.collect_list(F.struct("h", "place", "hot")).alias("found"))
-    marks = _marks(_ranges(rows.join(lists, "id").select("id", "text", "found"), length), length, parts)
+    # doc_id goes along unused: with the same columns in both joins, the texts are shuffled once
+    marks = _marks(_ranges(rows.join(lists, "id").select("id", "text", "found", "doc_id"), length), length, parts)
     by_doc = marks.groupBy("id").agg(F.collect_list(F.struct("th", "start", "stop")).alias("marks"))
 
     def cut(batches: Batches) -> Batches:
