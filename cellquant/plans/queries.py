@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellquant.functions import seq, trimming
 from cellquant.operators import barcode, counts, filtering, fragments, intervals, mates, matrices, panel, qc, sampling, umi
 from cellquant.plans.views import ADAPTERS, SQL, TAG, view
+from cellquant.storage import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -604,10 +605,10 @@ def _annotation(spark, sf):
 
 
 def _mate_assigned(spark, sf):
-    records, annotation = view(spark, sf, "records"), _annotation(spark, sf)
+    records, annotation = stored(view(spark, sf, "records"), "records"), stored(_annotation(spark, sf), "annotation")  # each is read several times
     blocks = mates.record_blocks(records)
     frags = mates.fold(records).join(fragments.mapped_length(blocks), "rid")
-    merged = intervals.merge(annotation, "gene_id", "chrom", "strand", "additional")
+    merged = stored(intervals.merge(annotation, "gene_id", "chrom", "strand", "additional"), "merged-exons")
     gaps = intervals.introns(annotation).join(annotation.select("gene_id", "strand").distinct(), "gene_id")
     exon, intron = (fragments.resolve(frags, fragments.gene_overlaps(blocks, x), fraction=0.25) for x in (merged, gaps))
     found = fragments.assign(frags, exon, intron).withColumnRenamed("ub", "umi").withColumn("is_uniq", ~F.col("is_multi"))
