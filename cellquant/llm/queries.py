@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellquant.llm import ann, chat, decontam, lm, pieces, pii, simhash, suffix, toxicity, urls
+from cellquant.llm import ann, chat, decontam, html, lm, merkle, periodic, pieces, pii, simhash, suffix, toxicity, urls
 
 #: Verdict, host and path of the rules that the URL query is asked for.
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -75,8 +76,43 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"))
 
 
+def _planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """One document in ten repeats a stretch of its words to its end."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.runs_digest(periodic.periodic_runs(_table(spark, sf_dir, "documents"), change=_planted))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.main_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    altered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, merkle.leaf_hash(*(F.col(c) + 1 if c == "n_chars" else c for c in fields)))
+    leaves = docs.select("doc_id", "lang", merkle.leaf_hash(*fields).alias("leaf"), altered.alias("altered"))
+    proved = merkle.manifest(leaves, "lang", ["doc_id"], "leaf").withColumn("siblings", merkle.siblings())
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join("siblings", "").cast("binary"), 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("altered", "leaf")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_chat_format, op3_sentencepiece, op4_decontamination, op5_simhash, op6_pii, op7_toxicity, op8_lm_scores, op9_url_filter, op10_nearest)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_chat_format, op3_sentencepiece, op4_decontamination, op5_simhash, op6_pii, op7_toxicity, op8_lm_scores, op9_url_filter, op10_nearest, op11_periodic_runs, op12_html_text, op13_merkle_manifest)}
 
 
 _REPEATS_SQL = """
@@ -150,5 +186,80 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)"""
 
 
+#: unsigned CRC-32 of a decimal number
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_concat(list_transform(range(8 * length({0}::VARCHAR)),
+    lambda k: CASE WHEN k % 8 = 0 THEN ord(substr({0}::VARCHAR, CAST(k // 8 + 1 AS INTEGER), 1)) ELSE 0 END))),
+    lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(xor(c, b) >> 1, 3988292384) ELSE xor(c, b) >> 1 END), 4294967295)"""
+
+_RUNS_SQL = (
+    r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, """
+    + _CRC.format("doc_id")
+    + r""" AS h FROM documents),
+e AS (
+  SELECT doc_id, w, len(w) AS n, h, CASE WHEN len(w) > 0 THEN h // 10 % len(w) ELSE 0 END AS a, 3 + h // 10 % 8 AS b FROM d),
+t AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // b) END + 1]) ELSE w END AS w FROM e),
+g AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 6], ' ') AS k FROM (SELECT doc_id, w, unnest(range(n - 5)) AS i FROM t WHERE n >= 12)),
+m AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.k = y.k AND x.i < y.i),
+s AS (
+  SELECT doc_id, q, min(i) AS start, max(i) - min(i) + 6 AS same
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS r FROM m) GROUP BY doc_id, q, r),
+r AS (
+  SELECT doc_id, start, same + q AS length, min(q) AS period FROM s WHERE same >= q AND same + q >= 12 GROUP BY doc_id, start, same + q),
+b AS (
+  SELECT doc_id, count(*) AS n_runs, min((-length, start, period)) AS best,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept FROM (SELECT doc_id, unnest(w) AS x, unnest(range(n)) AS i FROM t) ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best[2] AS start, -best[1] AS length, best[3] AS period, -1000 * best[1] // best[3] AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM t LEFT JOIN b USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+)
+
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}, '-')"
+_LEAF = "sha256(concat(" + ", ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{0}", "text")) + "))"
+_MERKLE_SQL = (
+    "WITH RECURSIVE d AS (SELECT doc_id, lang, "
+    + _LEAF.format("n_chars")
+    + " AS leaf, CASE WHEN "
+    + _CRC.format("doc_id")
+    + " % 7 = 0 THEN "
+    + _LEAF.format("(n_chars + 1)")
+    + """ END AS altered FROM documents),
+l AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY lang) AS n FROM d),
+low AS (
+  SELECT tree, 0 AS level, place, n, leaf AS h FROM l
+  UNION ALL SELECT tree, level + 1, place // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY place)) FROM low WHERE n > 1 GROUP BY tree, level, place // 2, n),
+high AS (
+  SELECT 0 AS level, tree - 1 AS place, count(*) OVER () AS n, h FROM low WHERE n = 1
+  UNION ALL SELECT level + 1, place // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY place)) FROM high WHERE n > 1 GROUP BY level, place // 2, n),
+way AS (
+  SELECT l.tree, l.place, x.level, x.place & 1 AS odd, y.h AS sibling
+  FROM l JOIN low x ON x.tree = l.tree AND x.place = l.place >> x.level AND x.n > 1 LEFT JOIN low y ON y.tree = x.tree AND y.level = x.level AND y.place = xor(x.place, 1)
+  UNION ALL SELECT l.tree, l.place, 100 + x.level, x.place & 1, y.h
+  FROM l JOIN high x ON x.place = (l.tree - 1) >> x.level AND x.n > 1 LEFT JOIN high y ON y.level = x.level AND y.place = xor(x.place, 1)),
+steps AS (SELECT *, row_number() OVER (PARTITION BY tree, place ORDER BY level) AS k FROM way),
+fold AS (
+  SELECT tree, place, 0 AS k, coalesce(altered, leaf) AS h FROM l
+  UNION ALL SELECT f.tree, f.place, s.k, sha256(CASE WHEN odd = 1 THEN concat(sibling, h) ELSE concat(h, sibling) END) FROM fold f JOIN steps s ON s.tree = f.tree AND s.place = f.place AND s.k = f.k + 1),
+ends AS (SELECT tree, place, max_by(h, k) AS folded_root FROM fold GROUP BY tree, place),
+proof AS (SELECT tree, place, sha256(coalesce(string_agg(sibling, '' ORDER BY k), '')) AS proof_sha256 FROM steps GROUP BY tree, place)
+SELECT doc_id, leaf, s.h AS subroot, r.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = r.h AS verified
+FROM l JOIN ends USING (tree, place) LEFT JOIN proof USING (tree, place) JOIN (SELECT tree, h FROM low WHERE n = 1) s USING (tree) CROSS JOIN (SELECT h FROM high WHERE n = 1) r"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffix_dedup": _REPEATS_SQL, "op2_chat_format": _CHAT_SQL, "op4_decontamination": _DECONTAM_SQL}
+    return {
+        "op1_suffix_dedup": _REPEATS_SQL,
+        "op2_chat_format": _CHAT_SQL,
+        "op4_decontamination": _DECONTAM_SQL,
+        "op11_periodic_runs": _RUNS_SQL,
+        "op13_merkle_manifest": _MERKLE_SQL,
+    }

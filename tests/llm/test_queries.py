@@ -3,6 +3,9 @@ versions of its contract."""
 
 from __future__ import annotations
 
+import re
+from html import unescape
+
 import duckdb
 import numpy as np
 import pytest
@@ -56,8 +59,16 @@ def _op9(spark, got):
     assert all(r["verdict"] == ruled[r["rule"]] for r in got.values() if r["rule"])
 
 
-KEYS = {"op9_url_filter": "page_id"}
-PLAIN = {"op3_sentencepiece": _op3, "op5_simhash": _op5, "op6_pii": _op6, "op7_toxicity": _op7, "op8_lm_scores": _op8, "op9_url_filter": _op9}
+def _op12(spark, got):
+    for r in spark.read.parquet(f"{plain.SF}/pages.parquet").collect():
+        inner = r["html"].split("<article>")[1].split("</article>")[0].replace("<br>", " ")
+        blocks = (" ".join(unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", inner))
+        text = "\n".join(b for b in blocks if b)
+        assert (got[r["page_id"]]["text"], got[r["page_id"]]["n_chars"], got[r["page_id"]]["url"]) == (text, len(text), r["url"])
+
+
+KEYS = {"op9_url_filter": "page_id", "op12_html_text": "page_id"}
+PLAIN = {"op12_html_text": _op12, "op3_sentencepiece": _op3, "op5_simhash": _op5, "op6_pii": _op6, "op7_toxicity": _op7, "op8_lm_scores": _op8, "op9_url_filter": _op9}
 
 
 @pytest.mark.parametrize("name", [n for n in queries.queries() if n != "op10_nearest"])
