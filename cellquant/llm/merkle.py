@@ -122,7 +122,7 @@ def manifest(leaves: DataFrame, group: str, keys: list[str], leaf: str) -> DataF
     """
     leaves = leaves.drop("subroot", "root", "sides", "segment")
     own = {n: fresh(leaves, n) for n in ("ordinal", "tree", "place", "n", "group_of")}
-    placed = ordinals(leaves, [group, *keys, leaf], own["ordinal"])
+    placed = ordinals(materialize(leaves, "merkle-leaves"), [group, *keys, leaf], own["ordinal"])  # ranges are found by reading twice
     trees = materialize(placed.groupBy(F.col(group).alias(own["group_of"])).agg(F.min(own["ordinal"]).alias(own["tree"]), F.count(F.lit(1)).alias(own["n"])), "merkle-trees")
     count = trees.count()
     few = F.broadcast if count <= BROADCAST_TREES else lambda df: df
