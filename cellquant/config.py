@@ -40,7 +40,7 @@ class Config:
     gtf: str
     index_table: str
     extra_contigs: str | None = None
-    alignments: str | None = None
+    alignments: tuple[str, ...] = ()
     least_reads: int = 0
     introns: bool = True
     strand: int = 0
@@ -64,6 +64,11 @@ def _expanded(value: Any, key: str = "") -> Any:
     return expand_path(value) if key in PATHS and isinstance(value, str) else value
 
 
+def _several(value: str | list[str] | None) -> tuple[str, ...]:
+    """One value, or several."""
+    return () if value is None else (value,) if isinstance(value, str) else tuple(map(expand_path, value))
+
+
 def from_mapping(raw: dict[str, Any], *, exists: bool = True) -> Config:
     """Check and convert what the file says. ``exists``: input paths must be there."""
     c = _expanded(raw)
@@ -109,7 +114,7 @@ def from_mapping(raw: dict[str, Any], *, exists: bool = True) -> Config:
     r = c["reference"]
     out = Config(
         project=str(c["project"]), out_dir=c["out_dir"], files=tuple(f["name"] for f in files), layout=layout, gtf=r["GTF_file"], index_table=c["barcodes"]["index_table"], extra_contigs=r.get("additional_files"),
-        alignments=c.get("alignments"), least_reads=int(c["barcodes"]["nReadsperCell"]), introns=bool(n["introns"]), strand=int(n["strand"]), levels=str(n["downsampling"]), multi_overlap=bool(n["multi_overlap"]),
+        alignments=_several(c.get("alignments")), least_reads=int(c["barcodes"]["nReadsperCell"]), introns=bool(n["introns"]), strand=int(n["strand"]), levels=str(n["downsampling"]), multi_overlap=bool(n["multi_overlap"]),
         fraction=float(n["fraction_overlap"]), mode=mode, most_places=int(n.get("multimapper_cap") or 20), start_stage=stage, adapter_fasta=c["read_filtering"].get("adapter_fasta"), other={"num_threads": threads[0], "mem_limit": c.get("mem_limit")},
     )
     if exists:

@@ -37,7 +37,7 @@ def resolve(fragments: DataFrame, overlaps: DataFrame, *, stranded: bool = True,
     rows = fragments.join(overlaps, "rid")
     if stranded:
         rows = rows.where(~F.col("tagged") | (F.col("strand") == F.col("frag_strand")))
-    enough = F.col("is_multi") | (F.col("olen") >= F.col("mapped") * fraction)
+    enough = F.col("is_multi") | (F.when(F.col("mapped") > 0, F.col("olen") / F.col("mapped")).otherwise(1.0) >= fraction)  # the product would round otherwise
     rows = rows.where(enough & (F.col("olen") >= 1))
     best = F.max("olen").over(Window.partitionBy("rid"))
     won = rows.withColumn("best", best).where(F.col("is_multi") | (F.col("olen") == F.col("best")))

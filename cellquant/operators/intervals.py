@@ -2,33 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: bases of a range in which a contig is scanned; what passes over its edges is carried by one row a range
+RANGE = 1 << 20
+
+
 def merge(intervals: DataFrame, *keys: str) -> DataFrame:
-    """Overlapping or adjacent intervals of a key joined: gaps and islands."""
+    """Overlapping or adjacent intervals of a key joined: gaps and islands. A key, as a gene, is one group; for whole contigs
+    there is ``merge_contigs``."""
     order = Window.partitionBy(*keys).orderBy("start_pos", "end_pos")
     before = F.max("end_pos").over(order.rowsBetween(Window.unboundedPreceding, -1))
     island = F.sum(F.when(F.col("start_pos") <= before + 1, 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
     return intervals.withColumn("island", island).groupBy(*keys, "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("island")
 
 
-def gaps(merged: DataFrame, *keys: str) -> DataFrame:
-    """What lies between consecutive merged intervals of a key."""
-    nxt = F.lead("start_pos").over(Window.partitionBy(*keys).orderBy("start_pos"))
-    return merged.select(*keys, (F.col("end_pos") + 1).alias("start_pos"), (nxt - 1).alias("end_pos")).where(F.col("end_pos") >= F.col("start_pos"))
+def _carried(rows: DataFrame, by: str, sums: dict[str, tuple[Column, Callable]], *, ahead: bool = False) -> DataFrame:
+    """``rows`` (with ``by`` and block) and, of the blocks before theirs (``ahead``: behind it), the ``sums`` over them. The pass
+    over blocks has one row a block."""
+    whole = Window.partitionBy(by).orderBy(F.desc("block") if ahead else "block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = rows.groupBy(by, "block").agg(*(c.alias(n) for n, (c, _) in sums.items()))
+    over = inside.select(by, "block", *(f(n).over(whole).alias(n) for n, (_, f) in sums.items()))
+    return rows.join(over, [by, "block"])
+
+
+def merge_contigs(intervals: DataFrame, width: int | None = None) -> DataFrame:
+    """(chrom, start_pos, end_pos): overlapping or adjacent intervals of a contig joined, scanned in ranges of ``width`` bases
+    (``RANGE``) side by side. A range takes over the farthest end of those before it and, where no island begins in it up to
+    a place, the island that began last."""
+    width = width or RANGE
+    rows = intervals.select("chrom", "start_pos", "end_pos", F.floor(F.col("start_pos") / width).alias("block"))
+    local = Window.partitionBy("chrom", "block").orderBy("start_pos", "end_pos")
+    met = _carried(rows, "chrom", {"far": (F.max("end_pos"), F.max)})
+    before = F.greatest(F.max("end_pos").over(local.rowsBetween(Window.unboundedPreceding, -1)), F.col("far"))
+    begun = met.withColumn("begun", F.when(F.col("start_pos") > F.coalesce(before + 1, F.lit(-1)), F.col("start_pos")))
+    last = _carried(begun.drop("far"), "chrom", {"open": (F.max("begun"), F.max)})
+    island = F.coalesce(F.max("begun").over(local.rowsBetween(Window.unboundedPreceding, 0)), F.col("open"))
+    return last.withColumn("island", island).groupBy("chrom", "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("island")
+
+
+def _next(place: str) -> Column:
+    """The next ``place`` of the contig, of rows that carry ahead, the least place of the ranges behind theirs."""
+    return F.coalesce(F.lead(place).over(Window.partitionBy("chrom", "block").orderBy(place)), F.col("ahead"))
+
+
+def gaps(merged: DataFrame, width: int | None = None) -> DataFrame:
+    """(chrom, start_pos, end_pos) of what lies between consecutive merged intervals of a contig, scanned in ranges."""
+    width = width or RANGE
+    rows = _carried(merged.select("chrom", "start_pos", "end_pos", F.floor(F.col("start_pos") / width).alias("block")), "chrom", {"ahead": (F.min("start_pos"), F.min)}, ahead=True)
+    return rows.select("chrom", (F.col("end_pos") + 1).alias("start_pos"), (_next("start_pos") - 1).alias("end_pos")).where(F.col("end_pos") >= F.col("start_pos"))
 
 
-def single_gene_regions(spans: DataFrame) -> DataFrame:
-    """(chrom, gene_id, start_pos, end_pos) covered by the span of exactly one gene: a sweep over starts and ends."""
+def single_gene_regions(spans: DataFrame, width: int | None = None) -> DataFrame:
+    """(chrom, gene_id, start_pos, end_pos) covered by the span of exactly one gene: a sweep over starts and ends, in ranges of
+    ``width`` bases (``RANGE``) side by side, which take over the depth of those before them."""
+    width = width or RANGE
     sign = spans.withColumn("g", F.xxhash64("gene_id").cast("decimal(38,0)"))
     events = sign.select("chrom", F.col("start_pos").alias("p"), F.lit(1).alias("d"), "g").unionByName(sign.select("chrom", (F.col("end_pos") + 1).alias("p"), F.lit(-1).alias("d"), (-F.col("g")).alias("g")))
-    at = events.groupBy("chrom", "p").agg(F.sum("d").alias("d"), F.sum("g").alias("g"))
-    order = Window.partitionBy("chrom").orderBy("p")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    swept = at.select("chrom", F.col("p").alias("start_pos"), (F.lead("p").over(order) - 1).alias("end_pos"), F.sum("d").over(upto).alias("depth"), F.sum("g").over(upto).alias("g"))
+    at = events.groupBy("chrom", "p").agg(F.sum("d").alias("d"), F.sum("g").cast("decimal(38,0)").alias("g")).withColumn("block", F.floor(F.col("p") / width))
+    rows = _carried(at, "chrom", {"d0": (F.sum("d"), F.sum), "g0": (F.sum("g").cast("decimal(38,0)"), F.sum)})
+    rows = _carried(rows, "chrom", {"ahead": (F.min("p"), F.min)}, ahead=True)
+    upto = Window.partitionBy("chrom", "block").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+    depth = F.sum("d").over(upto) + F.coalesce("d0", F.lit(0))
+    open_ = (F.sum("g").over(upto) + F.coalesce("g0", F.lit(0))).cast("decimal(38,0)")
+    swept = rows.select("chrom", F.col("p").alias("start_pos"), (_next("p") - 1).alias("end_pos"), depth.alias("depth"), open_.alias("g"))
     only = swept.where("depth = 1").join(sign.select("chrom", "g", "gene_id").distinct(), ["chrom", "g"])
     return merge(only.select("chrom", "gene_id", "start_pos", "end_pos"), "chrom", "gene_id")
 
@@ -36,7 +78,7 @@ def single_gene_regions(spans: DataFrame) -> DataFrame:
 def introns(exons: DataFrame, least: int = 10, most: int = 100_000) -> DataFrame:
     """Gaps of a contig's exon union (both strands) inside the region of one gene, wider than ``least`` and narrower than
     ``most``."""
-    between = gaps(merge(exons.select("chrom", "start_pos", "end_pos"), "chrom"), "chrom")
+    between = gaps(merge_contigs(exons))
     spans = exons.groupBy("chrom", "gene_id").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"))
     held = overlap_join(between.withColumn("gap", F.monotonically_increasing_id()), single_gene_regions(spans))
     inside = (F.col("a_start") >= F.col("b_start")) & (F.col("a_end") <= F.col("b_end"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from cellquant.functions import seq, trimming
 from cellquant.operators import barcode, counts, filtering, fragments, intervals, mates, matrices, panel, qc, sampling, umi
 from cellquant.plans.views import ADAPTERS, SQL, TAG, view
-from cellquant.storage import stored
+from cellquant.sources import bam, readers
+from cellquant.storage import shared_dir, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -287,7 +289,7 @@ def gene_length(spark, sf):
 
 @_query("SELECT * FROM gap", needs="exons", ctes=_UNION)
 def intergenic_gaps(spark, sf):
-    return intervals.gaps(intervals.merge(view(spark, sf, "exons").select("chrom", "start_pos", "end_pos"), "chrom"), "chrom")
+    return intervals.gaps(intervals.merge_contigs(view(spark, sf, "exons")))
 
 
 @_query("SELECT * FROM single", needs="exons", ctes=_SINGLE)
@@ -308,7 +310,7 @@ mapped AS (SELECT rid, cast(sum(e - s + 1) as bigint) AS mapped FROM block GROUP
 _OV = "SELECT rid, x.gene_id, x.strand, cast(sum(least(e, x.end_pos) - greatest(s, x.start_pos) + 1) as bigint) AS olen FROM block b JOIN {t} x ON x.chrom = b.chrom AND b.s <= x.end_pos AND x.start_pos <= b.e GROUP BY rid, x.gene_id, x.strand"
 _RESOLVE = """SELECT rid, CASE WHEN is_multi OR count(*) = 1 THEN list(gene_id ORDER BY gene_id) END AS genes, NOT is_multi AND count(*) > 1 AS tie FROM (
  SELECT a.rid, a.is_multi, o.gene_id, o.olen, max(o.olen) OVER (PARTITION BY a.rid) AS best FROM {fr} a JOIN mapped USING (rid) JOIN ({ov}) o USING (rid)
- WHERE (NOT a.tagged OR o.strand = a.frag_strand) AND (a.is_multi OR o.olen >= mapped * 0.25)) WHERE is_multi OR olen = best GROUP BY rid, is_multi"""
+ WHERE (NOT a.tagged OR o.strand = a.frag_strand) AND (a.is_multi OR o.olen / mapped >= 0.25)) WHERE is_multi OR olen = best GROUP BY rid, is_multi"""
 _ASSIGNED = (
     f"{_BLOCKS}, {_MERGED}, {_INTRONS}, ix AS (SELECT n.*, g.strand FROM introns n JOIN (SELECT DISTINCT gene_id, strand FROM exons) g USING (gene_id)), "
     f"ge AS ({_RESOLVE.format(fr='alignments', ov=_OV.format(t='merged'))}), gi AS ({_RESOLVE.format(fr='alignments', ov=_OV.format(t='ix'))}), "
@@ -466,9 +468,25 @@ def multimap_rescue(spark, sf):
     return _rounded(matrices.share_rescue(_gene_sets(spark, sf)))
 
 
-@_query()
+_EM = """mx AS (SELECT * FROM x WHERE k > 1),
+em AS (
+ SELECT bc, gene, geu, geu + guni AS theta, 0 AS it, 1e9 AS moved FROM wt WHERE guni > 0
+ UNION ALL
+ SELECT bc, gene, geu, nxt, it + 1, max(abs(nxt - theta)) OVER (PARTITION BY bc) FROM (
+  SELECT bc, gene, geu, theta, it, CASE WHEN geu + sum(share) >= 0.01 THEN geu + sum(share) ELSE 0 END AS nxt FROM (
+   SELECT bc, gene, geu, theta, it, CASE WHEN z > 0 THEN c * theta / z ELSE c / k END AS share FROM (
+    SELECT mx.*, em.geu, em.theta, em.it, sum(em.theta) OVER (PARTITION BY mx.bc, mx.genes) AS z FROM em JOIN mx ON mx.bc = em.bc AND mx.gene = em.gene WHERE em.moved >= 0.01 AND em.it < 100))
+  GROUP BY bc, gene, geu, theta, it))"""
+
+
+@_query("SELECT bc, gene, round(max_by(theta, it) - any_value(geu), 4) AS value FROM em GROUP BY bc, gene HAVING max_by(theta, it) - any_value(geu) > 0", needs=_ALL, ctes=f"{_ASSIGNED}, {_SETS}, {_EM}", recursive=True)
 def multimap_em(spark, sf):
-    return matrices.share_em(_gene_sets(spark, sf))
+    return matrices.share_em(_gene_sets(spark, sf)).withColumn("value", F.round("value", 4))
+
+
+@_query("SELECT bc, gene, round(max_by(theta, it) - any_value(geu), 4) AS value FROM em GROUP BY bc, gene HAVING max_by(theta, it) - any_value(geu) > 0", needs=_ALL, ctes=f"{_ASSIGNED}, {_SETS}, {_EM}", recursive=True)
+def multimap_em_by_rounds(spark, sf):
+    return matrices.em_by_rounds(_gene_sets(spark, sf)).withColumn("value", F.round("value", 4))
 
 
 @_query(
@@ -647,6 +665,34 @@ def mate_reads_per_cell(spark, sf):
     return qc.reads_per_cell(fragments.category_counts(_mate_assigned(spark, sf)[0]), totals, 70)
 
 
+#: contigs of the records, in an order that is not that of their names
+_CONTIGS = [("chrX", 1 << 29), *((f"chr{i}", 1 << 29) for i in (3, 0, 4, 1, 2)), *((f"ERCC{i}", 2000) for i in range(25))]
+REGION = ("chr1", 5_000, 30_000)
+
+
+def _as_bam(spark, sf, **how):
+    """The records as BAM files in the shared folder, in order of place."""
+    path = f"{shared_dir(spark)}/bam-{uuid.uuid4().hex}"
+    placed = mates.by_coordinate(view(spark, sf, "records"), [c for c, _ in _CONTIGS])
+    bam.write_bam(mates.bam_rows(placed), path, bam.header(_CONTIGS, order="coordinate"), **how)
+    return path
+
+
+@_query("SELECT qname, cast(flag as integer) AS flag, chrom AS rname, cast(pos as bigint) AS pos, cigar, cast(nh as integer) AS nh, bc, ub FROM records", needs="records")
+def bam_round_trip(spark, sf):
+    got = readers.read_bam(spark, [_as_bam(spark, sf)])
+    return got.select("qname", "flag", "rname", "pos", "cigar", F.col("NH").alias("nh"), F.col("BC").alias("bc"), F.col("UB").alias("ub"))
+
+
+@_query(
+    f"SELECT qname, cast(flag as integer) AS flag, cast(pos as bigint) AS pos FROM records WHERE chrom = '{REGION[0]}' AND pos <= {REGION[2]} AND pos + CASE cigar WHEN '40M60N10M' THEN 109 WHEN '5S45M' THEN 44 WHEN '20M2D30M' THEN 51 ELSE 49 END >= {REGION[1]}",
+    needs="records",
+)
+def bam_region(spark, sf):
+    path = _as_bam(spark, sf, index=True)
+    return bam.scan_bam(spark, [path], region=f"{REGION[0]}:{REGION[1]}-{REGION[2]}").select("qname", "flag", "pos")
+
+
 _MATE_SPAN = """spl AS (SELECT *, coalesce(sum(end_pos - start_pos + 1) OVER (PARTITION BY gene_id ORDER BY start_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - start_pos AS before FROM merged),
 tspan AS (SELECT rid, gene_id, min(before + greatest(s, start_pos)) AS lo, max(before + least(e, end_pos)) AS hi FROM block b JOIN spl ON spl.chrom = b.chrom AND b.s <= spl.end_pos AND spl.start_pos <= b.e GROUP BY rid, gene_id)"""
 
@@ -661,21 +707,21 @@ def mate_insert_sizes(spark, sf):
 
 
 _MATE_BODY = """pl AS (SELECT *, coalesce(sum(end_pos - start_pos + 1) OVER (PARTITION BY gene_id ORDER BY start_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(end_pos - start_pos + 1) OVER (PARTITION BY gene_id) AS length FROM merged),
-own AS (SELECT rid, user, tagged, unnest(ge) AS gene_id FROM assigned),
-hit AS (SELECT user, tagged, pl.gene_id, strand, length, before + greatest(s, start_pos) - start_pos AS lo, before + least(e, end_pos) - start_pos AS hi FROM block b JOIN own USING (rid) JOIN pl ON pl.gene_id = own.gene_id AND pl.chrom = b.chrom AND b.s <= pl.end_pos AND pl.start_pos <= b.e),
-base AS (SELECT user, tagged, gene_id, length, strand, unnest(generate_series(cast(lo as bigint), cast(hi as bigint))) AS p FROM hit),
-body AS (SELECT user, tagged, gene_id, cast(CASE WHEN strand = '+' THEN p ELSE length - 1 - p END * 100 // length as bigint) AS percentile, count(*) AS n FROM base GROUP BY 1, 2, 3, 4)"""
+own AS (SELECT rid, g LIKE 'ERCC%' AS additional, tagged, g AS gene_id FROM (SELECT rid, tagged, unnest(ge) AS g FROM assigned)),
+hit AS (SELECT additional, tagged, pl.gene_id, strand, length, before + greatest(s, start_pos) - start_pos AS lo, before + least(e, end_pos) - start_pos AS hi FROM block b JOIN own USING (rid) JOIN pl ON pl.gene_id = own.gene_id AND pl.chrom = b.chrom AND b.s <= pl.end_pos AND pl.start_pos <= b.e),
+base AS (SELECT additional, tagged, gene_id, length, strand, unnest(generate_series(cast(lo as bigint), cast(hi as bigint))) AS p FROM hit),
+body AS (SELECT additional, tagged, gene_id, cast(CASE WHEN strand = '+' THEN p ELSE length - 1 - p END * 100 // length as bigint) AS percentile, count(*) AS n FROM base GROUP BY 1, 2, 3, 4)"""
 
 
 @_query(
-    "SELECT user, tagged, percentile, round(sum(share) / any_value(genes), 6) AS coverage FROM (SELECT user, tagged, percentile, n / max(n) OVER (PARTITION BY user, tagged, gene_id) AS share FROM body) JOIN (SELECT user, tagged, count(DISTINCT gene_id) AS genes FROM body GROUP BY 1, 2) USING (user, tagged) GROUP BY 1, 2, 3",
+    "SELECT additional, tagged, percentile, round(sum(share) / any_value(genes), 6) AS coverage FROM (SELECT additional, tagged, percentile, n / max(n) OVER (PARTITION BY tagged, gene_id) AS share FROM body) JOIN (SELECT additional, tagged, count(DISTINCT gene_id) AS genes FROM body GROUP BY 1, 2) USING (additional, tagged) GROUP BY 1, 2, 3",
     needs="records spikes", ctes=f"{_MATES}, {_MATE_BODY}",
 )
 def mate_gene_body(spark, sf):
     found, blocks, merged = _mate_assigned(spark, sf)
-    own = found.select("rid", "user", "tagged", F.explode("ge").alias("gene_id"))
-    body = qc.gene_body(blocks, merged.drop("additional"), assigned=own, keys=("user", "tagged"))
-    return qc.mean_profile(body, "user", "tagged").withColumn("coverage", F.round("coverage", 6))
+    own = found.select("rid", "tagged", F.explode("ge").alias("gene_id"))
+    body = qc.gene_body(blocks, merged.drop("additional"), assigned=own, keys=("tagged",)).join(merged.select("gene_id", "additional").distinct(), "gene_id")
+    return qc.mean_profile(body, "additional", "tagged").withColumn("coverage", F.round("coverage", 6))
 
 
 _COUNT_LEVELS, _LEAST_READS = "20,5-15", 40

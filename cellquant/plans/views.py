@@ -6,7 +6,7 @@ first index read is damaged, ``rid % 7`` how much of an adapter the second mate
 contig grows with the parts and a base meets about as many genes at every scale; the reads of a part lie on its gene, and
 share its UMI but for one place in line 4. Every eleventh part shares that of another part of its cells.
 
-``records`` are alignments of mates: ``rid % 10`` leaves one mate out (3, 4), ``rid % 9 = 0`` has a second place, ``rid % 23 =
+``records`` are alignments of mates: ``rid % 10`` leaves one mate out (3, 4), ``rid % 9 = 0`` has a second place (``rid % 36 = 9`` on a spike-in contig), ``rid % 23 =
 0`` a supplementary record, ``rid % 29 = 0`` lies on a spike-in contig and ``rid % 31 = 0`` where no gene is.
 """
 
@@ -78,7 +78,7 @@ RECORDS = f"""
 SELECT concat('run:',cast(rid as varchar(20))) AS qname, flag, chrom, pos, {_CIGAR} AS cigar, CASE WHEN rid % 9 = 0 THEN 2 ELSE 1 END AS nh, bc, umi AS ub
 FROM (SELECT p.rid, p.chrom, p.pos, CASE WHEN p.rid % 2 = 0 THEN 81 ELSE 65 END AS flag FROM ({_PLACED}) p WHERE p.rid % 10 <> 4
  UNION ALL SELECT p.rid, p.chrom, p.pos + 150 AS pos, CASE WHEN p.rid % 2 = 0 THEN 129 ELSE 145 END AS flag FROM ({_PLACED}) p WHERE p.rid % 10 <> 3
- UNION ALL SELECT p.rid, p.chrom, p.pos + 985 AS pos, CASE WHEN p.rid % 2 = 0 THEN 337 ELSE 321 END AS flag FROM ({_PLACED}) p WHERE p.rid % 9 = 0
+ UNION ALL SELECT p.rid, CASE WHEN p.rid % 36 = 9 THEN concat('ERCC',cast(p.rid % 25 as varchar(20))) ELSE p.chrom END AS chrom, CASE WHEN p.rid % 36 = 9 THEN 1 + p.rid % 500 ELSE p.pos + 985 END AS pos, CASE WHEN p.rid % 2 = 0 THEN 337 ELSE 321 END AS flag FROM ({_PLACED}) p WHERE p.rid % 9 = 0
  UNION ALL SELECT p.rid, p.chrom, p.pos + 400 AS pos, 2113 AS flag FROM ({_PLACED}) p WHERE p.rid % 23 = 0) x
 JOIN (SELECT rid AS rd, bc, umi FROM ({READS}) rr) r ON r.rd = x.rid"""
 

@@ -6,12 +6,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellquant.config import Config, check_index_lengths
+from cellquant.functions import seq
 from cellquant.operators import counts, filtering, fragments, intervals, mates, panel, qc, sampling
-from cellquant.sources import readers, sinks
+from cellquant.sources import bam, readers, sinks
 
 #: takes (spark, folder of filtered reads, config), returns records: qname, flag, chrom, pos, cigar, nh, bc, ub
 Aligner = Callable[[SparkSession, str, Config], DataFrame]
@@ -42,6 +44,8 @@ def filtering_stage(spark: SparkSession, config: Config, *, shards: int = 8) ->
     sinks.write_filtered(done, f"{out}/filtered/passed", shards)
     passed = spark.read.parquet(f"{out}/filtered/passed")
     sinks.write_unaligned(passed, f"{out}/filtered/unaligned")
+    _anew(f"{out}/filtered/unaligned_bam")
+    sinks.write_unaligned_bam(passed, f"{out}/filtered/unaligned_bam")
     names = {k: "RevComp" if v else "Forward" for k, v in turned.items()}
     found = _put(filtering.filter_counts(done), f"{out}/qc/filter_counts")
     sinks.write_tsv(filtering.filter_statistics(found, names["i7"], names["i5"]).orderBy("place").drop("place").coalesce(1), f"{out}/qc/filter_stats")
@@ -54,16 +58,41 @@ def filtering_stage(spark: SparkSession, config: Config, *, shards: int = 8) ->
     return warnings
 
 
+def _anew(path: str) -> None:
+    """Delete the folder of an earlier run."""
+    source, at = bam.open_path(path)
+    if source.get_file_info(at).type == FileType.Directory:
+        source.delete_dir(at)
+
+
+def _alignments(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[tuple[str, int]] | None]:
+    """Records of all inputs, which are BAM files (or folders of them) or SAM text, and the contigs of BAM headers."""
+    columns = [F.col("rname").alias("chrom"), "pos", "cigar", F.coalesce("NH", F.lit(1)).alias("nh"), F.coalesce("BC", F.lit("")).alias("bc"), F.coalesce("UB", F.lit("")).alias("ub")]
+    if not all(p.endswith(".bam") or bam.list_files([p]) != [p] for p in paths):
+        if any(p.endswith(".bam") for p in paths):
+            raise ValueError("alignments are either all BAM or all SAM text")
+        return readers.read_sam(spark, paths).select("qname", "flag", *columns), None
+    rows = bam.scan_bam(spark, paths)
+    tag = {k: F.substring(rows.tags[k], 3, 1 << 30) for k in ("BC", "UB", "NH")}
+    rows = rows.withColumns({"BC": tag["BC"], "UB": tag["UB"], "NH": tag["NH"].cast("int")})
+    return rows.select("qname", "flag", *columns, "mapq", "rnext", "pnext", "tlen", "seq", "qual", "tags"), list(bam.read_header(bam.list_files(paths)[0])[0].contigs)
+
+
 def mapping_stage(spark: SparkSession, config: Config, aligner: Aligner | None) -> None:
-    """Writes mapped/: what the aligner returns, or the alignments (SAM text or BAM) that the configuration names."""
+    """Writes mapped/: what the aligner returns, or the alignments (SAM text or BAM, one or several) that the configuration names;
+    and the contigs in the order of the header, or of their names where there is none."""
+    contigs = None
     if aligner is not None:
         records = aligner(spark, f"{config.out_dir}/filtered/passed", config)
     elif config.alignments:
-        read = readers.read_bam(spark, [config.alignments]) if config.alignments.endswith(".bam") else readers.read_sam(spark, config.alignments)
-        records = read.select("qname", "flag", F.col("rname").alias("chrom"), "pos", "cigar", F.coalesce("NH", F.lit(1)).alias("nh"), F.coalesce("BC", F.lit("")).alias("bc"), F.coalesce("UB", F.lit("")).alias("ub"))
+        records, contigs = _alignments(spark, list(config.alignments))
     else:
         raise ValueError("mapping needs an aligner, or alignments in the configuration")
-    _put(records, f"{config.out_dir}/mapped/records")
+    records = _put(records, f"{config.out_dir}/mapped/records")
+    if contigs is None:
+        ends = records.where("chrom <> '*'").groupBy("chrom").agg(F.max(F.array_max(F.transform(seq.aligned_blocks(F.col("pos"), F.col("cigar")), lambda b: b.end))).alias("length"))
+        contigs = [(r["chrom"], r["length"] or 1) for r in ends.orderBy("chrom").collect()]  # a row a contig
+    _put(spark.createDataFrame([(i, *c) for i, c in enumerate(contigs)], "n int, contig string, length long"), f"{config.out_dir}/mapped/contigs")
 
 
 def annotation_of(spark: SparkSession, config: Config) -> DataFrame:
@@ -90,7 +119,10 @@ def counting_stage(spark: SparkSession, config: Config) -> None:
         intron = exon.limit(0)
     found = fragments.assign(frags, exon, intron).withColumnRenamed("ub", "umi").withColumn("is_uniq", ~F.col("is_multi"))
     found = _put(found, f"{out}/counts/fragments")
-    _put(mates.by_coordinate(mates.tagged_records(records, found)), f"{out}/counts/tagged_records")
+    contigs = [(r["contig"], r["length"]) for r in spark.read.parquet(f"{out}/mapped/contigs").orderBy("n").collect()]
+    tagged = _put(mates.tagged_records(records, found), f"{out}/counts/tagged_records")
+    _anew(f"{out}/counts/tagged_bam")
+    bam.write_bam(mates.bam_rows(mates.by_coordinate(tagged, [c for c, _ in contigs])), f"{out}/counts/tagged_bam", bam.header(contigs, order="coordinate"), index=True)
     totals = spark.read.parquet(f"{out}/filtered/per_barcode").withColumnRenamed("cell", "bc")
     lengths = merged.groupBy(F.col("gene_id").alias("gene")).agg(F.sum(F.col("end_pos") - F.col("start_pos") + 1).alias("length"))
     long = counts.counts_long(found, totals.select("bc", "total"), lengths, least_reads=config.least_reads, mode=config.mode.lower(), levels=config.levels)
@@ -100,11 +132,13 @@ def counting_stage(spark: SparkSession, config: Config) -> None:
     sinks.write_tsv(per_cell.select(F.col("cell").alias("RG"), F.col("n").alias("N"), F.initcap("type").alias("type")), f"{out}/counts/reads_per_cell_tsv", "RG", "type")
     sinks.write_tsv(totals.select(F.col("bc").alias("XC"), F.col("internal").alias("nNontagged"), F.col("tagged").alias("nUMItag")), f"{out}/counts/read_kinds_tsv", "XC")
     sinks.write_tsv(genes.orderBy("line").select("gene_id", "gene_name").coalesce(1), f"{out}/counts/gene_names_tsv")
-    own = found.select("rid", "user", "tagged", F.explode("ge").alias("gene_id"))
-    category = F.when(F.col("user"), "Spike-in").otherwise("Transcriptome").alias("category")
+    own = found.select("rid", "tagged", F.explode("ge").alias("gene_id"))
     kind = F.when(F.col("tagged"), "UMI-tagged").otherwise("Internal").alias("read_type")
-    profile = qc.mean_profile(qc.gene_body(blocks, merged.drop("additional"), assigned=own, keys=("user", "tagged")), "user", "tagged")
-    body = _put(profile.select(category, kind, (F.col("percentile") + 1).alias("percentile"), "coverage"), f"{out}/qc/gene_body")
+    by_gene = qc.gene_body(blocks, merged.drop("additional"), assigned=own, keys=("tagged",)).join(genes.select("gene_id", "additional"), "gene_id")
+    gene_class = F.when(F.col("additional"), "Spike-in").otherwise("Transcriptome").alias("category")
+    profile = qc.mean_profile(by_gene, "additional", "tagged")
+    body = _put(profile.select(gene_class, kind, (F.col("percentile") + 1).alias("percentile"), "coverage"), f"{out}/qc/gene_body")
+    category = F.when(F.col("user"), "Spike-in").otherwise("Transcriptome").alias("category")
     sinks.write_tsv(body, f"{out}/qc/gene_body_tsv", "category", "read_type", "percentile")
     sizes = _put(qc.mate_insert_sizes(found, qc.transcript_spans(blocks, merged.drop("additional", "strand"))), f"{out}/qc/insert_sizes")
     sinks.write_tsv(sizes.select(category, kind, F.col("size").alias("insert_size"), F.col("n").alias("count")), f"{out}/qc/insert_sizes_tsv", "category", "read_type", "insert_size")

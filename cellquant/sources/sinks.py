@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cellquant.sources.bam import header, write_bam
+
 
 def plain_number(value: Column) -> Column:
     """A double as text without exponent: ``3``, ``0.5``, ``0.00001``."""
@@ -82,6 +84,16 @@ def write_unaligned(passed: DataFrame, path: str) -> None:
     header.coalesce(1).select("value").unionByName(both).write.mode("overwrite").text(path)
 
 
+def write_unaligned_bam(passed: DataFrame, path: str) -> None:
+    """The same pairs as BAM files."""
+
+    def mate(flag: int, side: str) -> Column:
+        tags = F.create_map(F.lit("BC"), F.concat(F.lit("Z:"), "cell"), F.lit("UB"), F.concat(F.lit("Z:"), "umi"))
+        return F.struct("qname", F.lit(flag).alias("flag"), F.lit("*").alias("rname"), F.lit(0).cast("long").alias("pos"), F.col(f"{side}_cdna").alias("seq"), F.col(f"{side}_cdna_qual").alias("qual"), tags.alias("tags"))
+
+    write_bam(passed.select(F.inline(F.array(mate(77, "r1"), mate(141, "r2")))), path, header([]))
+
+
 def write_fastq(sample: DataFrame, path: str, seq: str, qual: str) -> None:
     sample.select(F.concat(F.lit("@"), "qname", F.lit("\n"), seq, F.lit("\n+\n"), qual).alias("value")).write.mode("overwrite").text(path, compression="gzip")
 
@@ -94,11 +106,14 @@ def write_gtf(annotation: DataFrame, path: str) -> None:
     annotation.orderBy("line").select(line.alias("value")).write.mode("overwrite").text(path)
 
 
-def report_page(title: str, tables: dict[str, DataFrame], rows: int = 200) -> str:
-    """One page with a table for each aggregate; ``rows`` of each at most are shown, since it is a report."""
+def report_page(title: str, tables: dict[str, DataFrame], rows: int = 1000) -> str:
+    """One page with a table for each aggregate. Of a table of more than ``rows`` rows the first ones are shown, and a line says
+    how many are left out."""
     parts = [f"<!doctype html><meta charset='utf-8'><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1>"]
     for name, df in tables.items():
+        found = df.limit(rows + 1).collect()
         head = "".join(f"<th>{html.escape(c)}" for c in df.columns)
-        body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else f'{v:.4g}' if isinstance(v, float) else str(v))}" for v in r) for r in df.limit(rows).collect())
-        parts.append(f"<h2>{html.escape(name)}</h2><table><tr>{head}{body}</table>")
+        body = "".join("<tr>" + "".join(f"<td>{html.escape('' if v is None else f'{v:.4g}' if isinstance(v, float) else str(v))}" for v in r) for r in found[:rows])
+        more = f"<p>{df.count() - rows} more rows are not shown." if len(found) > rows else ""
+        parts.append(f"<h2>{html.escape(name)}</h2><table><tr>{head}{body}</table>{more}")
     return "\n".join(parts)
