@@ -73,22 +73,27 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray
     return h[a[first]], d[first], places[first], np.diff(np.append(first, len(places))), a[first].astype(np.int64) - places[first]
 
 
-def _pieces(batches: Batches, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(data, ends, ids, offsets) of texts laid end to end, some MB at a time; a longer text comes in overlapping parts."""
-    held, ids, offs, size = [], [], [], 0
+def _pieces(batches: Batches, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(data, ends, ids, ths, offsets) of texts laid end to end, some MB at a time; a longer text comes in overlapping parts."""
+    held, ids, ths, offs, size = [], [], [], [], 0
+
+    def laid() -> tuple[np.ndarray, ...]:
+        return np.concatenate(held), np.cumsum([len(x) for x in held]), np.array(ids), np.array(ths), np.array(offs)
+
     for b in batches:
-        for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+        for i, th, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
             raw = np.frombuffer((t.as_py() or "").encode(), np.uint8)
             for lo in range(0, max(1, len(raw) - length + 1), _PIECE):
                 held.append(raw[lo : lo + _PIECE + length - 1])
                 ids.append(i)
+                ths.append(th)
                 offs.append(lo)
                 size += len(held[-1])
                 if size >= _PIECE:
-                    yield np.concatenate(held), np.cumsum([len(x) for x in held]), np.array(ids), np.array(offs)
-                    held, ids, offs, size = [], [], [], 0
+                    yield laid()
+                    held, ids, ths, offs, size = [], [], [], [], 0
     if held:
-        yield np.concatenate(held), np.cumsum([len(x) for x in held]), np.array(ids), np.array(offs)
+        yield laid()
 
 
 def _pack(start, windows, off):
@@ -101,12 +106,12 @@ def _unpack(place: int) -> tuple[int, int, int]:
 
 
 def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int = 1_000_000) -> DataFrame:
-    """(id, h, place, hot) of ranges whose anchor occurs more than once. place: see ``_pack``.
+    """(id, th, h, place, hot) of ranges whose anchor occurs more than once. place: see ``_pack``.
 
     In each task an anchor seen before is known to repeat: it only adds to a count, so a hot anchor sends one row a flush.
     """
-    kind = "segment int, h binary, id binary, place binary, n binary"
-    names = ["segment", "h", "id", "place", "n"]
+    kind = "segment int, h binary, id binary, th binary, place binary, n binary"
+    names = ["segment", "h", "id", "th", "place", "n"]
     shift = np.uint64(40)
 
     def send(batches: Batches) -> Batches:
@@ -114,7 +119,7 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
         size = 0
 
         def out() -> pa.RecordBatch:
-            h, ids, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            h, ids, th, place = (np.concatenate(x) for x in zip(*held, strict=True))
             held.clear()
             order = np.argsort(h)
             first = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
@@ -125,16 +130,16 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
             by = np.argsort(seg, kind="stable")
             cuts = np.searchsorted(seg[by], np.arange(segments + 1))
             full = [s for s in range(segments) if cuts[s] < cuts[s + 1]]
-            blobs = [[x[by[cuts[s] : cuts[s + 1]]] for s in full] for x in (h, ids, place, n)]
+            blobs = [[x[by[cuts[s] : cuts[s + 1]]] for s in full] for x in (h, ids, th, place, n)]
             blobs[1] = [np.diff(x, prepend=0) for x in blobs[1]]  # small numbers compress
             return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array([x.tobytes() for x in b], pa.binary()) for b in blobs)], names)
 
-        for data, ends, ids, offs in _pieces(batches, length):
+        for data, ends, ids, ths, offs in _pieces(batches, length):
             h, doc, start, windows, off = anchors(data, ends, length)
             begin = np.concatenate(([0], ends[:-1]))
             if not len(h):  # nothing here is as long as a window
                 continue
-            held.append((h, ids[doc].astype(np.int64), _pack(start - begin[doc] + offs[doc], windows, off)))
+            held.append((h, ids[doc].astype(np.int64), ths[doc].astype(np.int64), _pack(start - begin[doc] + offs[doc], windows, off)))
             size += len(h)
             if size >= flush:
                 yield out()
@@ -147,7 +152,7 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
         now = -1
 
         def out() -> pa.RecordBatch:
-            h, place, n = (np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in ((1, np.uint64), (3, np.int64), (4, np.uint32)))
+            h, th, place, n = (np.concatenate([np.frombuffer(r[i], t) for r in held]) for i, t in ((1, np.uint64), (3, np.int64), (4, np.int64), (5, np.uint32)))
             ids = np.concatenate([np.cumsum(np.frombuffer(r[2], np.int64)) for r in held])
             held.clear()
             order = np.argsort(h)
@@ -157,7 +162,7 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
             times = np.empty(len(h), np.int64)
             times[order] = np.repeat(total, np.diff(np.append(first, len(h))))
             keep = times > 1
-            return pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(h[keep].view(np.int64)), pa.array(place[keep]), pa.array(times[keep] > HOT)], ["id", "h", "place", "hot"])
+            return pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(th[keep]), pa.array(h[keep].view(np.int64)), pa.array(place[keep]), pa.array(times[keep] > HOT)], ["id", "th", "h", "place", "hot"])
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -169,7 +174,7 @@ def _repeated_anchors(texts: DataFrame, length: int, segments: int, flush: int =
             yield out()
 
     sent = texts.mapInArrow(send, kind).repartition(max(1, segments // 4), "segment").sortWithinPartitions("segment")
-    return sent.mapInArrow(gather, "id long, h long, place long, hot boolean")
+    return sent.mapInArrow(gather, "id long, th long, h long, place long, hot boolean")
 
 
 class RunLengthIndex:
@@ -304,8 +309,8 @@ def earlier_windows(strings: list[bytes], ids: np.ndarray, starts: np.ndarray, l
     return np.split(covered, np.cumsum(windows)[:-1])
 
 
-_RANGE = "kind int, key long, r long, id long, th int, start int, n int, off int, body binary"
-_MARK = "id long, th int, start int, stop int"
+_RANGE = "kind int, key long, r long, id long, th long, start int, n int, off int, body binary"
+_MARK = "id long, th long, start int, stop int"
 
 
 def _marked(h: int, off: int, body: bytes) -> bytes:
@@ -318,7 +323,7 @@ _MARKED = K - 9
 
 
 def _ranges(joined: DataFrame, length: int, flush: int = 20_000_000) -> DataFrame:
-    """Rows of ``_RANGE`` from (id, text, list of (h, place, hot)). kind 0: a mark (start, n bytes); 1: a range's first
+    """Rows of ``_RANGE`` from (id, th, text, list of (h, place, hot)). kind 0: a mark (start, n bytes); 1: a range's first
     copy of this flush, with its bytes but the anchor's; 2: a window of a hot anchor. th tells rows apart that share an id."""
 
     def run(batches: Batches) -> Batches:
@@ -339,7 +344,7 @@ def _ranges(joined: DataFrame, length: int, flush: int = 20_000_000) -> DataFram
             first.clear()
             for lo in range(0, len(done), 50_000):
                 cols = list(zip(*done[lo : lo + 50_000], strict=True))
-                kinds = [pa.int32(), *[pa.int64()] * 3, *[pa.int32()] * 4, pa.binary()]
+                kinds = [pa.int32(), *[pa.int64()] * 4, *[pa.int32()] * 3, pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["kind", "key", "r", "id", "th", "start", "n", "off", "body"])
             done.clear()
 
@@ -356,14 +361,13 @@ def _ranges(joined: DataFrame, length: int, flush: int = 20_000_000) -> DataFram
                 done.append((0, new[0], 0, new[0], new[1], new[2], new[3] + length - 1, 0, b""))
 
         for b in batches:
-            for i, text, found in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+            for i, th, text, found in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
                 raw = (text.as_py() or "").encode()
-                th = _text_hash(raw)
                 for f in found:
                     s, n, off = _unpack(f["place"])
                     body = raw[s : s + n + length - 1]
-                    if len(body) < n + length - 1:  # a place of another row with this id
-                        continue
+                    if th and (len(body) < n + length - 1 or _signed(int(_gram_hashes(np.frombuffer(body, np.uint8, K, off))[0])) != f["h"]):
+                        continue  # a place of another row with this id and hash
                     put(first, (f["h"], f["hot"], xxhash.xxh3_128_intdigest(body)), (i, th, s, n, off, body))
                     size += len(body)
                 if size > flush:
@@ -381,10 +385,6 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _text_hash(raw: bytes) -> int:
-    return xxhash.xxh32_intdigest(raw) - (1 << 31)
-
-
 def _marks(ranges: DataFrame, length: int, partitions: int, batch: int = 1_000_000) -> DataFrame:
     """Byte intervals to remove, from ranges that arrive together by anchor (kind 1) or window (kind 2)."""
 
@@ -412,7 +412,7 @@ def _marks(ranges: DataFrame, length: int, partitions: int, batch: int = 1_000_0
 
         def sent() -> pa.RecordBatch:
             cols = list(zip(*out, strict=True)) if out else [[]] * 4
-            got = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int32(), pa.int32(), pa.int32()], strict=True)], ["id", "th", "start", "stop"])
+            got = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int64(), pa.int64(), pa.int32(), pa.int32()], strict=True)], ["id", "th", "start", "stop"])
             out.clear()
             return got
 
@@ -452,13 +452,16 @@ def remove_repeats(documents: DataFrame, *, length: int = 100) -> DataFrame:
     doc_id both stay. Other columns are ignored. ``length`` is over 32 and under 1000.
     """
     rows = documents.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("id"), "text")
+    shared = not rows.groupBy("id").count().where("count > 1").isEmpty()  # such rows are told apart by their texts
+    rows = rows.withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))) if shared else F.lit(0).cast("long"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(shuffle_partitions(documents.sparkSession), -(-size // PART_BYTES))
-    repeated = _repeated_anchors(rows.select("id", "text"), length, segments=4 * parts)
-    lists = repeated.groupBy("id").agg(F.collect_list(F.struct("h", "place", "hot")).alias("found"))
+    repeated = _repeated_anchors(rows.select("id", "th", "text"), length, segments=4 * parts)
+    key, gathered = (["id", "th"], F.collect_set) if shared else (["id"], F.collect_list)  # equal rows of one id send the same
+    lists = repeated.groupBy(*key).agg(gathered(F.struct("h", "place", "hot")).alias("found"))
     # doc_id goes along unused: with the same columns in both joins, the texts are shuffled once
-    marks = _marks(_ranges(rows.join(lists, "id").select("id", "text", "found", "doc_id"), length), length, parts)
-    by_doc = marks.groupBy("id").agg(F.collect_list(F.struct("th", "start", "stop")).alias("marks"))
+    marks = _marks(_ranges(rows.join(lists, key).select("id", "th", "text", "found", "doc_id"), length), length, parts)
+    by_doc = marks.groupBy(*key).agg(gathered(F.struct("start", "stop")).alias("marks"))
 
     def cut(batches: Batches) -> Batches:
         for b in batches:
@@ -467,8 +470,7 @@ def remove_repeats(documents: DataFrame, *, length: int = 100) -> DataFrame:
                 raw = (text.as_py() or "").encode()
                 spans: list[list[int]] = []
                 if found:
-                    th = _text_hash(raw)
-                    for a, z in sorted((m["start"], m["stop"]) for m in found if m["th"] == th):
+                    for a, z in sorted((m["start"], m["stop"]) for m in found):
                         if spans and a <= spans[-1][1]:
                             spans[-1][1] = max(spans[-1][1], z)
                         else:
@@ -480,7 +482,7 @@ def remove_repeats(documents: DataFrame, *, length: int = 100) -> DataFrame:
             cols = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["doc_id", "kept", "n_bytes", "n_removed", "spans"])
 
-    return rows.join(by_doc, "id", "left").select(F.col("doc_id").cast("long"), "text", "marks").mapInArrow(cut, "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>")
+    return rows.join(by_doc, key, "left").select(F.col("doc_id").cast("long"), "text", "marks").mapInArrow(cut, "doc_id long, kept binary, n_bytes long, n_removed long, spans array<struct<start:int,stop:int>>")
 
 
 def repeats_digest(cleaned: DataFrame) -> DataFrame:

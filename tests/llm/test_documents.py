@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from cellquant.llm import decontam, lm, pii, queries, simhash, suffix, toxicity
 from tests.llm import plain
@@ -69,6 +71,33 @@ def test_repeats_with_repeated_ids(spark):
     assert suffix.remove_repeats(_frame(spark, [])).count() == 0
 
 
+def test_repeats_of_shared_ids_that_differ_in_the_anchor(spark):
+    """A place of one row is no place of another that shares its id, though all but the anchor's bytes are equal."""
+    rng = random.Random(9)
+    rows = []
+    for i in (1, None):
+        for _ in range(12):
+            t = "".join(rng.choices("abcdefgh ", k=100))
+            off = int(suffix.anchors(np.frombuffer(t.encode(), np.uint8), np.array([100]), 100)[4][0])
+            other = t[:off] + "".join(rng.choices("xyz", k=suffix.K)) + t[off + suffix.K :]
+            rows += [(3 if i is None else i, t), (4 if i is None else 2, t), (4 if i is None else 2, other)]
+    got = sorted((r["doc_id"], r["n_removed"]) for r in suffix.remove_repeats(_frame(spark, rows)).select("doc_id", "n_removed").collect())
+    assert got == sorted((i, 100 if rows.index((i, t)) % 3 == 1 else 0) for i, t in rows)
+
+
+def test_many_rows_of_one_id_take_no_longer(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(500)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(50, 70))) + EDGES[4][1][:150] for _ in range(1500)] * 2
+    took = []
+    for ids in (range(3000), [None] * 3000):
+        begun = time.time()
+        n = suffix.remove_repeats(_frame(spark, list(zip(ids, texts, strict=True)))).agg(F.sum("n_removed")).first()[0]
+        took.append(time.time() - begun)
+        assert n > 0
+    assert took[1] < 3 * took[0] + 5
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_repeats_among_short_texts(spark, parts):
     """Partitions that hold no text as long as a window, alone and beside others; the least long and null as doc_id."""
