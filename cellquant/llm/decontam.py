@@ -1,8 +1,9 @@
 """Benchmark decontamination with a stored positional inverted index, in DataFrame functions only.
 
 Training tokens become postings (term, row, pos), written once as a table that counts, phrases and proximity all read.
-The index is sharded by document: each part is sorted by term and holds all postings of its rows, so writing it shuffles
-nothing, a scan for some terms skips the other row groups, and a frequent term is spread over all parts.
+The index is sharded by document: each part is sorted by the term's hash, one long, and holds all postings of its rows, so
+writing it shuffles nothing, a scan for some terms skips the other row groups, and a frequent term is spread over all
+parts. Terms are looked up by hash and then compared.
 
 Each benchmark window is looked up by its rarest terms: their postings, shifted back by the term's offset in the window,
 must meet at one start. What meets is verified word by word against the document, so a result is exact whatever the index
@@ -32,7 +33,7 @@ def words_of(text: str) -> Column:
 
 @dataclass(frozen=True)
 class PositionalIndex:
-    """``postings``: (term, row, pos), pos from 0. ``records``: (row, doc_id, text_hash, n_words) of every document row.
+    """``postings``: (h, term, row, pos), h the term's hash, pos from 0. ``records``: (row, doc_id, text_hash, n_words) of every document row.
     Rows that share doc_id and text_hash are alike and get the same results."""
 
     postings: DataFrame
@@ -47,11 +48,11 @@ def build_index(documents: DataFrame) -> PositionalIndex:
     rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), F.concat(words_of("text"), F.array(F.lit(None).cast("string"))).alias("ws"))
     each = rows.select("row", "doc_id", "text_hash", F.posexplode("ws").alias("pos", "term"))
     last = F.col("term").isNull()
-    slim = each.select("term", "row", "pos", F.when(last, F.col("doc_id")).alias("doc_id"), F.when(last, F.col("text_hash")).alias("text_hash"))
-    stored = materialize(slim.sortWithinPartitions("term", "row", "pos"), "postings")
+    slim = each.select(F.xxhash64("term").alias("h"), "term", "row", "pos", F.when(last, F.col("doc_id")).alias("doc_id"), F.when(last, F.col("text_hash")).alias("text_hash"))
+    stored = materialize(slim.sortWithinPartitions("h"), "postings")
     return PositionalIndex(
-        stored.where("term IS NOT NULL").select("term", "row", "pos"),
-        stored.where("term IS NULL").select("row", "doc_id", "text_hash", F.col("pos").cast("long").alias("n_words")),
+        stored.where("term IS NOT NULL").select("h", "term", "row", "pos"),
+        stored.where((F.col("h") == F.xxhash64(F.lit(None).cast("string"))) & F.col("term").isNull()).select("row", "doc_id", "text_hash", F.col("pos").cast("long").alias("n_words")),
     )
 
 
@@ -68,16 +69,19 @@ def benchmark_windows(benchmark: DataFrame, width: int = 10) -> DataFrame:
 def _meet(postings: DataFrame, asked: DataFrame) -> DataFrame:
     """Postings with the rows of ``asked`` for their term. Few asked rows are broadcast; otherwise both sides are salted by
     document, so that a term's postings never meet in one task."""
+    asked = asked.withColumnRenamed("term", "asked").withColumn("h", F.xxhash64("asked"))
     if asked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return postings.join(F.broadcast(asked), "term")
-    salted = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return postings.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["term", "salt"]).drop("salt")
+        met = postings.join(F.broadcast(asked), "h")
+    else:
+        salted = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = postings.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["h", "salt"]).drop("salt")
+    return met.where(F.col("term") == F.col("asked")).drop("h", "asked")
 
 
 def term_counts(index: PositionalIndex, benchmark: DataFrame) -> DataFrame:
     """(term, count) of the benchmark's terms that occur in the documents. Written: searches rank terms by it."""
     terms = benchmark.select(F.explode(words_of("text")).alias("term")).distinct()
-    return materialize(_meet(index.postings.select("term", "row"), terms).groupBy("term").agg(F.count(F.lit(1)).alias("count")), "term-counts")
+    return materialize(_meet(index.postings.select("h", "term", "row"), terms).groupBy("term").agg(F.count(F.lit(1)).alias("count")), "term-counts")
 
 
 def phrase_candidates(index: PositionalIndex, windows: DataFrame, counts: DataFrame, anchors: int = 2) -> DataFrame:
