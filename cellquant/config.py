@@ -52,6 +52,11 @@ class Config:
     start_stage: str = "Filtering"
     adapter_fasta: str | None = None
     other: dict[str, Any] = field(default_factory=dict)
+    more_lanes: tuple[tuple[str, str, str, str], ...] = ()
+
+    @property
+    def lanes(self) -> list[tuple[str, str, str, str]]:
+        return [self.files, *self.more_lanes]
 
     def runs(self, stage: str) -> bool:
         """Whether a stage is run: those before the first one are read from what an earlier run left."""
@@ -112,13 +117,17 @@ def from_mapping(raw: dict[str, Any], *, exists: bool = True) -> Config:
     if c.get("star_tmp") and Path(c["star_tmp"]).absolute().is_relative_to(Path(c["out_dir"]).absolute()):
         raise ValueError("star_tmp must not lie under out_dir")
     r = c["reference"]
+    names = [(f["name"],) if isinstance(f["name"], str) else tuple(map(expand_path, f["name"])) for f in files]  # a list: a file a lane
+    if len({len(n) for n in names}) != 1 or not names[0]:
+        raise ValueError(f"the files of a lane go together, but there are {', '.join(str(len(n)) for n in names)} of them")
+    lanes = list(zip(*names, strict=True))
     out = Config(
-        project=str(c["project"]), out_dir=c["out_dir"], files=tuple(f["name"] for f in files), layout=layout, gtf=r["GTF_file"], index_table=c["barcodes"]["index_table"], extra_contigs=r.get("additional_files"),
+        project=str(c["project"]), out_dir=c["out_dir"], files=lanes[0], more_lanes=tuple(lanes[1:]), layout=layout, gtf=r["GTF_file"], index_table=c["barcodes"]["index_table"], extra_contigs=r.get("additional_files"),
         alignments=_several(c.get("alignments")), least_reads=int(c["barcodes"]["nReadsperCell"]), introns=bool(n["introns"]), strand=int(n["strand"]), levels=str(n["downsampling"]), multi_overlap=bool(n["multi_overlap"]),
         fraction=float(n["fraction_overlap"]), mode=mode, most_places=int(n.get("multimapper_cap") or 20), start_stage=stage, adapter_fasta=c["read_filtering"].get("adapter_fasta"), other={"num_threads": threads[0], "mem_limit": c.get("mem_limit")},
     )
     if exists:
-        needed = {f"sequence_files.file{i + 1}": p for i, p in enumerate(out.files) if out.runs("Filtering")} | {"reference.GTF_file": out.gtf, "barcodes.index_table": out.index_table}
+        needed = {f"sequence_files.file{i + 1}, lane {n + 1}": p for n, lane in enumerate(out.lanes) for i, p in enumerate(lane) if out.runs("Filtering")} | {"reference.GTF_file": out.gtf, "barcodes.index_table": out.index_table}
         needed |= {k: p for k, p in (("reference.additional_files", out.extra_contigs), ("read_filtering.adapter_fasta", out.adapter_fasta)) if p}
         for name, path in needed.items():
             if "://" not in path and not Path(path).exists():

@@ -32,11 +32,11 @@ def filtering_stage(spark: SparkSession, config: Config, *, shards: int = 8) ->
     first = pairs.first()
     check_index_lengths(config, len(first["i7_index"]), len(first["i5_index"]))
     adapters = [r[0] for r in readers.read_adapter_lines(spark, config.adapter_fasta).collect()] if config.adapter_fasta else []
-    reads = _put(readers.read_fastq4(spark, [config.files]), f"{out}/filtered/reads-in")
+    reads = _put(readers.read_lanes(spark, config.lanes), f"{out}/filtered/reads-in")
     turned, warnings = {}, []
     for k, column, span in (("i7", "i1_seq", config.layout.i7), ("i5", "i2_seq", config.layout.i5)):
         panel.check_codes([r["code"] for r in codes[k].collect()])
-        windows = reads.select("n", F.when(F.length(column) >= span[1], F.substring(column, span[0] + 1, span[1] - span[0])).alias(column))
+        windows = reads.select((F.shiftleft(F.col("lane").cast("long"), 40) + F.col("n")).alias("n"), F.when(F.length(column) >= span[1], F.substring(column, span[0] + 1, span[1] - span[0])).alias(column))
         turned[k] = panel.detect_orientation(windows, column, codes[k], "n", k)
         warnings += filter(None, [panel.radius_warning(k, panel.panel_report(codes[k], config.layout.budget), config.layout.budget)])
     layout = replace(config.layout, adapters=tuple(adapters), i7_reversed=turned["i7"], i5_reversed=turned["i5"])
