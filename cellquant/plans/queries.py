@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellquant.functions import seq, trimming
-from cellquant.operators import barcode, counts, filtering, fragments, intervals, mates, matrices, panel, qc, sampling, umi
+from cellquant.operators import barcode, counts, filtering, fragments, intervals, mates, matrices, panel, qc, readqc, sampling, umi
 from cellquant.plans.views import ADAPTERS, SQL, TAG, view
 from cellquant.sources import bam, readers
 from cellquant.storage import shared_dir, stored
@@ -593,6 +593,34 @@ def downsample_levels(spark, sf):
     return rows.where("level <> 'all'").groupBy("level", "bc", "layer").agg(F.count(F.lit(1)).alias("n"))
 
 
+# --- quality of the reads
+
+_CYCLES = """ch AS (SELECT unnest(generate_series(1, length(r2_seq))) AS cycle, unnest(string_split(r2_seq, '')) AS b, unnest(string_split(r2_qual, '')) AS q FROM reads WHERE r2_seq <> ''),
+qh AS (SELECT cycle, greatest(ascii(q) - 33, 0) AS q, count(*) AS n FROM ch GROUP BY 1, 2),
+qc AS (SELECT *, sum(n) OVER (PARTITION BY cycle ORDER BY q) AS upto, sum(n) OVER (PARTITION BY cycle) AS total FROM qh),
+qs AS (SELECT cycle, sum(q * n) / sum(n) AS mean, min(q) FILTER (WHERE upto >= total * 0.1) AS q10, min(q) FILTER (WHERE upto >= total * 0.25) AS q25, min(q) FILTER (WHERE upto >= total * 0.5) AS q50,
+ min(q) FILTER (WHERE upto >= total * 0.75) AS q75, min(q) FILTER (WHERE upto >= total * 0.9) AS q90 FROM qc GROUP BY cycle),
+bs AS (SELECT cycle, count(*) AS n, count(*) FILTER (WHERE b = 'A') AS a, count(*) FILTER (WHERE b = 'C') AS c, count(*) FILTER (WHERE b = 'G') AS g, count(*) FILTER (WHERE b = 'T') AS t, count(*) FILTER (WHERE b NOT IN ('A', 'C', 'G', 'T')) AS other FROM ch GROUP BY cycle)"""
+
+
+@_query("SELECT cast(cycle as bigint) AS cycle, n, a, c, g, t, other, round(mean, 6) AS mean, cast(q10 as integer) AS q10, cast(q25 as integer) AS q25, cast(q50 as integer) AS q50, cast(q75 as integer) AS q75, cast(q90 as integer) AS q90 FROM bs JOIN qs USING (cycle)", needs="reads", ctes=_CYCLES)
+def read_qc_cycles(spark, sf):
+    return readqc.cycle_profile(view(spark, sf, "reads"), "r2_seq", "r2_qual").withColumn("mean", F.round("mean", 6))
+
+
+@_query(
+    f"SELECT cast(list_max(list_filter({list(readqc.LEVELS)}, lambda x: x <= copies)) as integer) AS level, count(*) AS sequences, cast(sum(copies) as bigint) AS reads FROM (SELECT i1_seq, count(*) AS copies FROM reads GROUP BY i1_seq) GROUP BY 1",
+    needs="reads",
+)
+def read_qc_duplication(spark, sf):
+    return readqc.duplication_levels(view(spark, sf, "reads"), "i1_seq")
+
+
+@_query("SELECT substr(r1_seq, 1, 20) AS sequence, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM reads), 6) AS percent FROM reads GROUP BY 1 HAVING count(*) >= 0.002 * (SELECT count(*) FROM reads)", needs="reads")
+def read_qc_overrepresented(spark, sf):
+    return readqc.overrepresented(view(spark, sf, "reads"), "r1_seq", share=0.002, prefix=20).withColumn("percent", F.round("percent", 6))
+
+
 # --- mates, spike-ins, and all counts
 
 _FOLD = """cnt AS (SELECT *, nh > 1 AS is_multi, concat(qname, CASE WHEN nh > 1 THEN '*' ELSE '' END) AS rid, (flag & 64) <> 0 AS one, (flag & 16) <> 0 AS rev,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cellquant.config import Config, check_index_lengths
 from cellquant.functions import seq
-from cellquant.operators import counts, filtering, fragments, intervals, mates, panel, qc, sampling
+from cellquant.operators import counts, filtering, fragments, intervals, mates, panel, qc, readqc, sampling
 from cellquant.sources import bam, readers, sinks
 
 #: takes (spark, folder of filtered reads, config), returns records: qname, flag, chrom, pos, cigar, nh, bc, ub
@@ -53,7 +53,11 @@ def filtering_stage(spark: SparkSession, config: Config, *, shards: int = 8) ->
     totals = _put(filtering.per_cell_totals(done), f"{out}/filtered/per_barcode")
     sinks.write_tsv(totals, f"{out}/filtered/per_barcode_tsv", "cell")
     sample = sampling.sample_rows(passed, SAMPLE, "qname")
+    sample = _put(sample, f"{out}/qc/sample")
     for mate in ("r1", "r2"):
+        _put(readqc.cycle_profile(sample, f"{mate}_cdna", f"{mate}_cdna_qual"), f"{out}/qc/cycles_{mate}")
+        _put(readqc.duplication_levels(sample, f"{mate}_cdna"), f"{out}/qc/duplication_{mate}")
+        _put(readqc.overrepresented(sample, f"{mate}_cdna"), f"{out}/qc/overrepresented_{mate}")
         sinks.write_fastq(sample, f"{out}/qc/sample_{mate}", f"{mate}_cdna", f"{mate}_cdna_qual")
     return warnings
 
