@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,7 +27,8 @@ def qualities(qual: Column) -> Column:
 
 def low_bases(qual: Column, phred: int) -> Column:
     """How many bases have a quality under ``phred``."""
-    return F.size(F.filter(qualities(qual), lambda q: q < phred))
+    low = rf"[\x00-\x{{{PHRED - 1 + phred:x}}}]" if phred > 0 else r"(?!)"
+    return F.length(qual) - F.length(F.regexp_replace(qual, low, ""))
 
 
 def mismatches(a: Column, b: Column) -> Column:
@@ -35,7 +38,8 @@ def mismatches(a: Column, b: Column) -> Column:
 
 def has_tag(seq: Column, tag: str, most: int) -> Column:
     """Whether ``seq`` starts with ``tag`` up to ``most`` mismatches."""
-    return (F.length(seq) >= len(tag)) & (mismatches(F.substring(seq, 1, len(tag)), F.lit(tag)) <= most)
+    wrong = reduce(lambda n, x: n + x, [(F.substring(seq, i + 1, 1) != base).cast("int") for i, base in enumerate(tag)], F.lit(0))
+    return (F.length(seq) >= len(tag)) & (wrong <= most)
 
 
 def quality_window(qual: Column, quality: int, width: int = 4) -> Column:
@@ -80,3 +84,8 @@ def aligned_blocks(pos: Column, cigar: Column) -> Column:
         )
 
     return F.aggregate(steps, first, step, lambda s: s["blocks"])
+
+
+def aligned_bases(pos: Column, cigar: Column) -> Column:
+    """How many bases of the reference the blocks of ``aligned_blocks`` cover."""
+    return F.aggregate(aligned_blocks(pos, cigar), F.lit(0).cast("long"), lambda n, b: n + b["end"] - b["start"] + 1)

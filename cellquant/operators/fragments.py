@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -51,10 +53,35 @@ def assign(fragments: DataFrame, exon: DataFrame, intron: DataFrame) -> DataFram
     """Fragments with ge and gi (gene arrays or null), user and category, from what ``resolve`` gave for exons and introns."""
     e = exon.select("rid", F.col("genes").alias("ge"), F.col("ambiguous").alias("ge_tie"), "user")
     i = intron.select("rid", F.col("genes").alias("gi"), F.col("ambiguous").alias("gi_tie"))
-    category = (
-        F.when(F.col("ge").isNotNull() & F.col("user"), "User").when(F.col("ge").isNotNull(), "Exon").when(F.col("ge_tie"), "Ambiguity").when(F.col("gi").isNotNull(), "Intron").when(F.col("gi_tie"), "Ambiguity").otherwise("Intergenic")
-    )
-    return fragments.join(e, "rid", "left").join(i, "rid", "left").withColumn("category", category).withColumn("user", F.coalesce("user", F.lit(False))).drop("ge_tie", "gi_tie")
+    return fragments.join(e, "rid", "left").join(i, "rid", "left").withColumn("category", _category()).withColumn("user", F.coalesce("user", F.lit(False))).drop("ge_tie", "gi_tie")
+
+
+def assign_once(fragments: DataFrame, block_rows: DataFrame, exons: DataFrame, introns: DataFrame | None = None, *, stranded: bool = True, multi_overlap: bool = False, fraction: float = 0.0) -> DataFrame:
+    """What ``assign`` gives of ``resolve`` for exons and introns, in one pass: blocks meet both kinds of intervals in one join,
+    and all else goes by rid, over which pairs and fragments are dealt once. Exons and introns are stored tables."""
+    kinds = [("e", exons)] + ([("i", introns)] if introns is not None else [])
+    features = reduce(DataFrame.unionByName, [x.select("gene_id", "chrom", "strand", "start_pos", "end_pos", (F.col("additional") if "additional" in x.columns else F.lit(False)).alias("additional"), F.lit(k).alias("kind")) for k, x in kinds])
+    pairs = overlap_join(block_rows, features).select("rid", "kind", "gene_id", "strand", "additional", "olen").repartition("rid")
+    over = pairs.groupBy("rid", "kind", "gene_id", "strand", "additional").agg(F.sum("olen").alias("olen"))
+    rows = fragments.join(over, "rid", "left")
+    share = F.when(F.col("mapped") > 0, F.col("olen") / F.col("mapped")).otherwise(1.0)
+    ok = (F.col("olen") >= 1) & (F.col("is_multi") | (share >= fraction))
+    if stranded:
+        ok &= ~F.col("tagged") | (F.col("strand") == F.col("frag_strand"))
+    rows = rows.withColumn("ok", ok)
+    best = F.max(F.when(F.col("ok"), F.col("olen"))).over(Window.partitionBy("rid", "kind"))
+    rows = rows.withColumn("best", best).withColumn("won", F.col("ok") & (F.col("is_multi") | (F.col("olen") == F.col("best"))))
+    of = {k: F.col("won") & (F.col("kind") == k) for k in "ei"}
+    sets = rows.groupBy("rid").agg(F.first(F.struct(*fragments.columns)).alias("f"), *(F.array_sort(F.collect_set(F.when(c, F.col("gene_id")))).alias(k) for k, c in of.items()), F.min(F.when(of["e"], F.col("additional"))).alias("user"))
+    tie = {k: ~F.col("f.is_multi") & (F.size(k) > 1) & F.lit(not multi_overlap) for k in "ei"}
+    genes = {k: F.when((F.size(k) > 0) & ~tie[k], F.col(k)) for k in "ei"}
+    out = sets.select("f.*", genes["e"].alias("ge"), genes["i"].alias("gi"), tie["e"].alias("ge_tie"), tie["i"].alias("gi_tie"), F.coalesce("user", F.lit(False)).alias("user"))
+    return out.withColumn("category", _category()).drop("ge_tie", "gi_tie")
+
+
+def _category() -> Column:
+    taken = F.col("ge").isNotNull()
+    return F.when(taken & F.col("user"), "User").when(taken, "Exon").when(F.col("ge_tie"), "Ambiguity").when(F.col("gi").isNotNull(), "Intron").when(F.col("gi_tie"), "Ambiguity").otherwise("Intergenic")
 
 
 def layers(assigned: DataFrame) -> DataFrame:

@@ -328,10 +328,12 @@ def _blocks(spark, sf):
 
 
 def _assigned(spark, sf):
-    rows = _blocks(spark, sf)
-    frags = view(spark, sf, "alignments").select("rid", "tagged", "frag_strand", "is_multi").join(fragments.mapped_length(rows), "rid")
-    exon, intron = (fragments.resolve(frags, fragments.gene_overlaps(rows, x), fraction=0.25) for x in (_merged(spark, sf), _introns(spark, sf)))
-    return fragments.assign(frags, exon, intron).join(view(spark, sf, "reads").select("rid", "bc", "umi"), "rid").withColumn("is_uniq", ~F.col("is_multi"))
+    rows = view(spark, sf, "alignments")
+    frags = rows.select("rid", "tagged", "frag_strand", "is_multi", seq.aligned_bases(F.col("pos"), F.col("cigar")).alias("mapped"))
+    reads = view(spark, sf, "reads").select("rid", "bc", "umi")
+    exons, introns_ = stored(_merged(spark, sf), "merged-exons"), stored(_introns(spark, sf), "introns")
+    found = fragments.assign_once(frags, fragments.blocks(rows), exons, introns_, fraction=0.25)
+    return stored(found.withColumn("is_uniq", ~F.col("is_multi")).join(reads, "rid"), "assigned")
 
 
 def _layers(spark, sf):
@@ -593,6 +595,20 @@ def downsample_levels(spark, sf):
     return rows.where("level <> 'all'").groupBy("level", "bc", "layer").agg(F.count(F.lit(1)).alias("n"))
 
 
+@_query(
+    "SELECT bc, n, min(v) FILTER (WHERE v BETWEEN a AND b) AS low, q1, median, q3, max(v) FILTER (WHERE v BETWEEN a AND b) AS high, count(*) FILTER (WHERE v < a OR v > b) AS outliers FROM (SELECT *, q1 - 1.5 * (q3 - q1) AS a, q3 + 1.5 * (q3 - q1) AS b FROM held JOIN boxes USING (bc)) GROUP BY bc, n, q1, median, q3",
+    needs="reads", ctes="held AS (SELECT bc, cast(count(*) as double) AS v FROM reads GROUP BY bc, umi), boxes AS (SELECT bc, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM held GROUP BY bc)",
+)
+def qc_boxes(spark, sf):
+    held = view(spark, sf, "reads").groupBy("bc", "umi").agg(F.count(F.lit(1)).cast("double").alias("v"))
+    return qc.box_statistics(held, "v", "bc")
+
+
+@_query("SELECT length(r1_seq) AS length, count(*) AS n FROM (SELECT r1_seq FROM reads ORDER BY rid LIMIT 1000) GROUP BY 1 ORDER BY n DESC, length LIMIT 1", needs="reads")
+def probe_read_length(spark, sf):
+    return qc.probe_length(view(spark, sf, "reads"), "rid", "r1_seq")
+
+
 # --- quality of the reads
 
 _CYCLES = """ch AS (SELECT unnest(generate_series(1, length(r2_seq))) AS cycle, unnest(string_split(r2_seq, '')) AS b, unnest(string_split(r2_qual, '')) AS q FROM reads WHERE r2_seq <> ''),
@@ -653,17 +669,15 @@ def _annotation(spark, sf):
 def _mate_assigned(spark, sf):
     records, annotation = stored(view(spark, sf, "records"), "records"), stored(_annotation(spark, sf), "annotation")  # each is read several times
     blocks = mates.record_blocks(records)
-    frags = mates.fold(records).join(fragments.mapped_length(blocks), "rid")
     merged = stored(intervals.merge(annotation, "gene_id", "chrom", "strand", "additional"), "merged-exons")
-    gaps = intervals.introns(annotation).join(annotation.select("gene_id", "strand").distinct(), "gene_id")
-    exon, intron = (fragments.resolve(frags, fragments.gene_overlaps(blocks, x), fraction=0.25) for x in (merged, gaps))
-    found = fragments.assign(frags, exon, intron).withColumnRenamed("ub", "umi").withColumn("is_uniq", ~F.col("is_multi"))
+    gaps = stored(intervals.introns(annotation).join(annotation.select("gene_id", "strand").distinct(), "gene_id"), "introns")
+    found = fragments.assign_once(mates.fold(records), blocks, merged, gaps, fraction=0.25).withColumnRenamed("ub", "umi").withColumn("is_uniq", ~F.col("is_multi"))
     return found, blocks, merged
 
 
 @_query("SELECT rid, qname, is_multi, bc, ub, r1_rev, r2_rev, n_records, tagged, frag_strand FROM fr", needs="records", ctes=_FOLD)
 def fragment_fold(spark, sf):
-    return mates.fold(view(spark, sf, "records"))
+    return mates.fold(view(spark, sf, "records")).drop("mapped")
 
 
 @_query("SELECT *, gene_id LIKE 'ERCC%' AS additional FROM exons", needs="spikes", ctes=_ANNOTATION)

@@ -3,17 +3,20 @@ out_dir and reads what the one before left, so that a run can start at any of th
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import replace
+from hashlib import sha256
 
 from pyarrow.fs import FileType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellquant.config import Config, check_index_lengths
+from cellquant.config import STAGES, Config, check_index_lengths
 from cellquant.functions import seq
 from cellquant.operators import counts, filtering, fragments, intervals, mates, panel, qc, readqc, sampling
 from cellquant.sources import bam, readers, sinks
+from cellquant.storage import scratch
 
 #: takes (spark, folder of filtered reads, config), returns records: qname, flag, chrom, pos, cigar, nh, bc, ub
 Aligner = Callable[[SparkSession, str, Config], DataFrame]
@@ -113,15 +116,12 @@ def counting_stage(spark: SparkSession, config: Config) -> None:
     exons = lines.select("gene_id", "start_pos", "end_pos").join(genes.select("gene_id", "chrom", "strand", "additional"), "gene_id")
     merged = _put(intervals.merge(exons, "gene_id", "chrom", "strand", "additional"), f"{out}/counts/exons")
     blocks = mates.record_blocks(records)
-    frags = mates.fold(records).join(fragments.mapped_length(blocks), "rid", "left").fillna({"mapped": 0})
-    rules = {"stranded": config.strand == 1, "multi_overlap": config.multi_overlap, "fraction": config.fraction}
-    exon = fragments.resolve(frags, fragments.gene_overlaps(blocks, merged), **rules)
+    gaps = None
     if config.introns:
-        gaps = intervals.introns(exons.select("chrom", "gene_id", "start_pos", "end_pos")).join(genes.select("gene_id", "strand"), "gene_id")
-        intron = fragments.resolve(frags, fragments.gene_overlaps(blocks, gaps), **rules)
-    else:
-        intron = exon.limit(0)
-    found = fragments.assign(frags, exon, intron).withColumnRenamed("ub", "umi").withColumn("is_uniq", ~F.col("is_multi"))
+        inside = intervals.introns(exons.select("chrom", "gene_id", "start_pos", "end_pos")).join(genes.select("gene_id", "strand"), "gene_id")
+        gaps = _put(inside, f"{out}/counts/introns")
+    found = fragments.assign_once(mates.fold(records), blocks, merged, gaps, stranded=config.strand == 1, multi_overlap=config.multi_overlap, fraction=config.fraction)
+    found = found.withColumnRenamed("ub", "umi").withColumn("is_uniq", ~F.col("is_multi"))
     found = _put(found, f"{out}/counts/fragments")
     contigs = [(r["contig"], r["length"]) for r in spark.read.parquet(f"{out}/mapped/contigs").orderBy("n").collect()]
     tagged = _put(mates.tagged_records(records, found), f"{out}/counts/tagged_records")
@@ -153,17 +153,24 @@ def summarising_stage(spark: SparkSession, config: Config) -> str:
     out = config.out_dir
     long = spark.read.parquet(f"{out}/counts/long")
     sinks.write_matrices(long, f"{out}/matrices")
+    sinks.write_blocks(long, f"{out}/matrix_blocks")
     found, per_cell = spark.read.parquet(f"{out}/qc/filter_counts"), spark.read.parquet(f"{out}/counts/reads_per_cell")
     measured = long.where("level = 'all' AND quant IN ('umicount', 'readcount')").groupBy("quant", "feature", "cell").agg(F.count_if(F.col("value") >= 1).alias("genes"), F.sum("value").alias("total"))
+    setup = [(k, str(v)) for k, v in (("start_stage", config.start_stage), ("multi_mappers", config.mode), ("downsampling", config.levels), ("introns", config.introns), ("strand", config.strand))]
+    if config.mode != "Unique" and (multi := readers.multimapper_metric(spark, f"{out}/star/{config.project}.Log.final.out")):
+        setup.append(("multimapper_reads", multi))
     medians = measured.groupBy("quant", "feature").agg(F.bround(F.median("genes"), 0).alias("median_genes"), F.bround(F.median("total"), 0).alias("median_total"))
     return sinks.report_page(
         config.project,
         {
-            "Run": spark.createDataFrame([(k, str(v)) for k, v in (("start_stage", config.start_stage), ("multi_mappers", config.mode), ("downsampling", config.levels), ("introns", config.introns), ("strand", config.strand))], "setting string, value string"),
+            "Run": spark.createDataFrame(setup, "setting string, value string"),
             "Reads": filtering.read_table(found),
             "Dropped reads": filtering.drop_ranking(found),
             "Genes and counts of a cell": medians,
+            "Genes of a cell: boxes": qc.box_statistics(measured.where("quant = 'readcount'"), "genes", "feature").orderBy("feature"),
+            "UMIs of a cell: boxes": qc.box_statistics(measured.where("quant = 'umicount'"), "total", "feature").orderBy("feature"),
             "Kinds of reads": qc.type_shares(per_cell),
+            **{f"{name} of {mate}": spark.read.parquet(f"{out}/qc/{folder}_{mate}").orderBy(*order) for mate in ("r1", "r2") for name, folder, order in (("Bases and qualities", "cycles", ("cycle",)), ("Duplication", "duplication", ("level",)), ("Frequent sequences", "overrepresented", (F.desc("n"), "sequence")))},
             "Kinds of reads by cell": per_cell.where("cell <> 'bad'").orderBy("cell", "type"),
             "Gene body": spark.read.parquet(f"{out}/qc/gene_body").orderBy("category", "read_type", "percentile"),
             "Insert sizes": qc.insert_size_shares(spark.read.parquet(f"{out}/qc/insert_sizes"), keys=("user", "tagged")).orderBy("user", "tagged", "size"),
@@ -171,12 +178,74 @@ def summarising_stage(spark: SparkSession, config: Config) -> str:
     )
 
 
-def run(spark: SparkSession, config: Config, aligner: Aligner | None = None) -> str:
-    """All stages from ``config.start_stage`` on; returns the report page."""
-    if config.runs("Filtering"):
-        filtering_stage(spark, config)
-    if config.runs("Mapping"):
-        mapping_stage(spark, config, aligner)
-    if config.runs("Counting"):
-        counting_stage(spark, config)
+#: settings that a stage's tables depend on, and the tables whose rows its manifest counts
+_SETTINGS = {
+    "Filtering": ("files", "more_lanes", "layout", "index_table", "adapter_fasta"),
+    "Mapping": ("alignments", "most_places"),
+    "Counting": ("gtf", "extra_contigs", "least_reads", "introns", "strand", "levels", "multi_overlap", "fraction", "mode"),
+}
+_TABLES = {"Filtering": ("filtered/decisions", "filtered/passed", "filtered/per_barcode"), "Mapping": ("mapped/records", "mapped/contigs"), "Counting": ("counts/fragments", "counts/long", "counts/reads_per_cell")}
+
+
+def _settings(config: Config, stage: str) -> str:
+    """What a stage and those before it were asked to do, as one hash."""
+    upto = [s for s in STAGES[:3] if STAGES.index(s) <= STAGES.index(stage)]
+    return sha256(json.dumps([[name, repr(getattr(config, name))] for s in upto for name in _SETTINGS[s]]).encode()).hexdigest()
+
+
+def _manifest(config: Config, stage: str) -> dict | None:
+    """What a stage that was completed left, or None."""
+    source, at = bam.open_path(f"{config.out_dir}/manifests/{stage}.json")
+    if source.get_file_info(at).type != FileType.File:
+        return None
+    with source.open_input_stream(at) as f:
+        return json.loads(f.read())
+
+
+def check_resume(spark: SparkSession, config: Config) -> None:
+    """The stages before ``config.start_stage`` must have been completed, with the same settings, and their tables hold the rows
+    that they had then."""
+    for stage in STAGES[: STAGES.index(config.start_stage)]:
+        found = _manifest(config, stage)
+        if found is None:
+            raise ValueError(f"cannot start at {config.start_stage}: {stage} was not completed in {config.out_dir}")
+        if found["settings"] != _settings(config, stage):
+            raise ValueError(f"cannot start at {config.start_stage}: {stage} was run with other settings")
+        for table, rows in found["rows"].items():
+            now = spark.read.parquet(f"{config.out_dir}/{table}").count()
+            if now != rows:
+                raise ValueError(f"cannot start at {config.start_stage}: {table} holds {now} rows, {stage} left {rows}")
+
+
+def resume_stage(config: Config) -> str:
+    """The first stage that is not completed with these settings."""
+    done = {s: (m := _manifest(config, s)) is not None and m["settings"] == _settings(config, s) for s in _SETTINGS}
+    return next((s for s in _SETTINGS if not done[s]), "Summarising")
+
+
+def _staged(spark: SparkSession, config: Config, stage: str, work: Callable[[], object]) -> None:
+    """Run a stage. Its manifest and those of later stages go first and its own is written last, so that a stage that was
+    stopped is never taken for a complete one."""
+    source, folder = bam.open_path(f"{config.out_dir}/manifests")
+    source.create_dir(folder, recursive=True)
+    for later in STAGES[STAGES.index(stage) :]:
+        if source.get_file_info(f"{folder}/{later}.json").type == FileType.File:
+            source.delete_file(f"{folder}/{later}.json")
+    with scratch(spark):
+        work()
+    rows = {t: spark.read.parquet(f"{config.out_dir}/{t}").count() for t in _TABLES[stage]}
+    with source.open_output_stream(f"{folder}/{stage}.json.part") as f:
+        f.write(json.dumps({"stage": stage, "settings": _settings(config, stage), "rows": rows}).encode())
+    source.move(f"{folder}/{stage}.json.part", f"{folder}/{stage}.json")
+
+
+def run(spark: SparkSession, config: Config, aligner: Aligner | None = None, *, resume: bool = False) -> str:
+    """All stages from ``config.start_stage`` on (``resume``: from the first one that is not complete); returns the report page."""
+    if resume:
+        config = replace(config, start_stage=resume_stage(config))
+    check_resume(spark, config)
+    stages = {"Filtering": lambda: filtering_stage(spark, config), "Mapping": lambda: mapping_stage(spark, config, aligner), "Counting": lambda: counting_stage(spark, config)}
+    for stage, work in stages.items():
+        if config.runs(stage):
+            _staged(spark, config, stage, work)
     return summarising_stage(spark, config)

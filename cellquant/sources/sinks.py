@@ -5,10 +5,12 @@ from __future__ import annotations
 
 import html
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from cellquant.operators.order import numbered
 from cellquant.sources.bam import header, write_bam
 
 
@@ -54,19 +56,63 @@ def dense(matrix: DataFrame, cells: list[str]) -> DataFrame:
 
 def write_matrix_market(counts: DataFrame, path: str) -> None:
     """Counts (gene, bc, value) as a sparse matrix: folders genes and cells (names in order) and matrix, whose parts, laid
-    end to end, are one coordinate file. Only the two name lists are numbered in one task; triplets are range-sorted."""
+    end to end, are one list or coordinate file each. Names and triplets are range-sorted."""
     spark = counts.sparkSession
     tables = {}
     for folder, column in (("genes", "gene"), ("cells", "bc")):
-        names = counts.select(column).distinct().withColumn(f"{column}_at", F.row_number().over(Window.orderBy(column)))
-        names.orderBy(f"{column}_at").select(column).coalesce(1).write.mode("overwrite").text(f"{path}/{folder}")
+        names = numbered(counts.select(column).distinct(), [column], "at").select(column, (F.col("at") + 1).alias(f"{column}_at"))
+        names.orderBy(f"{column}_at").select(column).write.mode("overwrite").text(f"{path}/{folder}")
         tables[column] = names
     rows, genes, cells = counts.count(), tables["gene"].count(), tables["bc"].count()
-    head = spark.createDataFrame([(0, 0, f"%%MatrixMarket matrix coordinate real general\n{genes} {cells} {rows}")], "gene_at int, bc_at int, value string")
+    head = spark.createDataFrame([(0, 0, f"%%MatrixMarket matrix coordinate real general\n{genes} {cells} {rows}")], "gene_at long, bc_at long, value string")
     body = counts.join(tables["gene"], "gene").join(tables["bc"], "bc").select("gene_at", "bc_at", F.concat_ws(" ", "gene_at", "bc_at", plain_number(F.col("value").cast("double"))).alias("value"))
     head.unionByName(body).orderBy("bc_at", "gene_at").select("value").write.mode("overwrite").text(f"{path}/matrix")
 
 
+BLOCK_CELLS = 64
+_MATRIX = ["quant", "feature", "level"]
+
+
+def write_blocks(counts: DataFrame, path: str, cells: int = BLOCK_CELLS) -> None:
+    """Counts (quant, feature, level, gene, cell, value) as column-compressed blocks: folders genes (gene, gene_at) and cells (cell,
+    cell_at), both in order, and blocks, by matrix, of ``cells`` consecutive cells each: the cells it has values of, pointers
+    to where each one's begin, and numbers of genes and values. No block is larger than its cells by all genes."""
+    names = {}
+    for column in ("gene", "cell"):
+        names[column] = numbered(counts.select(column).distinct(), [column], f"{column}_at")
+        names[column].write.mode("overwrite").parquet(f"{path}/{column}s")
+    rows = counts.join(names["gene"], "gene").join(names["cell"], "cell").withColumn("block", F.floor(F.col("cell_at") / cells))
+    counts.sparkSession.createDataFrame([(cells,)], "block_cells long").write.mode("overwrite").parquet(f"{path}/shape")
+
+    def packed(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("cell_at", "ascending"), ("gene_at", "ascending")])
+        at = group["cell_at"].to_numpy()
+        begin = np.flatnonzero(np.diff(at, prepend=-1))
+        row = {k: group[k][0].as_py() for k in (*_MATRIX, "block")}
+        row |= {"cells": group["cell"].take(pa.array(begin)).to_pylist(), "pointers": [*begin.tolist(), len(at)], "genes": group["gene_at"].to_pylist(), "values": group["value"].to_pylist()}
+        return pa.Table.from_pylist([row], kinds)
+
+    kinds = pa.schema([*((k, pa.string()) for k in _MATRIX), ("block", pa.int64()), ("cells", pa.list_(pa.string())), ("pointers", pa.list_(pa.int32())), ("genes", pa.list_(pa.int64())), ("values", pa.list_(pa.float64()))])
+    made = rows.select(*_MATRIX, "block", "cell", "cell_at", "gene_at", "value").groupBy(*_MATRIX, "block").applyInArrow(packed, "quant string, feature string, level string, block long, cells array<string>, pointers array<int>, genes array<long>, values array<double>")
+    made.write.mode("overwrite").partitionBy(*_MATRIX).parquet(f"{path}/blocks")
+
+
+def read_blocks(spark: SparkSession, path: str, quant: str, feature: str, level: str = "all", cells: tuple[str, str] | None = None) -> DataFrame:
+    """(gene, cell, value) of one matrix, of the cells from the first to the second name if given: only blocks that hold some of
+    them are opened, and nothing is pivoted."""
+    blocks = spark.read.parquet(f"{path}/blocks").where((F.col("quant") == quant) & (F.col("feature") == feature) & (F.col("level") == level))
+    wanted = F.lit(True)
+    if cells is not None:
+        ends = spark.read.parquet(f"{path}/cells").where(F.col("cell").between(*cells)).agg(F.min("cell_at"), F.max("cell_at")).first()
+        size = spark.read.parquet(f"{path}/shape").first()["block_cells"]
+        blocks = blocks.where(F.col("block").between(ends[0] // size, ends[1] // size)) if ends[0] is not None else blocks.limit(0)
+        wanted = F.col("cell").between(*cells)
+    each = F.transform("cells", lambda c, i: F.struct(c.alias("cell"), F.arrays_zip(*(F.slice(x, F.get("pointers", i) + 1, F.get("pointers", i + 1) - F.get("pointers", i)).alias(x) for x in ("genes", "values"))).alias("held")))
+    held = blocks.select(F.inline(each)).where(wanted).select("cell", F.inline("held"))
+    genes = spark.read.parquet(f"{path}/genes")
+    return held.join(genes, F.col("genes") == F.col("gene_at")).select("gene", "cell", F.col("values").alias("value"))
+
+
 def write_filtered(filtered: DataFrame, path: str, shards: int) -> None:
     """The reads that passed, dealt evenly to ``shards`` files."""
     names = ["qname", "cell", "umi", "r1_cdna", "r1_cdna_qual", "r2_cdna", "r2_cdna_qual"]

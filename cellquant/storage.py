@@ -5,6 +5,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +28,28 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: tables that the innermost ``scratch`` deletes when it ends
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder, read back."""
+    """``df`` as a Parquet table in the shared folder, read back. It stays, unless a ``scratch`` is open."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if (held := _SCRATCH.get()) is not None:
+        held.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are stored inside are deleted at its end, when what was made of them has been written."""
+    held: list[str] = []
+    token = _SCRATCH.set(held)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for path in held:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

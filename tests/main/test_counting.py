@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import gzip
+import shutil
 import struct
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from cellquant import config, run, storage
 from cellquant.operators import counts, intervals, mates, qc
-from cellquant.sources import readers, sinks
+from cellquant.sources import bam, readers, sinks
 
 RECORD = "qname string, flag int, chrom string, pos long, cigar string, nh int, bc string, ub string"
 
@@ -84,7 +86,7 @@ def test_outputs(spark, tmp_path):
     assert "<td>g2" in sinks.report_page("x & y", {"t": matrix}) and "x &amp; y" in sinks.report_page("x & y", {})
 
 
-def bam(records, contigs):
+def bam_file(records, contigs):
     body = b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", len(contigs))
     for c, n in contigs:
         body += struct.pack("<i", len(c) + 1) + c.encode() + b"\0" + struct.pack("<i", n)
@@ -98,7 +100,7 @@ def bam(records, contigs):
 
 def test_bam(spark, tmp_path):
     tags = b"NHC\2" + b"XXBS\2\0\0\0\1\0\2\0" + b"BCZACGT\0" + b"YYAx" + b"UBZTT\0" + b"ZZf\0\0\0\0"
-    data = bam([("q1", 16, 1, 5, [(3, "M"), (10, "N"), (2, "S")], "ACGTN", "IIII#", tags), ("q2", 4, -1, 0, [], "", "", b"")], [("c1", 9), ("c2", 99)])
+    data = bam_file([("q1", 16, 1, 5, [(3, "M"), (10, "N"), (2, "S")], "ACGTN", "IIII#", tags), ("q2", 4, -1, 0, [], "", "", b"")], [("c1", 9), ("c2", 99)])
     (tmp_path / "a.bam").write_bytes(data)
     got = [tuple(r) for r in readers.read_bam(spark, [str(tmp_path / "a.bam")]).collect()]
     assert got == [("q1", 16, "c2", 5, 9, "3M10N2S", "ACGTN", "IIII#", "ACGT", "TT", 2), ("q2", 4, "*", 0, 9, "*", "*", "*", None, "", None)]
@@ -187,6 +189,35 @@ def test_staged_run(spark, tmp_path):
     assert len(sam_lines) == 1 + 2 * 392 and {x.split("\t")[1] for x in sam_lines[1:] if not x.startswith("@")} == {"77", "141"}
     assert run.run(spark, config.from_mapping(settings(str(tmp_path), start_stage="Summarising"))).count("<h2>") == page.count("<h2>")
 
+    pairs = bam.scan_bam(spark, [c.out_dir + "/filtered/unaligned_bam"])
+    assert pairs.count() == 2 * 392 and {tuple(r) for r in pairs.select("flag", "rname", F.length("seq") == F.length("qual")).distinct().collect()} == {(77, "*", True), (141, "*", True)}
+    tagged = bam.scan_bam(spark, [c.out_dir + "/counts/tagged_bam"])
+    assert tagged.count() == 800 and tagged.where("tags['GE'] = 'Z:G1' AND tags['NH'] = 'i:1'").count() == 640
+    assert bam.scan_bam(spark, [c.out_dir + "/counts/tagged_bam"], region="chr1:380-410").count() == 320
+
+    # a stage that was stopped, other settings, a table that lost rows
+    assert run.resume_stage(c) == "Summarising"
+    with pytest.raises(ValueError, match="Counting was run with other settings"):
+        run.run(spark, replace(c, start_stage="Summarising", fraction=0.5))
+    (tmp_path / "out/manifests/Counting.json").unlink()
+    with pytest.raises(ValueError, match="Counting was not completed"):
+        run.run(spark, replace(c, start_stage="Summarising"))
+    assert run.resume_stage(c) == "Counting" and run.resume_stage(replace(c, alignments=("x.sam",))) == "Mapping"
+    assert run.run(spark, c, resume=True).count("<h2>") == page.count("<h2>") and run.resume_stage(c) == "Summarising"
+    spark.read.parquet(c.out_dir + "/mapped/records").limit(5).write.parquet(c.out_dir + "/mapped/few")
+    shutil.rmtree(tmp_path / "out/mapped/records")
+    (tmp_path / "out/mapped/few").rename(tmp_path / "out/mapped/records")
+    with pytest.raises(ValueError, match="mapped/records holds 5 rows, Mapping left 800"):
+        run.run(spark, replace(c, start_stage="Counting"))
+
+    # several inputs, as BAM, give the same counts
+    shutil.copytree(c.out_dir + "/counts/tagged_bam", tmp_path / "in")
+    parts = sorted(str(p) for p in (tmp_path / "in").glob("*.bam"))
+    again = replace(c, start_stage="Mapping", alignments=tuple(parts) if len(parts) > 1 else (str(tmp_path / "in"),))
+    run.run(spark, again)
+    assert {tuple(r)[:5]: r["value"] for r in spark.read.parquet(c.out_dir + "/counts/long").collect()} == long
+    assert bam.scan_bam(spark, [c.out_dir + "/counts/tagged_bam"]).count() == 800
+
 
 def test_tables_need_a_shared_folder():
     class Cluster:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import random
 from collections import Counter
 
-from cellquant.operators import readqc
+from cellquant.operators import qc, readqc
+from cellquant.sources import readers
 
 
 def test_cycles(spark):
@@ -44,3 +45,39 @@ def test_duplication_and_frequent_sequences(spark):
     held = {x["value"]: x["least"] for x in readqc.frequent(df.where("s <> ''"), "s", 20).collect()}
     exact = Counter(s for s in seqs if s)
     assert all(n - total / 21 <= held.get(s, 0) <= n for s, n in exact.items() if n > total / 21) and all(v <= exact[s] for s, v in held.items())
+
+
+def test_boxes(spark):
+    r = random.Random(3)
+    rows = [(f"k{i % 3}", float(r.randrange(100) + (1000 if i % 50 == 0 else 0))) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    for accuracy in (None, 10_000, 20):
+        got = {x["k"]: x for x in qc.box_statistics(df, "v", "k", accuracy=accuracy).collect()}
+        for k in ("k0", "k1", "k2"):
+            values, x = sorted(v for c, v in rows if c == k), got[k]
+            n = len(values)
+            for p, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3")):
+                if accuracy is None:
+                    at = (n - 1) * p
+                    low = values[int(at)]
+                    assert abs(x[name] - (low + (values[min(int(at) + 1, n - 1)] - low) * (at - int(at)))) < 1e-9
+                else:  # the rank is off by n / accuracy at most
+                    below, upto = sum(v < x[name] for v in values), sum(v <= x[name] for v in values)
+                    assert below - n / accuracy - 1 <= p * n <= upto + n / accuracy + 1
+            edge = 1.5 * (x["q3"] - x["q1"])
+            inside = [v for v in values if x["q1"] - edge <= v <= x["q3"] + edge]
+            assert (x["n"], x["low"], x["high"], x["outliers"]) == (n, min(inside), max(inside), n - len(inside))
+    assert qc.box_statistics(df.limit(0), "v", "k").count() == 0
+
+
+def test_the_aligner_log(spark, tmp_path):
+    path = tmp_path / "x.Log.final.out"
+    path.write_text("  Number of input reads |\t100\n  Number of reads mapped to multiple loci |\t12345\n  % of reads mapped to multiple loci |\t1.50%\n")
+    assert readers.multimapper_metric(spark, str(path)) == "12,345 (1.50% of input)"
+    path.write_text("nothing of it\n")
+    assert readers.multimapper_metric(spark, str(path)) is None and readers.multimapper_metric(spark, str(tmp_path / "none")) is None
+
+
+def test_probe_of_the_first_reads(spark):
+    df = spark.createDataFrame([(i, "A" * (5 if i < 3 else 7 if i < 6 else 9)) for i in range(20)], "n long, s string")
+    assert [tuple(x) for x in qc.probe_length(df, "n", "s", 6).collect()] == [(5, 3)] and [tuple(x) for x in qc.probe_length(df, "n", "s").collect()] == [(9, 14)]

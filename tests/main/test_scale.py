@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cellquant.operators import fragments, intervals, matrices
+from cellquant.operators import fragments, intervals, matrices, order, sampling, umi
+from cellquant.sources import sinks
 
 
 def _plain_merge(rows):
@@ -55,3 +56,80 @@ def test_shares_of_mapped_bases_at_the_boundary(spark):
     frags = spark.createDataFrame([("a", False, "+", False, 100), ("b", False, "+", False, 100), ("c", False, "+", False, 0)], "rid string, tagged boolean, frag_strand string, is_multi boolean, mapped long")
     over = spark.createDataFrame([("a", "G", "+", 55), ("b", "G", "+", 54), ("c", "G", "+", 1)], "rid string, gene_id string, strand string, olen long")
     assert sorted(r["rid"] for r in fragments.resolve(frags, over, fraction=0.55).collect()) == ["a", "c"]
+
+
+@pytest.mark.parametrize("size", [4, 12])
+def test_networks_by_rounds_are_networks(spark, size):
+    r = random.Random(size)
+    rows = []
+    for cell in range(3):
+        found = {"".join(r.choice("ACGT") for _ in range(size)) for _ in range(12)}
+        for u in list(found):  # neighbours of neighbours
+            for _ in range(6):
+                i = r.randrange(size)
+                u = u[:i] + r.choice("ACGTN") + u[i + 1 :]
+                found.add(u)
+        rows += [(f"c{cell}", u, r.choice([1, 1, 1, 2, 3, 9, 40])) for u in sorted(found)]
+    rows.append(("c9", "", 5))
+    df = spark.createDataFrame(rows, "bc string, umi string, n long")
+    want = {}
+    for cell in {b for b, _, _ in rows}:
+        own = [(u, n) for b, u, n in rows if b == cell]
+        want |= {(cell, u): s for (u, _), s in zip(own, umi.seeds([u for u, _ in own], [n for _, n in own]), strict=True)}
+    for got in (umi.networks_by_rounds(df, "bc"), umi.networks(df, "bc"), umi.networks(df, "bc", group_umis=10)):
+        assert {(x["bc"], x["umi"]): x["seed"] for x in got.collect()} == want and set(got.columns) == {"bc", "umi", "n", "seed"}
+    assert umi.networks_by_rounds(df.limit(0), "bc").count() == 0
+
+
+def test_levels_in_one_pass(spark):
+    rows = [(f"c{i % 5}", f"r{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "bc string, rid string")
+    targets = [(f"c{c}", level, n) for c in range(5) for level, n in (("none", 0), ("one", 1), ("some", 37 * c + 5), ("most", 599), ("all", 600), ("more", 10**6))]
+    got = sampling.take_levels(df, ["bc"], spark.createDataFrame(targets, "bc string, level string, target long"), "rid").collect()
+    held = {}
+    for x in got:
+        held.setdefault((x["bc"], x["level"]), set()).add(x["rid"])
+    assert {(c, k): len(v) for (c, k), v in held.items()} == {(c, k): min(n, 600) for c, k, n in targets if n}
+    for c, level, n in targets:
+        one = sampling.take_by_hash(df.where(f"bc = '{c}'").withColumn("t", F.lit(n)), ["bc"], "t", "rid").collect()
+        assert held.get((c, level), set()) == {x["rid"] for x in one}
+
+
+def test_one_join_assigns_as_two_do(spark):
+    r = random.Random(5)
+    blocks = [(f"r{i % 80}", "c", s := r.randrange(1, 900), s + r.randrange(40)) for i in range(120)]
+    frags = [(f"r{i}", r.random() < 0.5, r.choice("+-"), r.random() < 0.3, r.choice([0, 40, 80])) for i in range(90)]
+    exons = [(f"g{i}", "c", r.choice("+-"), s := r.randrange(1, 900), s + r.randrange(90), i % 5 == 0) for i in range(40)]
+    block_rows = spark.createDataFrame(blocks, "rid string, chrom string, start_pos long, end_pos long")
+    frag_rows = spark.createDataFrame(frags, "rid string, tagged boolean, frag_strand string, is_multi boolean, mapped long")
+    features = spark.createDataFrame(exons, "gene_id string, chrom string, strand string, start_pos long, end_pos long, additional boolean")
+    e, i = features.where("start_pos % 3 > 0"), features.where("start_pos % 3 = 0").drop("additional")
+    for rules in ({"fraction": 0.25}, {"stranded": False, "multi_overlap": True}, {"fraction": 0.0}):
+        exon, intron = (fragments.resolve(frag_rows, fragments.gene_overlaps(block_rows, x), **rules) for x in (e, i))
+        want = sorted(map(str, fragments.assign(frag_rows, exon, intron).select("rid", "ge", "gi", "user", "category").collect()))
+        got = fragments.assign_once(frag_rows, block_rows, e, i, **rules)
+        assert sorted(map(str, got.select("rid", "ge", "gi", "user", "category").collect())) == want and len(want) == 90
+        assert set(r["category"] for r in fragments.assign_once(frag_rows, block_rows, e, **rules).collect()) <= {"Exon", "User", "Ambiguity", "Intergenic"}
+
+
+def test_numbers_of_a_global_order(spark):
+    r = random.Random(1)
+    rows = [(r.choice([None, *"abc"]), r.randrange(50)) for _ in range(500)]
+    got = order.numbered(spark.createDataFrame(rows, "k string, v int").repartition(6), ["k", "v"], "n").orderBy("n").collect()
+    assert [x["n"] for x in got] == list(range(500)) and [(x["k"], x["v"]) for x in got] == sorted(rows, key=lambda x: (x[0] is not None, x[0] or "", x[1]))
+    assert order.numbered(spark.createDataFrame([], "k string"), ["k"], "n").count() == 0
+
+
+def test_blocks_of_a_sparse_matrix(spark, tmp_path):
+    r = random.Random(2)
+    rows = [(q, "exon", "all", f"g{g}", f"c{c:02}", r.random()) for q in ("umicount", "rpkm") for c in range(40) for g in r.sample(range(30), r.choice([0, 1, 9]))]
+    df = spark.createDataFrame(rows, "quant string, feature string, level string, gene string, cell string, value double")
+    sinks.write_blocks(df, str(tmp_path / "b"), cells=7)
+    for q in ("umicount", "rpkm"):
+        for cells in (None, ("c05", "c06"), ("c13", "c30"), ("c99", "d")):
+            want = sorted((x[3], x[4], x[5]) for x in rows if x[0] == q and (cells is None or cells[0] <= x[4] <= cells[1]))
+            assert sorted(map(tuple, sinks.read_blocks(spark, str(tmp_path / "b"), q, "exon", cells=cells).collect())) == want
+    assert spark.read.parquet(str(tmp_path / "b/blocks")).count() <= 2 * 6
+    sinks.write_matrix_market(df.where("quant = 'rpkm'").withColumnRenamed("cell", "bc"), str(tmp_path / "m"))
+    text = [x for p in sorted((tmp_path / "m/matrix").glob("part-*")) for x in p.read_text().splitlines()]
+    assert text[0].startswith("%%MatrixMarket") and int(text[1].split()[2]) == len(text) - 2 == sum(x[0] == "rpkm" for x in rows)
