@@ -23,6 +23,8 @@ from pyspark.sql.window import Window
 from cellquant.llm.common import materialize
 
 DIMS, LEAF, STEP = 8, 64, 8
+#: queries times blocks that are compared at a time, some 50 bytes each
+PAIRS = 1 << 20
 
 
 def chi2_cdf(x: np.ndarray, dims: int = DIMS) -> np.ndarray:
@@ -110,9 +112,13 @@ class ProjectedTree:
 
 
 def box_distances(p: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Squared distance from each point to each box."""
-    gap = np.maximum(low[None] - p[:, None], 0) + np.maximum(p[:, None] - high[None], 0)
-    return (gap**2).sum(2)
+    """Squared distance from each point to each box, summed axis by axis: nothing larger than points times boxes is held."""
+    out = np.zeros((len(p), len(low)))
+    for i in range(p.shape[1]):
+        gap = np.maximum(low[:, i] - p[:, i, None], p[:, i, None] - high[:, i])
+        np.maximum(gap, 0, out=gap)
+        out += gap * gap
+    return out
 
 
 def search_block(q: np.ndarray, q_ids: np.ndarray, tree: ProjectedTree, ids: np.ndarray, k: int, confidence: float, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,9 +240,10 @@ def nearest(embeddings: DataFrame, *, every: int = 20, k: int = 20, confidence:
         test does not leave out."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            step = max(1, min(1024, PAIRS // max(map(len, names.values()))))
             for b in batches:
-                for lo in range(0, b.num_rows, 1024):
-                    part = b.slice(lo, 1024)
+                for lo in range(0, b.num_rows, step):
+                    part = b.slice(lo, step)
                     dims = part.column("dim").to_numpy()
                     for dim in np.unique(dims):
                         own, space = part.filter(pa.array(dims == dim)), spaces[int(dim)]
