@@ -38,6 +38,8 @@ _NAMES = set(
     "gdpr notice notices notification notifications alert alerts popup modal overlay lightbox toast comment comments commentlist disqus respond replies form searchform searchbox pagination pager "
     "copyright disclaimer imprint toolbar hidden tagcloud paywall".split()
 )
+#: the same written as one word (cookiebar, commentsection, mainmenu, sitefooter)
+_JOINED = re.compile(r"(?:cookie|sidebar|advert|newsletter|breadcrumb|sponsor|navbar|adsby)[a-z]+|comments?(?:list|form|section|area|box|block|wrapper|thread|container)|(?:site|main|page|top|global)(?:nav|menu|footer|header|bar)|ad(?:box|banner|slot|unit|container|wrapper|block|space)")
 #: beside such a word in one name, the others describe something else (has-sidebar, post-header)
 _BESIDE = {"has", "no", "with", "without", "not", "open", "enabled", "closed"}
 _ARTICLE = {"article", "post", "entry", "content", "story"}
@@ -81,6 +83,7 @@ def _said(name: str, attributes: str) -> tuple[bool, set[str], set[str]]:
                 words = {w.lower() for w in _TOKEN.findall(part)}
                 if not words & _BESIDE:
                     names |= words & _NAMES - ({"header"} if words & _ARTICLE else set())
+                    names |= {w for w in words if _JOINED.fullmatch(w)}
         elif key == "role":
             aside |= value.lower() in _ROLES
             marks |= {value.lower()} & {"article", "main"}
@@ -180,14 +183,16 @@ class _Page:
         """Lines of text; of each the characters outside links (0: none, or no main text); whether an article is marked up.
 
         A line is a block's text with white space turned into single spaces. What is no main text is an empty line, once for
-        all neighbours, and each edge of a container is one as well."""
+        all neighbours, and each edge of a container is one as well. So are ``WINDOW`` lines of links alone, or more, that
+        follow each other."""
         off = self.off()
         inside = self.article(off)
         if inside:
             off = [o or not i for o, i in zip(off, inside, strict=True)]
-        linked = [n == "a" for n in self.name]
+        linked, headed = [n == "a" for n in self.name], [n in _HEADINGS for n in self.name]
         for x in range(1, len(linked)):
-            linked[x] |= linked[self.parent[x]]
+            headed[x] |= headed[self.parent[x]]
+            linked[x] = (linked[x] or linked[self.parent[x]]) and not headed[x]  # a title may be a link
         texts: list[str] = []
         sizes: list[int] = []
         held: list[str] = []
@@ -218,6 +223,14 @@ class _Page:
                 texts.append("")
                 sizes.append(0)
             held, free, gone = [], 0, False
+        links: list[int] = []
+        for i, size in enumerate([*sizes, 1]):
+            if size:
+                for k in links if len(links) >= WINDOW else ():  # a menu, whole
+                    texts[k] = ""
+                links = []
+            elif texts[i]:
+                links.append(i)
         return texts, sizes, inside is not None
 
 
@@ -235,12 +248,21 @@ def surges(sizes: list[int], least: float) -> list[tuple[int, int]]:
 
 
 def page_text(html: str | None) -> str:
-    """The main text of a page: lines of its surges, joined by one line feed; empty if there is none."""
+    """The main text of a page: lines of its surges, joined by one line feed; empty if there is none. Lines of links alone at the
+    ends of a surge stay only inside a marked article."""
     texts, sizes, marked = _Page(html or "").lines()
     if not any(sizes):
         return ""
-    least = 1 if marked else min(SURGE, SHARE * distribution(sizes).max())
-    return "\n".join(t for a, z in surges(sizes, least) for t in texts[a:z] if t)
+    kept: list[str] = []
+    upto = 0
+    for a, z in surges(sizes, 1 if marked else min(SURGE, SHARE * distribution(sizes).max())):
+        if marked:
+            a, z = max(a, upto), min(z + WINDOW - 1, len(texts))
+        else:
+            a = next(i for i in range(a, z) if sizes[i])
+        kept += texts[a:z]
+        upto = z
+    return "\n".join(filter(None, kept))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
