@@ -595,6 +595,17 @@ def downsample_levels(spark, sf):
     return rows.where("level <> 'all'").groupBy("level", "bc", "layer").agg(F.count(F.lit(1)).alias("n"))
 
 
+@_query("SELECT row_number() OVER (ORDER BY rid) - 1 AS n, read_id, r1_seq, r1_qual, r2_seq, r2_qual, i1_seq, i1_qual, i2_seq, i2_qual FROM reads", needs="reads")
+def fastq_zip(spark, sf):
+    """The reads as four FASTQ files, which are written each by itself, zipped by position."""
+    folder = f"{shared_dir(spark)}/fastq-{uuid.uuid4().hex}"
+    rows = stored(view(spark, sf, "reads"), "reads")
+    for mate in ("r1", "r2", "i1", "i2"):
+        lines = F.concat_ws("\n", F.concat(F.lit("@"), "read_id"), f"{mate}_seq", F.lit("+"), f"{mate}_qual")
+        rows.select("rid", lines.alias("value")).orderBy("rid").select("value").write.text(f"{folder}/{mate}")
+    return readers.zip_fastq(spark, [tuple(f"{folder}/{m}" for m in ("r1", "r2", "i1", "i2"))]).drop("lane")
+
+
 @_query(
     "SELECT bc, n, min(v) FILTER (WHERE v BETWEEN a AND b) AS low, q1, median, q3, max(v) FILTER (WHERE v BETWEEN a AND b) AS high, count(*) FILTER (WHERE v < a OR v > b) AS outliers FROM (SELECT *, q1 - 1.5 * (q3 - q1) AS a, q3 + 1.5 * (q3 - q1) AS b FROM held JOIN boxes USING (bc)) GROUP BY bc, n, q1, median, q3",
     needs="reads", ctes="held AS (SELECT bc, cast(count(*) as double) AS v FROM reads GROUP BY bc, umi), boxes AS (SELECT bc, count(*) AS n, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median, quantile_cont(v, 0.75) AS q3 FROM held GROUP BY bc)",

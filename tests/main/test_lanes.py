@@ -47,6 +47,19 @@ def test_any_cut_gives_the_lanes(spark, tmp_path, size):
             spark.conf.set(k, v)
 
 
+def test_folders_of_parts(spark, tmp_path):
+    """A mate's records over several files, cut elsewhere than the other mates'."""
+    lane = _lane(tmp_path, "p", 50, 7)
+    folders = []
+    for k, p in enumerate(lane):
+        lines = open(p).read().splitlines(keepends=True)
+        (tmp_path / f"m{k}").mkdir()
+        for i, at in enumerate(range(0, len(lines), 12 + 8 * k)):
+            (tmp_path / f"m{k}" / f"part-{i:05d}.txt").write_text("".join(lines[at : at + 12 + 8 * k]))
+        folders.append(str(tmp_path / f"m{k}"))
+    assert _rows(readers.zip_fastq(spark, [tuple(folders)])) == _rows(readers.read_fastq4(spark, [lane]))
+
+
 def test_lanes_that_do_not_fit(spark, tmp_path):
     good, short = _lane(tmp_path, "a", 20, 1), _lane(tmp_path, "s", 19, 1)
     with pytest.raises(ValueError, match="lane 1: its files hold different numbers"):
