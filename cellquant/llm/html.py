@@ -4,6 +4,7 @@ a surge and the next dive is kept."""
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -103,6 +104,7 @@ class _Page:
         self.name, self.parent, self.aside, self.names, self.marks = ["html"], [0], [False], [set()], [set()]
         self.events: list[tuple[int, str | None]] = []
         stack = [0]
+        self.open: Counter[str] = Counter()
         for name, end, rest in _pieces(html):
             if name is None:
                 self.events.append((stack[-1], rest))
@@ -112,12 +114,13 @@ class _Page:
                 self._start(stack, name, rest)
 
     def _end(self, stack: list[int], name: str) -> None:
-        at = len(stack) - 1
+        at = len(stack) - 1 if self.open[name] else 0
         while at > 0 and self.name[stack[at]] != name and (name not in _INLINE or self.name[stack[at]] in _INLINE):
             at -= 1
         if at > 0 and self.name[stack[at]] == name:
             edges = [(x, None) for x in reversed(stack[at:]) if self.name[x] not in _INLINE]
             self.events += edges
+            self.open.subtract(self.name[x] for x in stack[at:])
             del stack[at:]
         elif name not in _INLINE:
             self.events.append((stack[-1], None))
@@ -127,16 +130,17 @@ class _Page:
             self.events.append((stack[-1], " "))
             return
         if name in ("html", "body") or name in _VOID and name in _INLINE:
-            if name == "body" and "head" in (self.name[x] for x in stack):
+            if name == "body" and self.open["head"] > 0:
+                self.open.clear()
                 del stack[1:]
             return
         if name not in _IN_HEAD and self.name[stack[-1]] == "head":
-            stack.pop()  # its end tag may be left out, as those of paragraphs, items and inline elements
+            self._pop(stack)  # its end tag may be left out, as those of paragraphs, items and inline elements
         if name not in _INLINE:
             while self.name[stack[-1]] in _INLINE and self.name[stack[-1]] != "a":
-                stack.pop()
+                self._pop(stack)
             if self.name[stack[-1]] == "p" or self.name[stack[-1]] == name and name in _LINES:
-                self.events.append((stack.pop(), None))
+                self.events.append((self._pop(stack), None))
         elif name == "a" and "a" in (self.name[x] for x in stack[-3:]):
             self._end(stack, "a")
         aside, names, marks = _said(name, rest)
@@ -148,8 +152,14 @@ class _Page:
         if name not in _INLINE:
             self.events.append((x, None))
         if name not in _VOID and not (rest.endswith("/") and name in ("svg", "math")):
+            self.open[name] += 1
             stack.append(x)
 
+    def _pop(self, stack: list[int]) -> int:
+        x = stack.pop()
+        self.open[self.name[x]] -= 1
+        return x
+
     def off(self) -> list[bool]:
         """Elements whose text is no main text. Names do not count for what holds an article, nor an article's own names unless
         they say that it is a comment."""
