@@ -525,4 +525,4 @@ def test_ordinal_gradient_finds_thresholds():
 
 
 def test_queries_are_named():
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)]
