@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cellquant.storage import stored
+
 
 #: bases of a range in which a contig is scanned; what passes over its edges is carried by one row a range
 RANGE = 1 << 20
@@ -80,7 +82,8 @@ def introns(exons: DataFrame, least: int = 10, most: int = 100_000) -> DataFrame
     ``most``."""
     between = gaps(merge_contigs(exons))
     spans = exons.groupBy("chrom", "gene_id").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos"))
-    held = overlap_join(between.withColumn("gap", F.monotonically_increasing_id()), single_gene_regions(spans))
+    regions = stored(single_gene_regions(spans), "single-gene-regions")  # its size is asked for before it is joined
+    held = overlap_join(between.withColumn("gap", F.monotonically_increasing_id()), regions)
     inside = (F.col("a_start") >= F.col("b_start")) & (F.col("a_end") <= F.col("b_end"))
     width = F.col("a_end") - F.col("a_start") + 1
     return held.where(inside & (width > least) & (width < most)).select("chrom", "gene_id", F.col("a_start").alias("start_pos"), F.col("a_end").alias("end_pos"))
