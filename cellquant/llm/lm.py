@@ -1,11 +1,12 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Training tokens become word and word-pair counts. A pair (or word) of count c has level 1 + floor(log2 c) and is put into
-the filter once for each level up to its own; a reader probes level after level until one is absent, which gives the count
-back to a factor of two. The filter's size follows the number of training tokens without a limit: it is a table of
-segments of a bounded size, and no task or broadcast holds more than one. The n-grams of all texts, distinct within parts
-of the rows, are dealt to the segments with their training counts; a segment's task sets its bits, probes them for each
-part, and the levels go back to the part's rows.
+Training tokens become word and word-pair counts. Counts up to ``EXACT`` are their own levels, larger ones have ``STEPS``
+levels to each doubling. An n-gram is put into the filter once for each level up to its own; a reader probes level after
+level until one is absent, which gives the count back to 0.6 %. The filter's size follows the number of training tokens
+without a limit: it consists of segments of a bounded size, and no task or broadcast holds more than one. The n-grams of
+all texts, distinct within parts of the rows, are dealt to the segments with their training counts; a segment's task sets
+its bits, probes them for each part, and the levels go back to the part's rows. What n-grams found by chance add to a
+history is known from the share of bits set, and is part of the history's normaliser.
 
 The exact unigram base score is computed beside it: counts of the ``head_words`` most frequent words (a bounded number)
 are broadcast, all other words of a text are joined with their counts.
@@ -28,7 +29,9 @@ END = b" "  # no word holds a blank
 _START = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _FIRST = np.zeros(1, int)
-HASHES, BITS_A_TOKEN = 3, 6
+HASHES, BITS_A_TOKEN = 3, 64
+EXACT, STEPS = 92, 64  # from 92 on, a step of 2^(1/64) holds a whole number at least
+_LEVEL = np.uint64(0x2545F4914F6CDD1D)
 #: training tokens for which the filter gets another segment, and n-grams (repeats included) after which a part ends
 SEGMENT_TOKENS, PART_KEYS = 400_000, 2_000_000
 Batches = Iterator[pa.RecordBatch]
@@ -61,7 +64,8 @@ def _pairs(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
-    return (np.frexp(counts.astype(float))[1]).astype(np.uint8)  # 1 + floor(log2 c)
+    counts = counts.astype(float)
+    return np.where(counts < EXACT, counts, EXACT + np.floor(STEPS * np.log2(np.maximum(counts / EXACT, 1)))).astype(np.uint16)
 
 
 def _counted(texts: DataFrame, flush_words: int = 400_000) -> DataFrame:
@@ -142,11 +146,12 @@ def _ngram_blobs(rows: DataFrame, segments: int) -> DataFrame:
     return rows.select("row", "held_out", "text").mapInArrow(run, "segment int, part long, keys binary, counts binary")
 
 
-def _places(keys: np.ndarray, level: int, segments: int, bits: int) -> Iterator[np.ndarray]:
-    """Bits of a level's ``HASHES`` probes: the key's high bits give the segment, so one task builds a segment whole."""
+def _places(keys: np.ndarray, level: np.ndarray | int, segments: int, bits: int) -> Iterator[np.ndarray]:
+    """Bits of the ``HASHES`` probes of each key at its level: the key's high bits give the segment, so one task builds a
+    segment whole."""
     low = np.uint64(bits // segments - 1)
     base = (keys >> np.uint64(64 - segments.bit_length() + 1)) * np.uint64(bits // segments) if segments > 1 else np.uint64(0)
-    x = (keys ^ np.uint64(level * 0x2545F4914F6CDD1D & (1 << 64) - 1)) * _MIX
+    x = (keys ^ np.atleast_1d(np.asarray(level, np.uint64)) * _LEVEL) * _MIX
     x ^= x >> np.uint64(32)
     step = (x * np.uint64(0xC4CEB9FE1A85EC53)) >> np.uint64(17) | np.uint64(1)
     for i in range(HASHES):
@@ -154,50 +159,54 @@ def _places(keys: np.ndarray, level: int, segments: int, bits: int) -> Iterator[
 
 
 class LogFrequencyFilter:
-    """Read side: ``level(keys)`` probes 1, 2, ... until a level is absent. ``cut`` is the lowest level stored."""
+    """The filter, or with ``alone`` one segment of it, to which then only that segment's keys may be added and put."""
 
-    def __init__(self, data: bytes, segments: int, cut: int, alone: bool = False):
-        """With ``alone``, ``data`` is one of the segments, and only keys of that one may be asked for."""
-        self.data, self.segments, self.cut = np.frombuffer(data, np.uint8), segments, cut
-        self.bits = len(self.data) * 8 * (segments if alone else 1)
-        self.inside = np.uint64(len(self.data) * 8 - 1 if alone else (1 << 64) - 1)
+    def __init__(self, bits: int, segments: int, alone: bool = False):
+        self.bits, self.segments = bits, segments
+        self.data = np.zeros(bits // segments if alone else bits, bool)
+        self.inside = np.uint64(len(self.data) - 1 if alone else (1 << 64) - 1)
+
+    def add(self, keys: np.ndarray, top: np.ndarray, block: int = 1 << 16) -> None:
+        """Set the bits of all levels up to each key's own."""
+        for at in range(0, len(keys), block):  # a block's levels are laid end to end
+            n = top[at : at + block].astype(int)
+            level = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + 1
+            for p in _places(np.repeat(keys[at : at + block], n), level, self.segments, self.bits):
+                self.data[p & self.inside] = True
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        found = np.zeros(len(keys), np.uint8)
-        at, now = np.arange(len(keys)), self.cut
+        """The last level before the first that is absent, 0 if level 1 is; levels are probed some at a time."""
+        found = np.zeros(len(keys), np.uint16)
+        at, low = np.arange(len(keys)), 0
         while len(at):
-            k = keys[at]
-            hit = np.ones(len(at), bool)
-            for p in _places(k, now, self.segments, self.bits):
-                p &= self.inside
-                hit &= (self.data[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-            at = at[hit]
-            found[at] = now
-            now += 1
+            width = min(max(1, low // 2), 64)
+            k, marks = np.repeat(keys[at], width), np.tile(np.arange(low + 1, low + width + 1), len(at))
+            hit = np.ones(len(k), bool)
+            for p in _places(k, marks, self.segments, self.bits):
+                hit &= self.data[p & self.inside]
+            hit = hit.reshape(len(at), width)
+            on = hit.all(axis=1)
+            found[at[~on]] = low + hit[~on].argmin(axis=1)
+            at, low = at[on], low + width
         return found
 
+    def chance(self) -> float:
+        """How likely a level that was never set is found all the same."""
+        return float(self.data.mean()) ** HASHES
+
 
-def filter_size(tokens: int, max_bits: int | None = None) -> tuple[int, int, int]:
-    """(bits, segments, cut) for so many training tokens. With ``max_bits``, the lowest levels are not stored where all would
-    take more, by the bound that at most N / 2^j n-grams have 2^j or more occurrences; without, none is left out."""
+def filter_size(tokens: int) -> tuple[int, int]:
+    """(bits, segments) for so many training tokens, without a limit."""
     wanted = max(1 << 16, tokens * BITS_A_TOKEN)
-    cut = 1
-    while max_bits and wanted > max_bits:
-        wanted, cut = wanted // 2, cut + 1
     segments = 1 << max(0, tokens // SEGMENT_TOKENS).bit_length()
-    if max_bits:
-        segments = min(1 << 16, segments)
     each = max(64, 1 << (wanted // segments).bit_length() - 1)
-    if each * segments * 3 // 2 <= wanted and (not max_bits or each * segments * 2 <= max_bits):
-        each *= 2
-    return each * segments, segments, cut
+    return each * segments * (2 if each * segments * 3 // 2 <= wanted else 1), segments
 
 
 def probe_filter(rows: DataFrame, tokens: int) -> DataFrame:
-    """(part, segment, data): the levels of each part's n-grams in order of their keys, a byte each, and under part -1 the
-    filter's bits. A task sets the bits of one segment whole and then probes them."""
-    bits, segments, cut = filter_size(tokens)
-    each = bits // segments
+    """(part, segment, data, chance): the levels of each part's n-grams in order of their keys, and under part -1 how likely
+    the segment finds what was never put in. A task sets the bits of one segment whole and then probes them."""
+    bits, segments = filter_size(tokens)
 
     def run(batches: Batches) -> Batches:
         held: list[tuple[int, int, bytes, bytes]] = []
@@ -205,15 +214,13 @@ def probe_filter(rows: DataFrame, tokens: int) -> DataFrame:
         def out() -> pa.RecordBatch:
             asked = [_numbers(k, np.uint64).cumsum(dtype=np.uint64) for _, _, k, _ in held]
             keys, n = _merged(np.concatenate(asked), np.concatenate([_numbers(c, np.uint32).astype(np.uint64) for _, _, _, c in held]))
-            top, data = levels(n), np.zeros(each, bool)
-            for level in range(cut, int(top.max()) + 1):
-                for p in _places(keys[top >= level], level, segments, bits):
-                    data[p & np.uint64(each - 1)] = True
-            packed = np.packbits(data, bitorder="little").tobytes()
-            # one segment's bits answer its keys: their high bits are dropped, as its own place among all is
-            found = LogFrequencyFilter(packed, segments, cut, alone=True).level(keys)
-            rows = [(-1, packed), *((part, found[np.searchsorted(keys, k)].tobytes()) for (_, part, _, _), k in zip(held, asked, strict=True))]
-            return pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int64()), pa.array([held[0][0]] * len(rows), pa.int32()), pa.array([d for _, d in rows], pa.binary())], ["part", "segment", "data"])
+            here = LogFrequencyFilter(bits, segments, alone=True)
+            here.add(keys, levels(n))
+            found = here.level(keys)
+            rows = [(-1, b"", here.chance()), *((part, _planes(found[np.searchsorted(keys, k)]), None) for (_, part, _, _), k in zip(held, asked, strict=True))]
+            part, data, chance = zip(*rows, strict=True)
+            cols = [pa.array(part, pa.int64()), pa.array([held[0][0]] * len(rows), pa.int32()), pa.array(data, pa.binary()), pa.array(chance, pa.float64())]
+            return pa.RecordBatch.from_arrays(cols, ["part", "segment", "data", "chance"])
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -226,36 +233,37 @@ def probe_filter(rows: DataFrame, tokens: int) -> DataFrame:
 
     n = min(segments, max(shuffle_partitions(rows.sparkSession), 1))
     blobs = _ngram_blobs(rows, segments).repartition(n, "segment").sortWithinPartitions("segment")
-    return blobs.mapInArrow(run, "part long, segment int, data binary")
+    return blobs.mapInArrow(run, "part long, segment int, data binary, chance double")
 
 
-def _level_value(level: int) -> float:
-    """The count that a level stands for: the mean of its counts if they fall with the square, as word counts do."""
-    low = 1 << level - 1
-    n = np.arange(low, min(2 * low, low + 1024), dtype=float)
-    return float((1 / n).sum() / (1 / n**2).sum()) if low <= 1024 else low * 2 * float(np.log(2))
+def _level_values() -> np.ndarray:
+    """The middle of each level's counts."""
+    edges = np.ceil(EXACT * 2.0 ** (np.arange(STEPS * 56 + 1) / STEPS))  # up to the largest long
+    return np.concatenate((np.arange(EXACT, dtype=float), (edges[:-1] + edges[1:] - 1) / 2))
 
 
-VALUE = np.array([0.0, *map(_level_value, range(1, 65))])
+VALUE = _level_values()
 
 
-def log10_probabilities(word: np.ndarray, pair: np.ndarray, starts: np.ndarray, tokens: int, distinct: int, texts: int, mix: float = 0.6) -> np.ndarray:
+def log10_probabilities(word: np.ndarray, pair: np.ndarray, starts: np.ndarray, tokens: int, distinct: int, texts: int, chance: float = 0.0, mix: float = 0.6) -> np.ndarray:
     """log10 P(word | word before), a model of order two, for texts laid end to end, from the levels that the filter gave.
 
     The pair's share of its history is mixed with the word's smoothed share of all tokens; a history that was never seen
     leaves all to the latter. A text's first word has the start as history, seen once in each of the ``texts`` training rows.
-    So the probabilities after any history sum to one, up to the counts' quantisation."""
+    With ``chance``, a pair is found one level higher than it is; over all ``distinct`` words that adds ``chance * distinct``
+    to what any history has, so its normaliser has as much more. Counts are right within 0.55 %, so that the probabilities
+    after any history sum to one within 0.4 * 0.0055 + 0.6 * 0.011 = 0.009."""
     word, pair = VALUE[word], VALUE[pair]
     before = np.concatenate((word[:1], word[:-1]))
     before[starts] = texts
-    seen = np.where(before > 0, mix, 0)
-    share = np.minimum(np.minimum(pair, word) / np.maximum(before, 1), 1)
-    return np.log10(seen * share + (1 - seen) * (word + 0.1) / (tokens + 0.1 * (distinct + 1)))
+    seen, more = np.where(before > 0, mix, 0), chance * distinct
+    share = np.minimum(np.minimum(pair, word), before) / np.where(before > 0, before + more, 1)
+    return np.log10(seen * share + (1 - seen) * (word + 0.1) / (tokens + more + 0.1 * (distinct + 1)))
 
 
 def _with_levels(rows: DataFrame, probed: DataFrame) -> DataFrame:
     """(part, row, doc_id, held_out, text, segment, data): each part's levels (row -1), then its rows, in one task."""
-    answers = probed.where("part >= 0")
+    answers = probed.where("part >= 0").drop("chance")
     ends = F.lead("part").over(Window.partitionBy(F.shiftright("part", 33)).orderBy("part"))  # row ids of one task share their high bits
     parts = answers.select("part").distinct().select("part", ends.alias("until"))
     inside = (F.shiftright("row", 33) == F.shiftright("part", 33)) & (F.col("row") >= F.col("part")) & (F.col("row") < F.coalesce("until", F.lit((1 << 63) - 1)))
@@ -279,7 +287,9 @@ def score_documents(documents: DataFrame, *, folds: int = 10, head_words: int =
     tokens, distinct = (x or 0 for x in counts.agg(F.sum("n"), F.count(F.lit(1))).first())
     texts = (counts.where(F.col("word") == F.lit(END)).agg(F.sum("n")).first()[0] or 0)  # each training row has one end
     held = rows.where("held_out").agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    probed = materialize(probe_filter(rows, max(tokens, held // 6)), "filter")  # segments for held-out n-grams too, where few rows train
+    size = max(tokens, held // 6)  # segments for held-out n-grams too, where few rows train
+    probed = materialize(probe_filter(rows, size), "filter")
+    chance = (probed.where("part = -1").agg(F.sum("chance")).first()[0] or 0.0) / filter_size(size)[1]
     head = counts.orderBy(F.desc("n"), "word").limit(head_words)
     table = head.toArrow()
     floor = int(table["n"][-1].as_py()) if table.num_rows == head_words else 0
@@ -317,10 +327,10 @@ def score_documents(documents: DataFrame, *, folds: int = 10, head_words: int =
             h, sizes = (np.concatenate(x) for x in zip(*hashes, strict=True))
             starts = np.cumsum(sizes) - sizes
             keys, back = np.unique(np.concatenate((h, _pairs(h, starts))), return_inverse=True)
-            level = np.frombuffer(b"".join(found), np.uint8)
+            level = np.concatenate([_numbers(d, np.uint16) for d in found])
             assert len(level) == len(keys), "levels of other rows"
             level = level[back]
-            scores = np.add.reduceat(log10_probabilities(level[: len(h)], level[len(h) :], starts, tokens, distinct, texts), starts)
+            scores = np.add.reduceat(log10_probabilities(level[: len(h)], level[len(h) :], starts, tokens, distinct, texts, chance), starts)
             at = 0
             for b in done:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores[at : at + b.num_rows])], [*b.schema.names, "score"])
