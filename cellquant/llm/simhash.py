@@ -244,6 +244,7 @@ def near_duplicates(documents: DataFrame, *, shingle_words: int = 3) -> DataFram
 
 
 WIDE = 8  # words of 64 bits in a wide fingerprint
+BLOCK = 256  # rows that are compared with as many at once: 4 MB of differing bits, 15 MB of shard numbers if all are close
 _SPREAD = np.random.default_rng(SEED).integers(1 << 62, 1 << 63, WIDE, dtype=np.uint64) | np.uint64(1)
 
 
@@ -269,7 +270,7 @@ def bits_apart(similarity: float) -> float:
     return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
 
 
-def close_links(fps: np.ndarray, radius: int, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+def close_links(fps: np.ndarray, radius: int, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
     """(links, parent): links as rows of two places that join all of ``fps`` (n x words) that belong together.
 
     Each vantage point is linked to all in its ball at once, so a tight group costs one comparison a row and never all its
@@ -341,10 +342,10 @@ def _as_words(fps: list[bytes]) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(b"".join(fps), np.uint8).reshape(len(fps), -1)[:, : 8 * WIDE]).view(np.uint64)
 
 
-def cross_pairs(keys: list[bytes], label: np.ndarray, plan: list[np.ndarray], radius: int, block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def cross_pairs(keys: list[bytes], label: np.ndarray, plan: list[np.ndarray], radius: int, block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All pairs of places whose fingerprints are within ``radius``, whose labels differ, and that no dealing of ``plan`` (the
     earlier ones) brings together, in chunks."""
-    fps = _as_words(keys)
+    fps, shards = _as_words(keys), None
     order = np.argsort(label, kind="stable")
     for lo in range(0, len(fps), block):
         p = order[lo : lo + block]
@@ -356,9 +357,9 @@ def cross_pairs(keys: list[bytes], label: np.ndarray, plan: list[np.ndarray], ra
             i, j = np.nonzero(np.triu(near, 1) if at == lo else near)
             i, j = p[i], q[j]
             if len(i) and plan:
-                some, back = np.unique(np.concatenate((i, j)), return_inverse=True)
-                shards = shard_keys([keys[x] for x in some.tolist()], plan)[back]
-                first = ~(shards[: len(i)] == shards[len(i) :]).any(axis=1)
+                if shards is None:
+                    shards = shard_keys(keys, plan)
+                first = ~(shards[i] == shards[j]).any(axis=1)
                 i, j = i[first], j[first]
             if len(i):
                 yield i, j

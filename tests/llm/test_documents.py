@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -175,6 +176,21 @@ def test_vantage_tree_finds_all_pairs():
     assert found == int((np.bitwise_count(fps[:, None] ^ fps[None]) <= 2).sum())
 
 
+def test_a_dense_group_is_compared_in_bounded_memory():
+    """All pairs of a group of almost alike texts with labels of their own, less those that an earlier dealing brought together."""
+    r = np.random.default_rng(3)
+    fps = np.repeat(r.integers(0, 256, (1, 80), np.uint8), 1500, axis=0)
+    fps[:, :64] ^= np.packbits(r.random((1500, 512)) < 0.08, axis=1)
+    keys, plan = [x.tobytes() for x in fps], simhash.shard_plan(42_000, 0.8)[:13]
+    tracemalloc.start()
+    found = sum(len(i) for i, _ in simhash.cross_pairs(keys, np.arange(1500), plan, 200))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    shards = simhash.shard_keys(keys, plan)
+    apart = sum(int((~(shards[i + 1 :] == shards[i]).any(axis=1)).sum()) for i in range(1500))
+    assert found == apart and peak < 64_000_000  # before: over 200 MB
+
+
 def test_close_links_join_what_belongs_together():
     """Against all pairs: unrelated rows, a tight group, and a chain whose ends are far apart."""
     rng = np.random.default_rng(6)
