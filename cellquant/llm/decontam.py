@@ -12,6 +12,7 @@ offers.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,6 +23,8 @@ from pyspark.sql.window import Window
 from cellquant.llm.common import ascii_lower, fresh, materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: what stands between words while A-Z are not lower-cased yet: the rest of ASCII
+BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 #: looked-up terms beyond which they are dealt to salted shuffles instead of a broadcast, and the salts
 BROADCAST_ROWS, SALTS = 200_000, 32
 
@@ -31,6 +34,18 @@ def words_of(text: str) -> Column:
     return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
+def cased_words(text: str) -> Column:
+    """As ``words_of``, with A-Z as they are; null if the text is. What stands between words is cut off at both ends, so that
+    no part of the split is empty but that of a text without words."""
+    inner = F.btrim(F.col(text), F.lit(BETWEEN))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, f"[{re.escape(BETWEEN)}]+"))
+
+
+def lowered(term: str) -> Column:
+    """A-Z of a word lower-cased; ``lower`` does just that to ASCII, and ``translate``, character by character, to the rest."""
+    return F.when(F.octet_length(term) == F.length(term), F.lower(term)).otherwise(ascii_lower(term))
+
+
 @dataclass(frozen=True)
 class PositionalIndex:
     """``postings``: (h, term, row, pos), h the term's hash, pos from 0. ``records``: (row, doc_id, text_hash, n_words) of every document row.
@@ -45,8 +60,8 @@ def build_index(documents: DataFrame) -> PositionalIndex:
     each have their own; an empty table gives an empty index.
 
     A document's record is stored as one more posting: behind its last word, without a term."""
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), F.concat(words_of("text"), F.array(F.lit(None).cast("string"))).alias("ws"))
-    each = rows.select("row", "doc_id", "text_hash", F.posexplode("ws").alias("pos", "term"))
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), F.concat(F.coalesce(cased_words("text"), F.array().cast("array<string>")), F.array(F.lit(None).cast("string"))).alias("ws"))
+    each = rows.select("row", "doc_id", "text_hash", F.posexplode("ws").alias("pos", "cased")).select("*", lowered("cased").alias("term"))
     last = F.col("term").isNull()
     slim = each.select(F.xxhash64("term").alias("h"), "term", "row", "pos", F.when(last, F.col("doc_id")).alias("doc_id"), F.when(last, F.col("text_hash")).alias("text_hash"))
     stored = materialize(slim.sortWithinPartitions("h"), "postings")
