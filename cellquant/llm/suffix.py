@@ -31,7 +31,7 @@ Batches = Iterator[pa.RecordBatch]
 _TABLE = np.random.default_rng(20).integers(0, 1 << 64, 256, np.uint64)
 _B = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 24) - 1)
-_PIECE = 1 << 22
+_PIECE = 1 << 18  # bytes whose hashes stay in a core's cache
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -63,18 +63,24 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray
         return np.zeros(0, np.uint64), none, none, none, none
     h = _gram_hashes(data)
     at = _sliding_min((h & ~_LOW) | np.arange(len(h), dtype=np.uint64), length - K + 1) & _LOW  # of each window: its anchor
-    doc = np.searchsorted(ends, np.arange(len(at)), side="right")
-    ok = np.arange(len(at)) + length <= ends[np.minimum(doc, len(ends) - 1)]
-    places = np.flatnonzero(ok)
-    if not len(places):
+    begin = np.concatenate(([0], ends[:-1]))
+    own = np.flatnonzero(ends - begin >= length)  # texts that hold a window
+    if not len(own):
         return np.zeros(0, np.uint64), none, none, none, none
-    a, d = at[places], doc[places]
-    first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (d[1:] != d[:-1]) | (np.diff(places) != 1))))
-    return h[a[first]], d[first], places[first], np.diff(np.append(first, len(places))), a[first].astype(np.int64) - places[first]
+    stop = ends[own] - length + 1  # behind each text's last window
+    new = np.zeros(len(at) + 1, bool)  # where a range begins, or windows over two texts do
+    new[1:-1] = at[1:] != at[:-1]
+    new[begin[own]] = new[stop] = True
+    edges = np.flatnonzero(new)
+    of = np.searchsorted(begin[own], edges, side="right") - 1
+    inside = (of >= 0) & (edges < stop[of])
+    first, windows = edges[inside], np.diff(np.append(edges, len(at)))[inside]
+    a = at[first].astype(np.int64)
+    return h[a], own[of[inside]], first, windows, a - first
 
 
 def _pieces(batches: Batches, length: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(data, ends, ids, ths, offsets) of texts laid end to end, some MB at a time; a longer text comes in overlapping parts."""
+    """(data, ends, ids, ths, offsets) of texts laid end to end, ``_PIECE`` bytes at a time; a longer text comes in overlapping parts."""
     held, ids, ths, offs, size = [], [], [], [], 0
 
     def laid() -> tuple[np.ndarray, ...]:

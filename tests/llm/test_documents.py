@@ -568,3 +568,29 @@ def test_index_words_are_the_contract_s(spark):
     assert sorted(doc.values()) == [(i, len(ws)) for i, ws in enumerate(words)]
     plan = docs.select(decontam.cased_words("text"))._jdf.queryExecution().toString()
     assert "regexp_extract_all" not in plan and "translate" not in plan  # five times the time, over whole texts
+
+
+def test_anchors_of_texts_laid_end_to_end():
+    """Ranges against one window at a time; short and empty texts between, before and behind. No array is made a place's number wide
+    but the hashes and their least."""
+    r = np.random.default_rng(8)
+    for sizes in ([0, 0], [50], [99], [100], [0, 99, 101, 0, 100, 300, 20], [40, 70, 260, 5, 1]):
+        data, ends = r.integers(0, 3, sum(sizes)).astype(np.uint8), np.cumsum(sizes)
+        h = suffix._gram_hashes(data) if len(data) >= 100 else []
+        want = []
+        for doc, end in enumerate(ends.tolist()):
+            for p in range(end - sizes[doc], end - 99):
+                a = min(range(p, p + 69), key=lambda x: (int(h[x]) >> 24, x))
+                if want and want[-1][:2] == [doc, a]:
+                    want[-1][3] += 1
+                else:
+                    want.append([doc, a, p, 1])
+        got = suffix.anchors(data, ends, 100)
+        assert [[int(d), int(p + off), int(p), int(n)] for _, d, p, n, off in zip(*got, strict=True)] == want
+        assert [int(x) for x in got[0]] == [int(h[a]) for _, a, _, _ in want]
+    data = r.integers(97, 123, 1 << 20).astype(np.uint8)
+    tracemalloc.start()
+    suffix.anchors(data, np.arange(1, 1025) << 10, 100)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45_000_000  # before: over that
