@@ -44,7 +44,9 @@ def merge_contigs(intervals: DataFrame, width: int | None = None) -> DataFrame:
     before = F.greatest(F.max("end_pos").over(local.rowsBetween(Window.unboundedPreceding, -1)), F.col("far"))
     begun = met.withColumn("begun", F.when(F.col("start_pos") > F.coalesce(before + 1, F.lit(-1)), F.col("start_pos")))
     last = _carried(begun.drop("far"), "chrom", {"open": (F.max("begun"), F.max)})
-    island = F.coalesce(F.max("begun").over(local.rowsBetween(Window.unboundedPreceding, 0)), F.col("open"))
+    # of equal intervals, the one that begins the island comes first: the join may have changed their order
+    first = Window.partitionBy("chrom", "block").orderBy("start_pos", "end_pos", F.asc_nulls_last("begun"))
+    island = F.coalesce(F.max("begun").over(first.rowsBetween(Window.unboundedPreceding, 0)), F.col("open"))
     return last.withColumn("island", island).groupBy("chrom", "island").agg(F.min("start_pos").alias("start_pos"), F.max("end_pos").alias("end_pos")).drop("island")
 
 
