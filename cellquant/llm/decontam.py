@@ -1,9 +1,9 @@
 """Benchmark decontamination with a stored positional inverted index, in DataFrame functions only.
 
 Training tokens become postings (term, row, pos), written once as a table that counts, phrases and proximity all read.
-The index is sharded by document: each part is sorted by the term's hash, one long, and holds all postings of its rows, so
+The index is sharded by document: each shard is sorted by the term's hash, one long, and holds all postings of its rows, so
 writing it shuffles nothing, a scan for some terms skips the other row groups, and a frequent term is spread over all
-parts. Terms are looked up by hash and then compared.
+shards. Terms are looked up by hash and then compared.
 
 Each benchmark window is looked up by its rarest terms: their postings, shifted back by the term's offset in the window,
 must meet at one start. What meets is verified word by word against the document, so a result is exact whatever the index
@@ -27,6 +27,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 #: looked-up terms beyond which they are dealt to salted shuffles instead of a broadcast, and the salts
 BROADCAST_ROWS, SALTS = 200_000, 32
+#: shards that the rows of one part of the documents are dealt to and sorted by, one after another
+SLICES = 4
 
 
 def words_of(text: str) -> Column:
@@ -55,16 +57,27 @@ class PositionalIndex:
     records: DataFrame
 
 
+def _postings(documents: DataFrame, slices: int, k: int) -> DataFrame:
+    """The sorted postings of every document row whose hash names slice ``k``; each row has a number that no other slice has."""
+    own = documents.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(slices)) == k)
+    row = F.monotonically_increasing_id() * slices + k
+    rows = own.select(row.alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), F.concat(F.coalesce(cased_words("text"), F.array().cast("array<string>")), F.array(F.lit(None).cast("string"))).alias("ws"))
+    each = rows.select("row", "doc_id", "text_hash", F.posexplode("ws").alias("pos", "cased")).select("*", lowered("cased").alias("term"))
+    last = F.col("term").isNull()
+    slim = each.select(F.xxhash64("term").alias("h"), "term", "row", "pos", F.when(last, F.col("doc_id")).alias("doc_id"), F.when(last, F.col("text_hash")).alias("text_hash"))
+    return slim.sortWithinPartitions("h")
+
+
 def build_index(documents: DataFrame) -> PositionalIndex:
     """Write the index of all words of (doc_id, text). Null and empty texts have a record and no postings; rows that repeat
     each have their own; an empty table gives an empty index.
 
-    A document's record is stored as one more posting: behind its last word, without a term."""
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), F.concat(F.coalesce(cased_words("text"), F.array().cast("array<string>")), F.array(F.lit(None).cast("string"))).alias("ws"))
-    each = rows.select("row", "doc_id", "text_hash", F.posexplode("ws").alias("pos", "cased")).select("*", lowered("cased").alias("term"))
-    last = F.col("term").isNull()
-    slim = each.select(F.xxhash64("term").alias("h"), "term", "row", "pos", F.when(last, F.col("doc_id")).alias("doc_id"), F.when(last, F.col("text_hash")).alias("text_hash"))
-    stored = materialize(slim.sortWithinPartitions("h"), "postings")
+    A document's record is stored as one more posting: behind its last word, without a term. A task sorts its shards one
+    after another into one file, so it holds the postings of one of them at a time. Each slice reads ``documents`` again,
+    which costs less than to shuffle their texts: store them first if they are dear to make."""
+    parts = max(1, documents.rdd.getNumPartitions())
+    shards = reduce(DataFrame.unionAll, [_postings(documents, SLICES, k) for k in range(SLICES)])
+    stored = materialize(shards.coalesce(parts), "postings")
     return PositionalIndex(
         stored.where("term IS NOT NULL").select("h", "term", "row", "pos"),
         stored.where((F.col("h") == F.xxhash64(F.lit(None).cast("string"))) & F.col("term").isNull()).select("row", "doc_id", "text_hash", F.col("pos").cast("long").alias("n_words")),

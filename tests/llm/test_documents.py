@@ -556,6 +556,18 @@ def test_queries_are_named():
     assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 14)]
 
 
+def test_index_is_sorted_by_shares(spark):
+    """A task holds one share of its part's postings at a time; the shares hold every row once and follow in one file."""
+    texts = [None, "", "same words", "same words"] + [" ".join(f"w{i * 7 + j}" for j in range(30)) for i in range(60)]
+    docs = spark.createDataFrame([(None if i % 5 == 0 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    index = decontam.build_index(docs)
+    assert len(index.postings.inputFiles()) == 1
+    hashes = [r["h"] for r in index.postings.coalesce(1).collect()]
+    assert sum(a > b for a, b in zip(hashes, hashes[1:], strict=False)) == decontam.SLICES - 1
+    rows = index.records.collect()
+    assert len(rows) == len({r["row"] for r in rows}) == len(texts) and sum(r["n_words"] for r in rows) == len(hashes) == 60 * 30 + 4
+
+
 def test_index_words_are_the_contract_s(spark):
     """Split text, lower-cased word by word, against the words as they are defined: all of ASCII, other letters with cases, edges."""
     texts = [None, "", " ", "\x00.\x7f", "A", ".A", "A.", "..Ab..Cd9..", "ÀB İI ẞs ǅx  Q KelvinK 9Z", "x Y", "".join(map(chr, range(128))), *(f"a{chr(i)}Bé" for i in range(128)), *(f"{chr(i)}" for i in range(128))]
