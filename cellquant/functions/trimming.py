@@ -42,6 +42,23 @@ def clipped(seq: np.ndarray, end: np.ndarray, adapter: bytes, least: int, rate:
     return np.where(fits.any(1), fits.argmax(1), end)
 
 
+def window(q: np.ndarray, end: np.ndarray, quality: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of what is left of reads with the quality symbols ``q`` that end at ``end``: without low ends, up to the first
+    window of ``width`` bases whose mean is under ``quality``."""
+    q = np.maximum(q.astype(np.int32) - PHRED, 0)
+    places = np.arange(q.shape[1])
+    good = (q >= quality) & (places < end[:, None])
+    some = good.any(1)
+    start = np.where(some, good.argmax(1), 0)
+    end = np.where(some, q.shape[1] - good[:, ::-1].argmax(1), 0)
+    if q.shape[1] >= width:
+        total = np.cumsum(np.pad(q, ((0, 0), (1, 0))), axis=1)
+        at = places[: q.shape[1] - width + 1]
+        low = (total[:, width:] - total[:, :-width] < width * quality) & (at >= start[:, None]) & (at + width <= end[:, None])
+        end = np.where(low.any(1), low.argmax(1), end)
+    return start.astype(np.int32), end.astype(np.int32)
+
+
 def trimmed(seq: pa.Array, qual: pa.Array, adapters: Sequence[bytes], quality: int, width: int, least: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) of what is left of each read; a read whose bases are all low, or that has none, gives (0, 0)."""
     s, end = _matrix(seq)
@@ -49,17 +66,7 @@ def trimmed(seq: pa.Array, qual: pa.Array, adapters: Sequence[bytes], quality: i
     q = np.pad(q, ((0, 0), (0, max(0, s.shape[1] - q.shape[1]))))[:, : s.shape[1]]
     for a in adapters:
         end = clipped(s, end, a, least, rate)
-    q = np.maximum(q.astype(np.int32) - PHRED, 0)
-    at = np.arange(s.shape[1])
-    good = (q >= quality) & (at < end[:, None])
-    some = good.any(1)
-    start = np.where(some, good.argmax(1), 0)
-    end = np.where(some, s.shape[1] - good[:, ::-1].argmax(1), 0)
-    if s.shape[1] >= width:
-        total = np.cumsum(np.pad(q, ((0, 0), (1, 0))), axis=1)
-        low = (total[:, width:] - total[:, :-width] < width * quality) & (at[: s.shape[1] - width + 1] >= start[:, None]) & (at[: s.shape[1] - width + 1] + width <= end[:, None])
-        end = np.where(low.any(1), low.argmax(1), end)
-    return start.astype(np.int32), end.astype(np.int32)
+    return window(q, end, quality, width)
 
 
 def trim_span(seq: Column, qual: Column, adapters: Sequence[str] = (), quality: int = 20, width: int = 4, least: int = 5, rate: float = 0.1) -> Column:
@@ -74,3 +81,16 @@ def trim_span(seq: Column, qual: Column, adapters: Sequence[str] = (), quality:
         return pa.StructArray.from_arrays([pa.array(start), pa.array(end)], ["start", "end"])
 
     return span(seq, qual)
+
+
+def window_span(qual: Column, quality: int, width: int = 4) -> Column:
+    """struct<start, end> as ``seq.quality_window`` gives it of quality strings, which are ASCII; the array functions there work
+    through every window of every read one by one."""
+
+    @F.arrow_udf("struct<start:int,end:int>")
+    def span(qual: pa.Array) -> pa.Array:
+        parts = [window(*_matrix(qual.slice(lo, ROWS)), quality, width) for lo in range(0, len(qual), ROWS)]
+        start, end = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int32) for k in (0, 1))
+        return pa.StructArray.from_arrays([pa.array(start), pa.array(end)], ["start", "end"])
+
+    return span(qual)

@@ -64,8 +64,8 @@ def hamming_tag_split(spark, sf):
 
 @_query("SELECT rid, cast(s as integer) AS s, cast(coalesce(bad, e) as integer) AS e FROM w", needs="reads", ctes=_WIN)
 def sliding_window_trim(spark, sf):
-    w = seq.quality_window(F.col("r1_qual"), 25)
-    return view(spark, sf, "reads").select("rid", w.start.alias("s"), w.end.alias("e"))
+    w = trimming.window_span(F.col("r1_qual"), 25)
+    return view(spark, sf, "reads").select("rid", w.alias("w")).select("rid", F.col("w.start").alias("s"), F.col("w.end").alias("e"))
 
 
 @_query(

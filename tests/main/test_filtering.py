@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellquant.functions import seq, trimming
 from cellquant.operators import barcode, filtering, panel, sampling
+from cellquant.plans import queries
 from cellquant.sources import readers
 
 
@@ -181,3 +182,16 @@ def test_samples_of_a_stated_size(spark):
     assert sampling.sample_rows(df, 123, "id").count() == 123 and sampling.sample_rows(df, 9999, "id").count() == 5000 and sampling.sample_rows(df.limit(0), 3, "id").count() == 0
     draws = [r[0] for r in spark.range(300).select(sampling.binomial(200, F.lit(0.3), F.col("id").cast("string"))).collect()]
     assert abs(sum(draws) / 300 - 60) < 2 and 4 < (sum((d - 60) ** 2 for d in draws) / 300) ** 0.5 < 9
+
+
+def test_quality_windows_are_cut_in_batches(spark):
+    """The spans of the column form, on odd strings too, and the query does not go through windows by array functions."""
+    r = random.Random(5)
+    texts = [None, "", "I", "#", "####", "IIII", "III#", "#IIII#", "II", "!!I!!!!I", *("".join(r.choice("#+05:?ABDEFGHI ~") for _ in range(r.randrange(90))) for _ in range(400))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, q string").repartition(3)
+    for width in (1, 4, 7):
+        w, want = trimming.window_span(F.col("q"), 25, width), seq.quality_window(F.col("q"), 25, width)
+        rows = df.select("i", w.alias("w"), want.alias("want")).collect()
+        assert len(rows) == len(texts) and all(tuple(x["w"]) == tuple(x["want"]) for x in rows)
+    plan = queries.sliding_window_trim(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambdafunction" not in plan
