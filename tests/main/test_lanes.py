@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cellquant import config
+from cellquant import config, storage
 from cellquant.plans import queries
 from cellquant.sources import readers
 from tests.main.test_counting import settings
@@ -97,14 +97,11 @@ def test_a_configuration_with_several_lanes(tmp_path):
         config.from_mapping(raw, exists=False)
 
 
-def test_the_query_keeps_little_beside_its_input(spark, tmp_path):
+def test_the_query_keeps_little_beside_its_input(spark, tmp_path, monkeypatch):
     """Files and what they are made of take less than the text of the records, of which nothing else is stored."""
-    kept = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path}")
-    try:
-        rows = queries.fastq_zip(spark, "/root/testdata/sf0.01")
-        text = rows.select(F.sum(sum((F.length(c) for c in rows.columns if c != "n"), F.lit(0)))).first()[0]
-    finally:
-        spark.conf.set("spark.checkpoint.dir", kept) if kept else spark.conf.unset("spark.checkpoint.dir")
+    for module in (queries, storage):
+        monkeypatch.setattr(module, "shared_dir", lambda _: f"file://{tmp_path}")
+    rows = queries.fastq_zip(spark, "/root/testdata/sf0.01")
+    text = rows.select(F.sum(F.length(F.concat(*(c for c in rows.columns if c != "n"))))).first()[0]
     held = sum(p.stat().st_size for p in tmp_path.rglob("*") if p.is_file())
     assert 0 < held < 0.7 * text
