@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellquant.operators import fragments, intervals, matrices, order, sampling, umi
+from cellquant.plans import queries
 from cellquant.sources import sinks
+from tests.main import test_main
 
 
 def _plain_merge(rows):
@@ -148,3 +150,24 @@ def test_blocks_of_a_sparse_matrix(spark, tmp_path):
     sinks.write_matrix_market(df.where("quant = 'rpkm'").withColumnRenamed("cell", "bc"), str(tmp_path / "m"))
     text = [x for p in sorted((tmp_path / "m/matrix").glob("part-*")) for x in p.read_text().splitlines()]
     assert text[0].startswith("%%MatrixMarket") and int(text[1].split()[2]) == len(text) - 2 == sum(x[0] == "rpkm" for x in rows)
+
+
+@pytest.mark.parametrize("name", ["mate_taxonomy", "tagged_records", "mate_reads_per_cell", "mate_insert_sizes", "mate_gene_body", "counts_long", "unique_and_mult"])
+def test_slices_of_records_equal_sql(spark, name, tmp_path, monkeypatch):
+    """Three slices, an annotation that is not broadcast, and keys that are dealt to several tasks."""
+    monkeypatch.setattr(queries, "SLICE", 2500)
+    monkeypatch.setattr(intervals, "BROADCAST_ROWS", 100)
+    monkeypatch.setattr(intervals, "HOT_ROWS", 50)
+    test_main.test_query_equals_sql(spark, name, tmp_path)
+
+
+def test_only_hot_keys_are_dealt_to_several_tasks(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1), ("c", 2)], "k string, x int")
+    annotation = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("d", 4)], "k string, y int")
+    want = sorted((k, x, y) for k, x in map(tuple, rows.collect()) for kk, y in map(tuple, annotation.collect()) if k == kk)
+    monkeypatch.setattr(intervals, "BROADCAST_ROWS", 2)
+    for hot, dealt in ((1000, False), (10, True)):
+        monkeypatch.setattr(intervals, "HOT_ROWS", hot)
+        got = intervals.annotated(rows, annotation, ["k"])
+        assert sorted(map(tuple, got.select("k", "x", "y").collect())) == want
+        assert ("salt" in got._jdf.queryExecution().analyzed().toString()) is dealt
