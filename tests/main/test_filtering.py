@@ -195,3 +195,19 @@ def test_quality_windows_are_cut_in_batches(spark):
         assert len(rows) == len(texts) and all(tuple(x["w"]) == tuple(x["want"]) for x in rows)
     plan = queries.sliding_window_trim(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "lambdafunction" not in plan
+
+
+@pytest.mark.parametrize(("size", "share"), [(50, 2), (50, 40), (3000, 2), (1, 5000), (0, 2)])
+def test_a_sample_of_what_passes_looks_at_no_more_than_it_needs(spark, size, share):
+    df = spark.range(5000).selectExpr("concat('q', id) AS q", "id").union(spark.sql("SELECT 'q7', 7L"))
+    seen = []
+
+    def passing(rows):
+        seen.append(rows.count())
+        return rows.where(F.col("id") % share == 1)
+
+    got = sampling.sample_passing(df, size, "q", passing)
+    want = sampling.sample_rows(df.where(F.col("id") % share == 1), size, "q")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sum(seen) <= 5001 and (share > 2 or size > 50 or sum(seen) < 600)
+    assert sampling.sample_passing(df.limit(0), 3, "q", lambda x: x).count() == 0
